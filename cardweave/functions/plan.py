@@ -36,17 +36,19 @@ def lookup_join(
     row_id: list[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     salts: int = 16,
+    measured: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to ``right``, which holds one row per key and may be any size.
 
-    A right side measured below ``broadcast_bytes`` is broadcast: ``left`` is not
+    ``measured`` is what is measured in its place, where something cheaper to read is
+    at least as large. A right side measured below ``broadcast_bytes`` is broadcast: ``left`` is not
     shuffled. Beyond it both sides are hashed on (key, salt): the right side is
     repeated once per salt and each left row picks its salt from ``row_id``, so a
     hot key is spread over ``salts`` tasks (and AQE can split those further, since
     both inputs are plain exchanges). Rows with a null key match nothing and are
     spread evenly.
     """
-    if fits_broadcast(right, broadcast_bytes):
+    if fits_broadcast(right if measured is None else measured, broadcast_bytes):
         return left.join(F.broadcast(right), on, "left")
     row_hash = F.xxhash64(*row_id)
     no_key = F.lit(False)

@@ -47,11 +47,13 @@ def one_token_per_pan(vault: DataFrame) -> DataFrame:
 
 def tokenise_vault(vault: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, salts: int = 16) -> Tokeniser:
     """Look tokens up in a table ``(digital_pan, tokenised_pan)``; no token is a failure."""
+    vault = vault.select("digital_pan", "tokenised_pan")
 
     def apply(messages: DataFrame, active: Column) -> DataFrame:
         keyed = messages.withColumn("_pan", F.when(active, F.col("digital_pan")))
         tokens = one_token_per_pan(vault).withColumnRenamed("digital_pan", "_pan")
-        return lookup_join(keyed, tokens, ["_pan"], S.RECORD_ID, broadcast_bytes, salts).drop("_pan")
+        joined = lookup_join(keyed, tokens, ["_pan"], S.RECORD_ID, broadcast_bytes, salts, measured=vault)
+        return joined.drop("_pan")
 
     return apply
 
