@@ -55,7 +55,9 @@ def read_fragment(value: Column) -> Column:
     body = F.regexp_replace(value, _PROLOG, "")
     framed = body.rlike(_START) & (body.rlike(_END) | body.rlike(_SELF_CLOSED))
     safe = F.regexp_replace(body, _OTHER_CASE, "<$1_$2")
-    wrapped = F.concat(F.lit(f"<{_WRAPPER}>"), safe, F.lit(f"</{_WRAPPER}>"))
+    # A text that closes the wrapper itself gets one whose name it cannot know.
+    name = F.when(body.contains(f"</{_WRAPPER}"), F.concat(F.lit(_WRAPPER), F.sha2(body, 256))).otherwise(_WRAPPER)
+    wrapped = F.concat(F.lit("<"), name, F.lit(">"), safe, F.lit("</"), name, F.lit(">"))
     return F.from_xml(F.when(framed, wrapped), _DOCUMENT, _OPTIONS)
 
 

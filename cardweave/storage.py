@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +28,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging() -> Iterator[None]:
+    """Delete the tables staged inside the block when it ends.
+
+    For code that runs for ever, such as a micro-batch: nothing staged may be used later.
+    """
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in paths:
+            filesystem, folder = folder_in_task(path)
+            filesystem.delete_dir(folder)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -33,11 +56,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Service calls and random IVs behind it are evaluated exactly once, and later
-    readers get column pruning, pushed filters and file sizes.
+    readers get column pruning, pushed filters and file sizes. The table stays until
+    the folder is cleaned, or the surrounding :func:`staging` block ends.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
+    paths = _staged.get()
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -13,7 +13,8 @@ from cardweave.operators.redelivery import PREPARED_COLUMNS, retry_queue, with_p
 from cardweave.operators.requests import Saver, to_save_request
 from cardweave.operators.tokenise import Tokeniser
 from cardweave.schemas import RECORD_ID, Reason, Result
-from cardweave.sinks.store import Store
+from cardweave.sinks.store import LAST_TABLE, Store
+from cardweave.storage import staging
 
 OUTCOME_COLUMNS = [*PREPARED_COLUMNS, "tokenised_pan", "result"]
 
@@ -63,19 +64,20 @@ def settle_batch(
     written outcomes. The records to retry are thus durable before the batch counts as
     done, and the next batch takes them from there.
     """
-    work = prepare(feed, decoder)
-    previous = None
-    if batch_id > 0:
-        work = with_pending(work, retry_queue(store.batch("outcomes", batch_id - 1)))
-        previous = store.batch("ledger", batch_id - 1)
-    outcomes = store.write("outcomes", batch_id, _stored_form(settle(work, tokeniser, saver)))
+    with staging():
+        work = prepare(feed, decoder)
+        previous = None
+        if batch_id > 0:
+            work = with_pending(work, retry_queue(store.batch("outcomes", batch_id - 1)))
+            previous = store.batch("ledger", batch_id - 1)
+        outcomes = store.write("outcomes", batch_id, _stored_form(settle(work, tokeniser, saver)))
 
     saved = to_save_request(outcomes.filter(F.col("result") == Result.SUCCESS))
     store.write("transactions", batch_id, saved)
     ledger = store.write("ledger", batch_id, merge_ledger(previous, outcomes))
     risk = at_risk(outcomes, ledger).select(*RECORD_ID, "transaction_id", "reason", "attempts")
     store.write("at_risk", batch_id, risk)
-    store.write("metrics", batch_id, outcome_metrics(outcomes))
+    store.write(LAST_TABLE, batch_id, outcome_metrics(outcomes))
 
 
 def run_stream(
@@ -104,13 +106,16 @@ def run_stream(
 
 
 def final_outcomes(store: Store) -> DataFrame:
-    """The last outcome of every record over all batches."""
-    newest = Window.partitionBy(*RECORD_ID).orderBy(F.desc("batch_id"))
-    ranked = store.table("outcomes").withColumn("_rank", F.row_number().over(newest))
-    return ranked.filter("_rank = 1").drop("_rank")
+    """The last outcome of every record over all batches.
+
+    A record to retry is settled again in the very next batch. So whatever is not to be
+    retried is final, and what is still open is in the last batch: no grouping needed.
+    """
+    is_open = F.col("result") == Result.RETRY
+    return store.table("outcomes").filter(~is_open | (F.col("batch_id") == store.latest()))
 
 
 def quarantine(store: Store) -> DataFrame:
-    """Records that could not be decrypted, over all batches."""
+    """Records that could not be decrypted, with their envelopes, over all batches."""
     outcomes = store.table("outcomes")
     return outcomes.filter(F.col("reason") == Reason.DECRYPT_FAILED).select(*RECORD_ID, "value", "batch_id")

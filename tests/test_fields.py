@@ -1,0 +1,101 @@
+import random
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from cardweave.functions import fields
+
+
+def test_message_type(column_of):
+    values = ["TVN", " tvn ", "\tAcn\n", "TCN", "TAR", "XYZ", "", None, "TVN X"]
+    assert column_of(fields.message_type, values) == [
+        "TVN", "TVN", "ACN", "TCN", "TAR", "UNKNOWN", "UNKNOWN", "UNKNOWN", "UNKNOWN",
+    ]
+
+
+def test_record_type(column_of):
+    assert column_of(fields.record_type, ["PTLFX", " ptlfx ", "OTHER", "X", None]) == [
+        "PTLFX", "PTLFX", "OTHER", "OTHER", "OTHER",
+    ]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_amount(spark, column_of, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        good = ["1E3", "1e-2", "+5", ".5", "5.", "-0.00", " 123.45\n", "1" * 28]
+        values = [Decimal(v) for v in ("1000", "0.01", "5", "0.5", "5", "0", "123.45", "1" * 28)]
+        assert column_of(fields.amount, good) == values
+        bad = ["1,000", "NaN", "0x10", "12d", "1_000", " 5", "", "  ", ".", "+", "1e", "Infinity", "--1", None]
+        assert column_of(fields.amount, bad) == [None] * len(bad)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_amount_beyond_the_type_keeps_its_text(column_of):
+    huge = "9" * 29
+    assert column_of(fields.amount, [huge]) == [None]
+    assert column_of(fields.amount_text, [huge]) == [huge]
+    assert column_of(fields.amount_text, ["N/A", " 1.50 ", None]) == [None, "1.50", None]
+
+
+def _jvm_text(literal):
+    """Python prints decimals by the same standard, except that it knows a negative zero."""
+    value = Decimal(literal)
+    return str(value.copy_abs() if value.is_zero() else value)
+
+
+def test_amount_json_hand_cases(column_of):
+    cases = {
+        "123.45": "123.45", "1E3": "1E+3", "1e-2": "0.01", "+5": "5", ".5": "0.5", "5.": "5", "-0.00": "0.00",
+        "007": "7", "0.000001": "0.000001", "0.0000001": "1E-7", "-12.5e7": "-1.25E+8", "0E5": "0E+5", "10E-1": "1.0",
+        "1.20E1": "12.0",
+    }
+    assert column_of(fields.amount_json, list(cases)) == list(cases.values())
+
+
+def test_amount_json_agrees_on_random_literals(column_of):
+    rng = random.Random(7)
+    pool = "0123456789"
+    literals = ["".join(rng.choices(pool, k=rng.randint(1, 8))) for _ in range(50)]
+    literals += [
+        f"{rng.choice(['', '-', '+'])}{''.join(rng.choices(pool, k=rng.randint(1, 6)))}"
+        f"{rng.choice(['', '.' + ''.join(rng.choices(pool, k=rng.randint(1, 9)))])}"
+        f"{rng.choice(['', 'E' + str(rng.randint(-12, 12)), 'e+' + str(rng.randint(0, 9))])}"
+        for _ in range(1500)
+    ]
+    assert column_of(fields.amount_json, literals) == [_jvm_text(x) for x in literals]
+
+
+def test_timestamp(column_of):
+    good = {
+        "2024-01-15T10:30:00": datetime(2024, 1, 15, 10, 30),
+        " 2024-01-15T10:30 \n": datetime(2024, 1, 15, 10, 30),
+        "2024-01-15t10:30:00": datetime(2024, 1, 15, 10, 30),
+        "2024-01-15T10:30:00.1": datetime(2024, 1, 15, 10, 30, 0, 100000),
+        "2024-01-15T10:30:00.": datetime(2024, 1, 15, 10, 30),
+        "2024-02-29T23:59:59.123456789": datetime(2024, 2, 29, 23, 59, 59, 123456),
+    }
+    assert column_of(fields.event_timestamp, list(good)) == list(good.values())
+    bad = [
+        "2024-01-15T10:30:00Z", "2024-01-15T10:30:00+12:00", "2024-01-15 10:30:00", "2024-01-15", "2024-1-5T10:30:00",
+        "2024-02-30T10:30:00", "2024-01-15T24:00:00", "2024-01-15T10:30:60", "2024-01-15T10", "", " ", None, "now",
+        "2024-01-15T10:30:00.1234567890", "2023-02-29T00:00",
+    ]
+    assert column_of(fields.event_timestamp, bad) == [None] * len(bad)
+
+
+def test_iso_text_leaves_out_zero_seconds(column_of):
+    texts = {
+        "2024-01-15T10:30:00": "2024-01-15T10:30",
+        "2024-01-15T10:30:05": "2024-01-15T10:30:05",
+        "2024-01-15T10:30:00.1": "2024-01-15T10:30:00.100",
+        "2024-01-15T10:30:00.000001": "2024-01-15T10:30:00.000001",
+    }
+    assert column_of(lambda c: fields.iso_local(fields.event_timestamp(c)), [*texts, None]) == [*texts.values(), None]
+
+
+def test_coercion_flags(column_of):
+    flag = lambda c: fields.was_coerced(c, fields.amount(c))
+    assert column_of(flag, ["1", "x", "  ", "", None]) == [False, True, False, False, False]

@@ -1,0 +1,184 @@
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from conftest import SAMPLE, fragment
+
+from cardweave import schemas as S
+from cardweave.operators.filters import filter_publishable
+from cardweave.operators.outcome import prepare
+from cardweave.operators.parse import messages, parse_feed, rejects
+
+LEAF = "<Data><MessageType>TVN</MessageType></Data>"
+
+ACCEPTED = {
+    "sample": SAMPLE,
+    "prolog": '<?xml version="1.0" encoding="UTF-8"?>' + LEAF,
+    "prolog, standalone": "<?xml version='1.0' standalone='yes' ?>\n" + LEAF,
+    "white space around": " \n" + LEAF + "\r\n\t ",
+    "comments around": "<!-- a -->" + LEAF + "<!-- </Data> -->",
+    "instruction before": "<?note x?>" + LEAF,
+    "attribute": "<Data a='1'><MessageType>TVN</MessageType></Data>",
+    "attribute holding a bracket": "<Data a='>'><MessageType>TVN</MessageType></Data>",
+    "self closed": "<Data/>",
+    "self closed with attribute": '<Data a="/>" />',
+    "text only": "<Data>text</Data>",
+    "nested root name": "<Data><Data><x/></Data><MessageType>TVN</MessageType></Data>",
+    "other prefix declared": '<Data xmlns:p="urn:x"><MessageType>TVN</MessageType></Data>',
+    "empty default namespace": '<Data xmlns=""><MessageType>TVN</MessageType></Data>',
+    "namespace as text of an attribute": "<Data a=\" xmlns='x'\"><MessageType>TVN</MessageType></Data>",
+    "cdata": "<Data><MessageType><![CDATA[TVN]]></MessageType></Data>",
+    "element named like the wrapper": "<Data><w_><x/></w_><MessageType>TVN</MessageType></Data>",
+    "space in end tag": "<Data><MessageType>TVN</MessageType></Data >",
+}
+
+REJECTED = {
+    "null": None,
+    "empty": "",
+    "blank": "   ",
+    "not xml": "<not valid xml!!!",
+    "wrong root": "<Other><MessageType>TVN</MessageType></Other>",
+    "lower-case root": "<data><MessageType>TVN</MessageType></data>",
+    "longer root": "<DataX></DataX>",
+    "cut off": "<Data><MessageType>TVN</MessageType>",
+    "two roots": LEAF + LEAF,
+    "sibling before": "<x/>" + LEAF,
+    "sibling after": LEAF + "<x/>",
+    "sibling after, own end": LEAF + "<x></x><Data/>",
+    "junk before": "junk" + LEAF,
+    "junk after": LEAF + "junk",
+    "byte-order mark": "﻿" + LEAF,
+    "default namespace": '<Data xmlns="urn:x"><MessageType>TVN</MessageType></Data>',
+    "prefixed root": '<p:Data xmlns:p="urn:x"></p:Data>',
+    "wrapped": "<RTFDataRq>" + LEAF + "</RTFDataRq>",
+    "leaf only": "<MessageType>TVN</MessageType>",
+    "white space before prolog": ' <?xml version="1.0"?>' + LEAF,
+    "closes the wrapper": LEAF + "</w_><w_>" + LEAF,
+    "doctype": "<!DOCTYPE Data>" + LEAF,
+    "unclosed leaf": "<Data><MessageType>TVN</Data>",
+    "mixed-case leaf tags": "<Data><messagetype>TVN</MessageType></Data>",
+    "undeclared entity": "<Data><MessageType>&x;</MessageType></Data>",
+}
+
+
+@pytest.mark.parametrize("case_sensitive", ["false", "true"])
+def test_strict_documents(spark, feed_of, case_sensitive):
+    names = [*ACCEPTED, *REJECTED]
+    spark.conf.set("spark.sql.caseSensitive", case_sensitive)
+    try:
+        rows = parse_feed(feed_of([*ACCEPTED.values(), *REJECTED.values()])).collect()
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    verdict = {names[r["offset"]]: r["parsed"] for r in rows}
+    assert verdict == {**dict.fromkeys(ACCEPTED, True), **dict.fromkeys(REJECTED, False)}
+
+
+def test_full_message(feed_of):
+    row = messages(parse_feed(feed_of([SAMPLE]))).first()
+    assert row["message_type"] == "TVN"
+    assert row["record_type"] == "PTLFX"
+    assert row["transaction_id"] == "TXN-20240101-001"
+    assert row["digital_pan"] == "4111111111111111"
+    assert row["amount"] == Decimal("123.45")
+    assert row["amount_text"] == "123.45"
+    assert row["currency_code"] == "NZD"
+    assert row["response_code"] == "00"
+    assert row["event_timestamp"] == datetime(2024, 1, 15, 10, 30)
+
+
+def test_kinds_of_message(feed_of):
+    values = [
+        fragment(MessageType="ACN", CurrencyCode="AUD", Amount="50.00"),
+        fragment(MessageType="XYZ"),
+        fragment(RecordType="OTHER"),
+        fragment(MessageType=None, RecordType=None),
+    ]
+    rows = messages(parse_feed(feed_of(values))).orderBy("offset").collect()
+    assert [(r["message_type"], r["record_type"]) for r in rows] == [
+        ("ACN", "PTLFX"), ("UNKNOWN", "PTLFX"), ("TVN", "OTHER"), ("UNKNOWN", "OTHER"),
+    ]
+
+
+def test_absent_and_bad_fields_keep_the_message(feed_of):
+    values = [
+        fragment(MessageType="TCN", Amount=None, Timestamp=None),
+        fragment(Amount="N/A", Timestamp="yesterday"),
+        fragment(Amount=" ", Timestamp=""),
+    ]
+    rows = messages(parse_feed(feed_of(values))).orderBy("offset").collect()
+    assert [(r["amount"], r["event_timestamp"]) for r in rows] == [(None, None)] * 3
+    assert [(r["amount_coerced"], r["timestamp_coerced"]) for r in rows] == [
+        (False, False), (True, True), (False, False),
+    ]
+
+
+@pytest.mark.parametrize("case_sensitive", ["false", "true"])
+def test_text_of_elements(spark, feed_of, case_sensitive):
+    values = [
+        fragment(TransactionId="  a b\t"),
+        fragment(TransactionId="<![CDATA[<x>&]]>"),
+        fragment(TransactionId="a&amp;b&#65;"),
+        fragment(TransactionId="a<!-- no -->b"),
+        fragment(TransactionId="null"),
+        fragment(TransactionId=""),
+        "<Data><TransactionId/></Data>",
+        "<Data><TransactionId>1</TransactionId><TransactionId>2</TransactionId></Data>",
+        "<Data><transactionid>1</transactionid></Data>",
+        "<Data><TransactionId>1</TransactionId><TRANSACTIONID x='y'/></Data>",
+        "<Data><TransactionId a='1'>7</TransactionId></Data>",
+        "<Data><Nested><TransactionId>1</TransactionId></Nested></Data>",
+    ]
+    spark.conf.set("spark.sql.caseSensitive", case_sensitive)
+    try:
+        rows = messages(parse_feed(feed_of(values))).orderBy("offset").collect()
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+    expected = ["  a b\t", "<x>&", "a&bA", "ab", "null", "", "", "2", None, "1", "7", None]
+    assert [r["transaction_id"] for r in rows] == expected
+
+
+def test_long_texts_are_read_whole(feed_of):
+    many_comments = "<!-- c -->\n" * 20_000
+    values = [
+        many_comments + LEAF + many_comments,
+        fragment(TransactionId="x" * 2_000_000),
+        " " * 2_000_000,
+        "<Data a='" + "b " * 200_000 + "'/>",
+        " " * 500_000 + LEAF + "\n" * 500_000,
+    ]
+    rows = parse_feed(feed_of(values)).select("offset", "parsed", "transaction_id").orderBy("offset").collect()
+    assert [r["parsed"] for r in rows] == [True, True, False, True, True]
+    assert len(rows[1]["transaction_id"]) == 2_000_000
+
+
+def test_sample_split_into_lines_is_all_rejects(feed_of):
+    lines = SAMPLE.splitlines()
+    assert rejects(parse_feed(feed_of(lines))).count() == len(lines)
+
+
+def test_rejects_keep_the_record(feed_of):
+    row = rejects(parse_feed(feed_of(["<Data>"]))).first()
+    assert (row["topic"], row["partition"], row["offset"], row["value"]) == ("t", 0, 0, "<Data>")
+
+
+def test_bytes_are_accepted_as_values(spark):
+    rows = [(None, bytearray(SAMPLE.encode()), "t", 0, 0)]
+    feed = spark.createDataFrame(rows, "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT")
+    assert parse_feed(feed).first()["parsed"]
+
+
+def test_document_is_parsed_once(feed_of):
+    """Filters on typed fields must not copy the parser into the plan."""
+    feed = feed_of([SAMPLE])
+    for df in (
+        filter_publishable(messages(parse_feed(feed))),
+        prepare(feed).filter("reason IS NULL").groupBy("message_type").count(),
+        rejects(parse_feed(feed)),
+    ):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.lower().count("from_xml(") + plan.count("xmltostructs(") == 1, plan
+
+
+def test_schema(feed_of):
+    typed = messages(parse_feed(feed_of([SAMPLE]))).select(*S.MESSAGE.fieldNames()).schema
+    assert [(f.name, f.dataType) for f in typed] == [(f.name, f.dataType) for f in S.MESSAGE]
