@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from cardweave.storage import stage
 
@@ -24,53 +25,43 @@ def call_health(
     """Failure rate of the last ``window_calls`` calls of each service, at every call.
 
     A service may own any share of the log, so it is not windowed as one group. The
-    calls are range-partitioned by (service, order) into balanced slices, and each
-    slice also gets the few calls just before it, taken from the ends of the earlier
-    slices: at most ``window_calls - 1`` rows per slice travel. ``order`` must be unique
-    within a service. ``flagged`` needs a full window.
+    calls are range-partitioned by (service, order) into balanced slices and windowed
+    slice by slice. Only the first ``window_calls - 1`` calls of a slice look further
+    back; they are windowed again among the first and last calls of all slices, which
+    are ``2 * (window_calls - 1)`` rows per slice, however long the log. ``order`` must
+    be unique within a service. ``flagged`` needs a full window.
     """
-    spark = calls.sparkSession
-    halo = window_calls - 1
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    reach = window_calls - 1
+    slices = slices or int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         calls.select(service.alias("service"), *order, failed.cast("int").alias("_failed"))
         .repartitionByRange(slices, "service", *order)
         .withColumn("_slice", F.spark_partition_id())
     )
-    # Written down once: every reader below sees the same slices.
-    sliced = stage(ranged, "calls")
-
-    in_slice = Window.partitionBy("service", "_slice")
-    ends = (
-        sliced.withColumn("_rank", F.row_number().over(in_slice.orderBy(*[F.desc(c) for c in order])))
-        .filter(F.col("_rank") <= halo)
-        .drop("_rank")
-    )
-    # At most halo rows per slice, whatever the size of the log.
-    ends = ends.withColumn("_position", F.row_number().over(Window.partitionBy("service").orderBy("_slice", *order)))
-    starts = ends.groupBy("service", "_slice").agg(F.min("_position").alias("_start"))
-    reach = F.explode(F.sequence(F.col("_position") + 1, F.col("_position") + halo))
-    before = (
-        ends.drop("_slice")
-        .withColumn("_start", reach)
-        .join(starts, ["service", "_start"])
-        .select("service", *order, "_failed", "_slice", F.lit(True).alias("_halo"))
+    in_slice = Window.partitionBy("service", "_slice").orderBy(*order)
+    windowed = stage(
+        ranged.withColumns(
+            {
+                **_recent(in_slice.rowsBetween(-reach, 0)),
+                "_first": F.row_number().over(in_slice) <= reach,
+                "_last": F.lead(F.lit(1), reach).over(in_slice).isNull(),
+            }
+        ),
+        "calls",
     )
-    rows = sliced.withColumn("_halo", F.lit(False)).unionByName(before)
-    recent = in_slice.orderBy(*order).rowsBetween(-halo, 0)
-    failures = F.sum("_failed").over(recent)
-    size = F.count("*").over(recent)
-    return (
-        rows.withColumns({"failures": failures, "window_size": size})
-        .filter(~F.col("_halo"))
-        .select(
-            "service",
-            *order,
-            "window_size",
-            "failures",
-            (F.col("failures") / F.col("window_size")).alias("failure_rate"),
-            (
-                (F.col("window_size") == window_calls) & (F.col("failures") >= threshold * F.col("window_size"))
-            ).alias("flagged"),
-        )
+    across = Window.partitionBy("service").orderBy("_slice", *order).rowsBetween(-reach, 0)
+    edges = windowed.filter("_first OR _last").withColumns(_recent(across))
+    whole = windowed.filter("NOT _first").unionByName(edges.filter("_first"))
+    full = F.col("window_size") == window_calls
+    return whole.select(
+        "service",
+        *order,
+        "window_size",
+        "failures",
+        (F.col("failures") / F.col("window_size")).alias("failure_rate"),
+        (full & (F.col("failures") >= threshold * F.col("window_size"))).alias("flagged"),
     )
+
+
+def _recent(window: WindowSpec) -> dict[str, Column]:
+    return {"failures": F.sum("_failed").over(window), "window_size": F.count("*").over(window)}

@@ -1,0 +1,168 @@
+import json
+from decimal import Decimal
+
+import pytest
+from conftest import SAMPLE, fragment
+from pyspark.sql import functions as F
+
+from cardweave import schemas as S
+from cardweave.operators.codec import decrypt_feed, encrypt_feed
+from cardweave.operators.filters import filter_publishable
+from cardweave.operators.metrics import masked_report, observed, outcome_metrics
+from cardweave.operators.outcome import prepare, process, quarantined
+from cardweave.operators.parse import messages, parse_feed
+from cardweave.operators.requests import request_json, save_service, to_save_request
+from cardweave.operators.service import RetryPolicy
+from cardweave.operators.tokenise import tokenise_local
+
+KEY = b"0123456789abcdef"
+ONCE = RetryPolicy(max_attempts=1)
+
+
+def no_token(df, active):
+    return df.withColumn("tokenised_pan", F.lit(None).cast("string"))
+
+
+def saver(ok):
+    return lambda df, active: df.withColumn("save_ok", active & F.lit(ok))
+
+
+def outcomes(df):
+    return [(r["result"], r["reason"]) for r in df.orderBy("offset").collect()]
+
+
+def test_sample_succeeds(feed_of):
+    row = process(feed_of([SAMPLE]), tokenise_local()).first()
+    assert (row["result"], row["reason"], row["tokenised_pan"], row["attempts"]) == ("SUCCESS", "OK", "TOK-STUB-1111", 1)
+
+
+def test_skipped(feed_of):
+    values = [None, "<bad", fragment(RecordType="OTHER"), fragment(MessageType="TAR"), fragment(MessageType="XYZ")]
+    assert outcomes(process(feed_of(values), tokenise_local())) == [
+        ("SKIPPED", "MALFORMED"),
+        ("SKIPPED", "MALFORMED"),
+        ("SKIPPED", "NOT_PTLFX"),
+        ("SKIPPED", "NOT_ACTIONABLE"),
+        ("SKIPPED", "NOT_ACTIONABLE"),
+    ]
+
+
+def test_skipped_records_are_neither_tokenised_nor_saved(feed_of):
+    df = process(feed_of([fragment(MessageType="TAR")]), tokenise_local(), saver(True))
+    row = df.first()
+    assert (row["tokenised_pan"], row["digital_pan"], row["attempts"]) == (None, None, 0)
+
+
+@pytest.mark.parametrize("message_type", ["TVN", "TCN", "ACN"])
+def test_tokenise_failure_means_retry_without_saving(feed_of, tmp_path, message_type):
+    folder = str(tmp_path)
+
+    def factory():
+        def client(body):
+            open(folder + "/called", "w").close()
+
+        return client
+
+    df = process(feed_of([fragment(MessageType=message_type)]), no_token, save_service(factory, ONCE))
+    assert outcomes(df) == [("RETRY", "TOKENISE_FAILED")]
+    assert not list(tmp_path.iterdir())
+
+
+def test_save_failure_means_retry(feed_of):
+    assert outcomes(process(feed_of([SAMPLE]), tokenise_local(), saver(False))) == [("RETRY", "SAVE_FAILED")]
+    assert outcomes(process(feed_of([SAMPLE]), tokenise_local(), saver(None))) == [("RETRY", "SAVE_FAILED")]
+
+
+def test_save_service_sends_each_request_once(feed_of, tmp_path):
+    folder = str(tmp_path)
+
+    def factory():
+        import uuid
+
+        def client(body):
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                out.write(body)
+            if json.loads(body)["transactionId"] == "TXN-bad":
+                raise ConnectionError("503")
+
+        return client
+
+    values = [fragment(TransactionId="TXN-good"), fragment(TransactionId="TXN-bad"), "<bad"]
+    df = process(feed_of(values), tokenise_local(), save_service(factory, ONCE))
+    assert outcomes(df) == [("SUCCESS", "OK"), ("RETRY", "SAVE_FAILED"), ("SKIPPED", "MALFORMED")]
+    assert df.filter("save_attempts = 1").count() == 2
+    assert len(list(tmp_path.iterdir())) == 2
+
+
+def test_request_carries_the_token_and_not_the_pan(feed_of):
+    request = to_save_request(process(feed_of([SAMPLE]), tokenise_local()))
+    assert request.columns == [*S.RECORD_ID, *S.REQUEST_FIELDS]
+    row = request.drop(*S.RECORD_ID).first()
+    assert tuple(row) == ("TVN", "TXN-20240101-001", "TOK-STUB-1111", Decimal("123.45"), "NZD", "00", "2024-01-15T10:30")
+
+
+def test_request_json(feed_of):
+    values = [
+        SAMPLE,
+        fragment(Amount=None, Timestamp=None, TransactionId='q"\\,"amount":"1', CurrencyCode=None),
+        fragment(Amount="1E3"),
+        fragment(Amount="9" * 40 + ".10"),
+    ]
+    tokenised = tokenise_local()(messages(parse_feed(feed_of(values))), F.lit(True))
+    bodies = [r[0] for r in tokenised.orderBy("offset").select(request_json()).collect()]
+    assert bodies[0] == (
+        '{"messageType":"TVN","transactionId":"TXN-20240101-001","tokenisedPan":"TOK-STUB-1111","amount":123.45,'
+        '"currencyCode":"NZD","responseCode":"00","timestamp":"2024-01-15T10:30"}'
+    )
+    second = json.loads(bodies[1])
+    assert second["transactionId"] == 'q"\\,"amount":"1'
+    assert (second["amount"], second["timestamp"], second["currencyCode"]) == (None, None, None)
+    assert '"amount":1E+3,' in bodies[2]
+    assert f'"amount":{"9" * 40}.10,' in bodies[3]
+
+
+def test_encrypted_feed_and_quarantine(feed_of):
+    sealed = encrypt_feed(feed_of([SAMPLE, SAMPLE, SAMPLE]), KEY)
+    damaged = sealed.withColumn("value", F.when(F.col("offset") == 1, F.expr("left(value, 60)")).otherwise(F.col("value")))
+    mixed = damaged.unionByName(feed_of([SAMPLE], partition=1))
+    done = process(mixed, tokenise_local(), decoder=lambda feed: decrypt_feed(feed, KEY))
+    assert sorted((r["partition"], r["offset"], r["reason"]) for r in done.collect()) == [
+        (0, 0, "OK"), (0, 1, "DECRYPT_FAILED"), (0, 2, "OK"), (1, 0, "OK"),
+    ]
+    [kept] = quarantined(done).collect()
+    assert (kept["offset"], len(kept["value"])) == (1, 60)
+    assert done.filter("value IS NOT NULL").count() == 1
+
+
+def test_masked_report_shows_no_pan(feed_of):
+    rows = masked_report(messages(parse_feed(feed_of([SAMPLE, fragment(DigitalPan=None)])))).orderBy("offset").collect()
+    assert [r["masked_pan"] for r in rows] == ["************1111", "****"]
+    assert all("4111111111111111" not in str(r) for r in rows)
+
+
+def test_metrics(feed_of):
+    values = [SAMPLE, fragment(Amount="x"), fragment(Timestamp="x", Amount="y"), fragment(MessageType="TAR", Amount="z"), "<"]
+    done = process(feed_of(values), tokenise_local())
+    rows = {(r["result"], r["reason"], r["message_type"]): r for r in outcome_metrics(done).collect()}
+    assert {k: (r["records"], r["amounts_coerced"], r["timestamps_coerced"]) for k, r in rows.items()} == {
+        ("SUCCESS", "OK", "TVN"): (3, 2, 1),
+        ("SKIPPED", "NOT_ACTIONABLE", "TAR"): (1, 1, 0),
+        ("SKIPPED", "MALFORMED", None): (1, 0, 0),
+    }
+    watched, observation = observed(done)
+    watched.write.format("noop").mode("overwrite").save()
+    assert observation.get == {
+        "records": 5, "succeeded": 3, "skipped": 2, "to_retry": 0, "amounts_coerced": 3, "timestamps_coerced": 1,
+    }
+
+
+def test_prepared_records_keep_no_raw_value(feed_of):
+    assert prepare(feed_of([SAMPLE, "<bad"])).filter("value IS NOT NULL").count() == 0
+
+
+def test_unfiltered_and_filtered_agree(feed_of):
+    values = [fragment(RecordType=r, MessageType=m) for r in ("PTLFX", "OTHER") for m in ("TVN", "TAR", "ACN", "?")]
+    feed = feed_of(values)
+    kept = {r["offset"] for r in filter_publishable(messages(parse_feed(feed))).collect()}
+    ok = {r["offset"] for r in process(feed, tokenise_local()).filter("reason = 'OK'").collect()}
+    assert kept == ok == {0, 2}
