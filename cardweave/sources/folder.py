@@ -2,24 +2,38 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamReader
 
 from cardweave.functions.plan import BROADCAST_BYTES, fits_broadcast
 from cardweave.functions.text import stem, utf8_text
 from cardweave.storage import folder_in_task
 
 
-def _directly_in(folder: str) -> Column:
-    """Spark also descends into ``name=value`` sub-folders; their files are not in the feed."""
-    name = folder.rstrip("/").rsplit("/", 1)[-1]
-    parent = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]*\z", 1)
-    return parent.isin(name, quote(name))
+def _plain_path(folder: str) -> str:
+    return (urlsplit(folder).path if ":/" in folder else os.path.abspath(folder)).rstrip("/")
+
+
+def _decoded(uri: Column) -> Column:
+    """Spark gives file names and paths in URI form, where a plus is a plus."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def _file_path() -> Column:
+    """Path of the file, without scheme and authority."""
+    return F.regexp_replace(_decoded(F.col("_metadata.file_path")), r"\A[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+
+
+def _text_files(reader: DataFrameReader | DataStreamReader) -> DataFrameReader | DataStreamReader:
+    # The recursive lookup is what keeps Spark from reading sub-folder names as partitions.
+    return reader.format("text").options(wholetext=True, recursiveFileLookup=True)
 
 
 def _checked(text: Column, on_invalid: str) -> Column:
@@ -27,10 +41,13 @@ def _checked(text: Column, on_invalid: str) -> Column:
 
 
 def _records(files: DataFrame, folder: str, on_invalid: str) -> DataFrame:
-    return files.filter(_directly_in(folder)).select(
-        stem(F.col("_metadata.file_name")).alias("key"),
+    """Files of sub-folders are not in the feed."""
+    path = _file_path()
+    directly = F.regexp_replace(path, r"/[^/]*\z", "") == _plain_path(folder)
+    return files.filter(directly).select(
+        stem(_decoded(F.col("_metadata.file_name"))).alias("key"),
         _checked(F.col("value"), on_invalid).alias("value"),
-        F.col("_metadata.file_path").alias("path"),
+        path.alias("path"),
         F.col("_metadata.file_modification_time").alias("modified"),
     )
 
@@ -41,11 +58,7 @@ def _passed_over(spark: SparkSession, folder: str, on_invalid: str) -> DataFrame
     One task lists names; the files are then read by as many tasks as there are
     partitions.
     """
-    base = folder.rstrip("/")
-    if base.startswith("file:/") and not base.startswith("file:///"):
-        base = base.replace("file:/", "file:///", 1)
-    elif base.startswith("/"):
-        base = "file://" + base
+    parent = _plain_path(folder)
 
     def list_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -68,7 +81,7 @@ def _passed_over(spark: SparkSession, folder: str, on_invalid: str) -> DataFrame
                     {
                         "name": [row.name],
                         "content": [content],
-                        "path": [f"{base}/{quote(row.name)}"],
+                        "path": [f"{parent}/{row.name}"],
                         "modified": [row.modified],
                     }
                 )
@@ -96,7 +109,7 @@ def read_folder(
     path, for a reader to whom order matters. ``complete=False`` leaves out empty files
     and hidden names, as Spark does.
     """
-    records = _records(spark.read.option("wholetext", True).text(folder), folder, on_invalid)
+    records = _records(_text_files(spark.read).load(folder), folder, on_invalid)
     if complete:
         records = records.unionByName(_passed_over(spark, folder, on_invalid))
     return records.orderBy("path") if ordered else records
@@ -111,7 +124,7 @@ def watch_folder(
     rewritten under its old name is picked up by :func:`changed_files`; empty files and
     hidden names by :func:`read_folder`.
     """
-    reader = spark.readStream.format("text").schema("value STRING").option("wholetext", True)
+    reader = _text_files(spark.readStream.schema("value STRING"))
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return _records(reader.load(folder), folder, on_invalid)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from urllib.parse import quote, urlsplit
 
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -69,8 +71,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def folder_in_task(folder: str) -> tuple[fs.FileSystem, str]:
-    """File system and path of a Spark folder name, for use inside a task."""
-    uri = folder.rstrip("/")
-    if uri.startswith("file:/") and not uri.startswith("file:///"):
-        uri = uri.replace("file:/", "file:///", 1)
-    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    """File system and path of a folder, for use inside a task.
+
+    On a cluster the folder needs its scheme; without one it is local.
+    """
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), urlsplit(folder).path.rstrip("/")
+    if ":/" not in folder:
+        return fs.LocalFileSystem(), os.path.abspath(folder)
+    return fs.FileSystem.from_uri(quote(folder.rstrip("/").replace("s3a://", "s3://", 1), safe=":/@"))

@@ -1,0 +1,176 @@
+import json
+
+import pytest
+from conftest import fragment
+from pyspark.sql import functions as F
+
+from cardweave import schemas as S
+from cardweave.operators.codec import decrypt_feed, encrypt_feed
+from cardweave.operators.ledger import offset_ledger
+from cardweave.operators.requests import save_service
+from cardweave.operators.service import RetryPolicy
+from cardweave.operators.tokenise import tokenise_local, tokenise_service, tokenise_vault
+from cardweave.sinks.store import Store
+from cardweave.storage import shared_folder
+from cardweave.streaming import run
+
+KEY = b"0123456789abcdef"
+
+
+def saver(df, active):
+    """Saves succeed from the attempt that the response code names."""
+    return df.withColumn("save_ok", active & (F.col("attempts") >= F.col("response_code").cast("int")))
+
+
+@pytest.fixture
+def harness(spark, tmp_path, feed_of):
+    class Harness:
+        store = Store(spark, str(tmp_path / "store"))
+
+        def drop(self, values, partition=0, start=0):
+            feed = feed_of(values, partition).withColumn("offset", F.col("offset") + start)
+            feed.write.mode("append").parquet(str(tmp_path / "feed"))
+
+        def run(self, tokeniser=None, saver=saver, **options):
+            source = spark.readStream.schema(S.FEED).parquet(str(tmp_path / "feed"))
+            query = run.run_stream(
+                source, self.store.root, str(tmp_path / "checkpoint"), tokeniser or tokenise_local(), saver, **options
+            )
+            query.awaitTermination()
+
+        def final(self):
+            rows = run.final_outcomes(self.store).collect()
+            return {(r["partition"], r["offset"]): (r["result"], r["reason"], r["attempts"]) for r in rows}
+
+    return Harness()
+
+
+def need(attempts):
+    return fragment(ResponseCode=str(attempts))
+
+
+def test_failed_records_come_back_with_the_next_batch(harness):
+    harness.drop([need(1), need(2), "<bad", need(3), fragment(MessageType="TAR")])
+    harness.run()
+    assert harness.final() == {
+        (0, 0): ("SUCCESS", "OK", 1),
+        (0, 1): ("RETRY", "SAVE_FAILED", 1),
+        (0, 2): ("SKIPPED", "MALFORMED", 0),
+        (0, 3): ("RETRY", "SAVE_FAILED", 1),
+        (0, 4): ("SKIPPED", "NOT_ACTIONABLE", 0),
+    }
+    ledger = harness.store.batch("ledger", 0).first()
+    assert (ledger["committed"], ledger["first_unacked"], ledger["safe_position"]) == (5, 1, 1)
+    risk = harness.store.batch("at_risk", 0).collect()
+    assert sorted(r["offset"] for r in risk) == [1, 3]
+
+    harness.drop([need(1)], start=5)
+    harness.run()
+    assert harness.final()[(0, 1)] == ("SUCCESS", "OK", 2)
+    assert harness.final()[(0, 3)] == ("RETRY", "SAVE_FAILED", 2)
+    ledger = harness.store.batch("ledger", 1).first()
+    assert (ledger["committed"], ledger["first_unacked"], ledger["safe_position"]) == (6, 3, 3)
+
+    harness.drop([need(1)], partition=1)
+    harness.run()
+    final = harness.final()
+    assert final[(0, 3)] == ("SUCCESS", "OK", 3)
+    assert len(final) == 7 and run.final_outcomes(harness.store).count() == 7
+    # The merged ledger equals the one drawn from all final outcomes.
+    merged = {tuple(r) for r in harness.store.batch("ledger", 2).collect()}
+    whole = offset_ledger(run.final_outcomes(harness.store)).select("topic", "partition", "committed", "first_unacked", "safe_position")
+    assert merged == {tuple(r) for r in whole.collect()}
+    # Every success is saved exactly once.
+    saved = harness.store.table("transactions")
+    assert sorted((r["partition"], r["offset"]) for r in saved.collect()) == [(0, 0), (0, 1), (0, 3), (0, 5), (1, 0)]
+
+
+def test_a_replayed_batch_changes_nothing(harness, feed_of):
+    first, second = feed_of([need(1), need(2)]), feed_of([need(1)], partition=1)
+
+    def tables():
+        names = ("outcomes", "transactions", "ledger", "at_risk", "metrics")
+        return {n: sorted(map(str, harness.store.table(n).collect())) for n in names}
+
+    for batch_id, batch in ((0, first), (1, second)):
+        run.settle_batch(harness.store, batch, batch_id, tokenise_local(), saver)
+    before = tables()
+    run.settle_batch(harness.store, second, 1, tokenise_local(), saver)
+    assert tables() == before
+
+
+def test_a_batch_cut_short_is_not_read(harness, feed_of):
+    run.settle_batch(harness.store, feed_of([need(2)]), 0, tokenise_local(), saver)
+    # The next batch got as far as its outcomes.
+    outcomes = harness.store.batch("outcomes", 0)
+    harness.store.write("outcomes", 1, outcomes.withColumn("result", F.lit("SUCCESS")))
+    assert harness.final() == {(0, 0): ("RETRY", "SAVE_FAILED", 1)}
+    run.settle_batch(harness.store, feed_of([need(1)], partition=1), 1, tokenise_local(), saver)
+    assert harness.final() == {(0, 0): ("SUCCESS", "OK", 2), (1, 0): ("SUCCESS", "OK", 1)}
+
+
+def test_card_numbers_are_kept_only_to_retry(harness, feed_of):
+    run.settle_batch(harness.store, feed_of([need(1), need(2), "<bad"]), 0, tokenise_local(), saver)
+    rows = harness.store.batch("outcomes", 0).filter("digital_pan IS NOT NULL").collect()
+    assert [r["offset"] for r in rows] == [1]
+    for name in ("transactions", "metrics", "ledger", "at_risk"):
+        assert "4111111111111111" not in str(harness.store.batch(name, 0).collect())
+
+
+def test_vault_outage_and_recovery(spark, harness):
+    empty = spark.createDataFrame([], "digital_pan STRING, tokenised_pan STRING")
+    filled = spark.createDataFrame([("4111111111111111", "TOK-1")], "digital_pan STRING, tokenised_pan STRING")
+    harness.drop([need(1)])
+    harness.run(tokenise_vault(empty))
+    assert harness.final() == {(0, 0): ("RETRY", "TOKENISE_FAILED", 1)}
+    harness.drop([need(1)], start=1)
+    harness.run(tokenise_vault(filled))
+    assert harness.final() == {(0, 0): ("SUCCESS", "OK", 2), (0, 1): ("SUCCESS", "OK", 1)}
+
+
+def test_encrypted_stream_with_quarantine(harness, feed_of, spark, tmp_path):
+    sealed = encrypt_feed(feed_of([need(1), need(1)]), KEY)
+    cut = sealed.withColumn("value", F.when(F.col("offset") == 1, F.expr("left(value, 50)")).otherwise(F.col("value")))
+    cut.unionByName(feed_of([need(1)], partition=1)).write.parquet(str(tmp_path / "feed"))
+    harness.run(decoder=lambda feed: decrypt_feed(feed, KEY))
+    assert harness.final() == {
+        (0, 0): ("SUCCESS", "OK", 1),
+        (0, 1): ("SKIPPED", "DECRYPT_FAILED", 0),
+        (1, 0): ("SUCCESS", "OK", 1),
+    }
+    [kept] = run.quarantine(harness.store).collect()
+    assert (kept["offset"], len(kept["value"])) == (1, 50)
+
+
+def test_services_in_a_stream_leave_no_staged_tables(spark, harness, tmp_path):
+    import os
+
+    def tokens():
+        return lambda body: json.dumps({"tokenisedPan": "TOK-" + json.loads(body)["digitalPan"][-4:]})
+
+    def saves():
+        def client(body):
+            if json.loads(body)["tokenisedPan"] != "TOK-1111":
+                raise ConnectionError
+
+        return client
+
+    once = RetryPolicy(max_attempts=1)
+    folder = shared_folder(spark).removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    before = set(os.listdir(folder))
+    harness.drop([fragment(), fragment(DigitalPan="9999"), fragment(RecordType="X")])
+    harness.run(tokenise_service(tokens, once, parallelism=2), save_service(saves, once))
+    assert harness.final() == {
+        (0, 0): ("SUCCESS", "OK", 1),
+        (0, 1): ("RETRY", "SAVE_FAILED", 1),
+        (0, 2): ("SKIPPED", "NOT_PTLFX", 0),
+    }
+    assert set(os.listdir(folder)) == before
+
+
+def test_metrics_per_batch(harness):
+    harness.drop([need(1), need(2), "<bad"])
+    harness.run()
+    rows = {(r["result"], r["reason"]): r["records"] for r in harness.store.batch("metrics", 0).collect()}
+    assert rows == {("SUCCESS", "OK"): 1, ("RETRY", "SAVE_FAILED"): 1, ("SKIPPED", "MALFORMED"): 1}
