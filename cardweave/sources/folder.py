@@ -16,6 +16,9 @@ from cardweave.functions.plan import BROADCAST_BYTES, fits_broadcast
 from cardweave.functions.text import stem, utf8_text
 from cardweave.storage import folder_in_task
 
+# Fixed value: how long a file must have been left alone.
+SETTLE_SECONDS = 0.25
+
 
 def _plain_path(folder: str) -> str:
     return (urlsplit(folder).path if ":/" in folder else os.path.abspath(folder)).rstrip("/")
@@ -120,9 +123,9 @@ def watch_folder(
 ) -> DataFrame:
     """Stream of the files in ``folder``, those present first, then each new one.
 
-    Files are taken as written once and whole (moved in when complete). A file that is
-    rewritten under its old name is picked up by :func:`changed_files`; empty files and
-    hidden names by :func:`read_folder`.
+    Files are taken as written once and whole (moved in when complete). Spark's stream
+    lists neither empty files nor hidden names, and a rewritten file only once; where
+    those matter, poll the folder (``cardweave.streaming.watch``).
     """
     reader = _text_files(spark.readStream.schema("value STRING"))
     if files_per_batch:
@@ -130,6 +133,12 @@ def watch_folder(
     return _records(reader.load(folder), folder, on_invalid)
 
 
+def settled(files: DataFrame, seconds: float = SETTLE_SECONDS) -> DataFrame:
+    """Files that were last written at least ``seconds`` ago."""
+    pause = F.make_dt_interval(secs=F.lit(seconds))
+    return files.filter(F.col("modified") <= F.current_timestamp() - pause)
+
+
 def changed_files(current: DataFrame, seen: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Files of ``current`` that are new or were modified since ``seen`` (path, modified)."""
     keys = seen.select("path", "modified")

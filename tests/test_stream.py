@@ -174,3 +174,28 @@ def test_metrics_per_batch(harness):
     harness.run()
     rows = {(r["result"], r["reason"]): r["records"] for r in harness.store.batch("metrics", 0).collect()}
     assert rows == {("SUCCESS", "OK"): 1, ("RETRY", "SAVE_FAILED"): 1, ("SKIPPED", "MALFORMED"): 1}
+
+
+def test_open_records_come_back_in_silence(spark, harness, tmp_path):
+    import time
+
+    harness.drop([need(1), need(3)])
+    source = spark.readStream.schema(S.FEED).parquet(str(tmp_path / "feed"))
+    query = run.run_stream(
+        run.with_ticks(source),
+        harness.store.root,
+        str(tmp_path / "checkpoint"),
+        tokenise_local(),
+        saver,
+        trigger={"processingTime": "1 second"},
+    )
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline:
+            assert query.isActive, query.exception()
+            time.sleep(0.5)
+            if len(query.recentProgress) >= 5:
+                break
+    finally:
+        query.stop()
+    assert harness.final() == {(0, 0): ("SUCCESS", "OK", 1), (0, 1): ("SUCCESS", "OK", 3)}
