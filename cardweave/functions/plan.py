@@ -45,8 +45,9 @@ def lookup_join(
     shuffled. Beyond it both sides are hashed on (key, salt): the right side is
     repeated once per salt and each left row picks its salt from ``row_id``, so a
     hot key is spread over ``salts`` tasks (and AQE can split those further, since
-    both inputs are plain exchanges). Rows with a null key match nothing and are
-    spread evenly.
+    both inputs are plain exchanges). The merge hint keeps Spark from broadcasting the
+    repeated side on an estimate. Rows with a null key match nothing and are spread
+    evenly.
     """
     if fits_broadcast(right if measured is None else measured, broadcast_bytes):
         return left.join(F.broadcast(right), on, "left")
@@ -58,7 +59,7 @@ def lookup_join(
     salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return (
         left.withColumn("_salt", salt)
-        .join(salted.withColumn("_salt", F.col("_salt").cast("bigint")), [*on, "_salt"], "left")
+        .join(salted.withColumn("_salt", F.col("_salt").cast("bigint")).hint("merge"), [*on, "_salt"], "left")
         .drop("_salt")
     )
 

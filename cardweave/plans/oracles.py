@@ -111,8 +111,7 @@ SELECT 'msg.' || k AS key, NOT damaged AS parsed,
   CASE WHEN damaged THEN NULL ELSE 'TXN-' || k END AS transaction_id,
   CASE WHEN damaged OR k % 11 = 0 THEN NULL WHEN k % 13 = 0 THEN '12'
     ELSE '4' || lpad(CAST(k AS VARCHAR), 15, '0') END AS digital_pan,
-  CASE WHEN damaged OR k % 19 = 0 OR k % 17 = 0 THEN NULL ELSE CAST(cents AS DECIMAL(18, 2)) / 100 END
-    ::DECIMAL(18, 2) AS amount,
+  CASE WHEN damaged OR k % 19 = 0 OR k % 17 = 0 THEN NULL ELSE CAST(cents AS DOUBLE) / 100 END AS amount,
   CASE WHEN damaged OR k % 23 = 0 THEN NULL
     ELSE TIMESTAMP '1998-01-01 00:00:00' + to_seconds(k % 86400) END AS event_timestamp
 FROM f"""
@@ -125,7 +124,7 @@ _TOKEN_LOOKUP = _with(
 _OFFERED = _PUBLISHED + _VAULT + ", q AS (SELECT p.*, w.token FROM p JOIN (SELECT DISTINCT pan, token FROM v) w ON p.pan = w.pan)"
 
 _REQUEST = f"""mt AS "messageType", txn AS "transactionId", token AS "tokenisedPan",
-  CAST(amt AS DECIMAL(18, 2)) AS amount, cur AS "currencyCode", rc AS "responseCode", {_ISO} AS "timestamp\""""
+  CAST(CAST(amt AS DECIMAL(18, 2)) AS DOUBLE) AS amount, cur AS "currencyCode", rc AS "responseCode", {_ISO} AS "timestamp\""""
 
 _LEDGER = """SELECT 'rtf' AS topic, part AS "partition",
   coalesce(max(CASE WHEN result <> 'RETRY' THEN pos END) + 1, 0) AS committed,
@@ -141,7 +140,7 @@ ORACLES: dict[str, str] = {
     "parse_messages": _with(
         _PARSED,
         f"""SELECT {_ID}, mt AS message_type, rt AS record_type, txn AS transaction_id, pan AS digital_pan,
-          CAST(amt AS DECIMAL(18, 2)) AS amount, amt AS amount_text, cur AS currency_code, rc AS response_code,
+          CAST(CAST(amt AS DECIMAL(18, 2)) AS DOUBLE) AS amount, amt AS amount_text, cur AS currency_code, rc AS response_code,
           ts AS event_timestamp, (k % 19 <> 0 AND k % 17 = 0) AS amount_coerced, (k % 23 = 0) AS timestamp_coerced
         FROM m""",
     ),
@@ -199,7 +198,7 @@ ORACLES: dict[str, str] = {
         """SELECT CASE WHEN tries = 0 THEN 'SKIPPED' ELSE 'SUCCESS' END AS result,
           CASE WHEN tries = 0 THEN reason ELSE 'OK' END AS reason,
           count(*) AS records,
-          CAST(sum(CASE WHEN tries > 0 THEN CAST(amt AS DECIMAL(18, 2)) END) AS DECIMAL(18, 2)) AS amount,
+          CAST(sum(CASE WHEN tries > 0 THEN CAST(amt AS DECIMAL(18, 2)) END) AS DOUBLE) AS amount,
           count(CASE WHEN tries > 0 THEN ts END) AS timestamps,
           count(DISTINCT CASE WHEN tries > 0 THEN
             CASE WHEN length(pan) >= 4 THEN right(pan, 4) ELSE '0000' END END) AS tokens
@@ -242,8 +241,8 @@ FROM w""",
     "encrypted_shape": _with(
         _TEXT,
         """SELECT 'order-' || k AS key, txt IS NOT NULL AS sealed,
-          CAST(11 + 16 + 1 + 4 * ((strlen(txt) + 16 + 2) // 3) AS INTEGER) AS characters,
-          CAST(CASE WHEN txt IS NOT NULL THEN 17 END AS INTEGER) AS separator
+          CAST(coalesce(11 + 16 + 1 + 4 * ((strlen(txt) + 16 + 2) // 3), 0) AS INTEGER) AS characters,
+          CAST(CASE WHEN txt IS NOT NULL THEN 17 ELSE 0 END AS INTEGER) AS separator
         FROM t""",
     ),
     "decrypt_mixed": _with(_TEXT, f"SELECT 'order-' || k AS key, {_ID}, txt AS value, false AS decrypt_failed FROM t"),

@@ -21,11 +21,15 @@ from cardweave.storage import fresh_path
 from cardweave.streaming import run
 
 KEY = feeds.KEY_TEXT.encode()
-MONEY = "decimal(18,2)"
 RECORD = ["partition", "offset"]
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _money(amount: str) -> Column:
+    """Amounts leave the queries as doubles, rounded to cents before."""
+    return F.col(amount).cast("decimal(18,2)").cast("double")
+
+
 def _no_wait(_: float) -> None:
     return None
 
@@ -90,7 +94,7 @@ def _save_endpoint() -> Client:
 def parse_messages(spark, sf_dir):
     return _messages(spark, sf_dir).select(
         *RECORD,
-        *[F.col(n).cast(MONEY).alias(n) if n == "amount" else F.col(n) for n in S.MESSAGE.fieldNames()],
+        *[_money(n).alias(n) if n == "amount" else F.col(n) for n in S.MESSAGE.fieldNames()],
         "amount_coerced",
         "timestamp_coerced",
     )
@@ -142,7 +146,7 @@ def _requests(spark, sf_dir):
 
 def save_requests(spark, sf_dir):
     request = requests.to_save_request(_requests(spark, sf_dir))
-    return request.drop("topic").withColumn("amount", F.col("amount").cast(MONEY))
+    return request.drop("topic").withColumn("amount", _money("amount"))
 
 
 def save_payloads(spark, sf_dir):
@@ -170,7 +174,7 @@ def process_local(spark, sf_dir):
         done.groupBy("result", "reason")
         .agg(
             F.count("*").alias("records"),
-            F.sum(F.col("amount").cast(MONEY)).cast(MONEY).alias("amount"),
+            F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"),
             F.count("event_timestamp").alias("timestamps"),
             F.countDistinct("tokenised_pan").alias("tokens"),
         )
@@ -221,8 +225,8 @@ def encrypted_shape(spark, sf_dir):
     return sealed.select(
         "key",
         F.coalesce(value.startswith(PREFIX), F.lit(False)).alias("sealed"),
-        F.length(value).alias("characters"),
-        F.instr(value.substr(F.lit(len(PREFIX) + 1), F.length(value)), ":").alias("separator"),
+        F.coalesce(F.length(value), F.lit(0)).alias("characters"),
+        F.coalesce(F.instr(value.substr(F.lit(len(PREFIX) + 1), F.length(value)), ":"), F.lit(0)).alias("separator"),
     )
 
 
@@ -283,7 +287,7 @@ def stream_transactions(spark, sf_dir):
     return (
         store.table("transactions")
         .drop("topic", "batch_id")
-        .withColumn("amount", F.col("amount").cast(MONEY))
+        .withColumn("amount", _money("amount"))
     )
 
 
@@ -306,7 +310,7 @@ def _folder_messages(records: DataFrame) -> DataFrame:
         "record_type",
         "transaction_id",
         "digital_pan",
-        F.col("amount").cast(MONEY).alias("amount"),
+        _money("amount").alias("amount"),
         "event_timestamp",
     )
 

@@ -71,17 +71,18 @@ def test_hot_keys_give_whole_results(spark, broadcast_bytes):
 def test_salted_lookup_spreads_hot_and_absent_keys(spark):
     """With AQE off, no task of the join gets more than a fair part of the hot third."""
     settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
-    settings["spark.sql.autoBroadcastJoinThreshold"] = "-1"
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         vault = spark.createDataFrame([("hot", "T")], "digital_pan STRING, tokenised_pan STRING")
         df = tokenise_vault(vault, broadcast_bytes=-1)(skewed(spark), F.lit(True))
+        plan = df._jdf.queryExecution().executedPlan().toString()
         sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         for name in settings:
             spark.conf.unset(name)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
     assert sum(sizes) == 30_000
     assert max(sizes) < 30_000 / 4
 
