@@ -54,6 +54,32 @@ MESSAGE = T.StructType(
     ]
 )
 
+# A prepared record: parsed, tagged with the reason to skip it, and ready to be settled.
+PREPARED = T.StructType(
+    [
+        *FEED.fields[2:],
+        T.StructField("value", T.StringType()),
+        *MESSAGE.fields,
+        T.StructField("amount_coerced", T.BooleanType()),
+        T.StructField("timestamp_coerced", T.BooleanType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("attempts", T.IntegerType()),
+    ]
+)
+
+# The tables of the continuous job that its next batch reads.
+OUTCOME = T.StructType(
+    [*PREPARED.fields, T.StructField("tokenised_pan", T.StringType()), T.StructField("result", T.StringType())]
+)
+LEDGER = T.StructType(
+    [
+        *FEED.fields[2:4],
+        T.StructField("committed", T.LongType()),
+        T.StructField("first_unacked", T.LongType()),
+        T.StructField("safe_position", T.LongType()),
+    ]
+)
+
 # Field names of the save request.
 REQUEST_FIELDS = [
     "messageType",

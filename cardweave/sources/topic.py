@@ -18,9 +18,14 @@ def topic_options(
     topic: str | None = None,
     starting: str = "earliest",
     max_per_batch: int | None = None,
+    min_tasks: int | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """Options for the Kafka source. The streaming checkpoint takes the group's place."""
+    """Options for the Kafka source. The streaming checkpoint takes the group's place.
+
+    One task reads one topic partition, unless ``min_tasks`` asks for more: then the
+    partitions that hold most of the records are read in several ranges.
+    """
     if not topic:
         raise ValueError("a topic is required")
     options = {
@@ -30,6 +35,8 @@ def topic_options(
     }
     if max_per_batch:
         options["maxOffsetsPerTrigger"] = str(max_per_batch)
+    if min_tasks:
+        options["minPartitions"] = str(min_tasks)
     return {**options, **(extra or {})}
 
 

@@ -9,20 +9,18 @@ from pyspark.sql.streaming import StreamingQuery
 from cardweave.operators.ledger import at_risk, offset_ledger
 from cardweave.operators.metrics import outcome_metrics
 from cardweave.operators.outcome import Decoder, prepare, settle
-from cardweave.operators.redelivery import PREPARED_COLUMNS, retry_queue, with_pending
+from cardweave.operators.redelivery import retry_queue, with_pending
 from cardweave.operators.requests import Saver, to_save_request
 from cardweave.operators.tokenise import Tokeniser
-from cardweave.schemas import RECORD_ID, Reason, Result
+from cardweave.schemas import LEDGER, OUTCOME, RECORD_ID, Reason, Result
 from cardweave.sinks.store import LAST_TABLE, Store
 from cardweave.storage import staging
 
-OUTCOME_COLUMNS = [*PREPARED_COLUMNS, "tokenised_pan", "result"]
-
 
 def _stored_form(outcomes: DataFrame) -> DataFrame:
     """The PAN is kept only where it is needed again, on records to retry."""
     retry = F.col("result") == Result.RETRY
-    return outcomes.select(*OUTCOME_COLUMNS).withColumn("digital_pan", F.when(retry, F.col("digital_pan")))
+    return outcomes.select(*OUTCOME.fieldNames()).withColumn("digital_pan", F.when(retry, F.col("digital_pan")))
 
 
 def merge_ledger(previous: DataFrame | None, outcomes: DataFrame) -> DataFrame:
@@ -68,8 +66,8 @@ def settle_batch(
         work = prepare(feed, decoder)
         previous = None
         if batch_id > 0:
-            work = with_pending(work, retry_queue(store.batch("outcomes", batch_id - 1)))
-            previous = store.batch("ledger", batch_id - 1)
+            work = with_pending(work, retry_queue(store.batch("outcomes", batch_id - 1, OUTCOME)))
+            previous = store.batch("ledger", batch_id - 1, LEDGER)
         outcomes = store.write("outcomes", batch_id, _stored_form(settle(work, tokeniser, saver)))
 
     saved = to_save_request(outcomes.filter(F.col("result") == Result.SUCCESS))

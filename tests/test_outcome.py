@@ -166,3 +166,14 @@ def test_unfiltered_and_filtered_agree(feed_of):
     kept = {r["offset"] for r in filter_publishable(messages(parse_feed(feed))).collect()}
     ok = {r["offset"] for r in process(feed, tokenise_local()).filter("reason = 'OK'").collect()}
     assert kept == ok == {0, 2}
+
+
+def test_schemas_of_the_stored_tables(feed_of):
+    from cardweave.operators.ledger import offset_ledger
+
+    kinds = lambda schema: [(f.name, f.dataType) for f in schema]
+    feed = feed_of([SAMPLE])
+    assert kinds(prepare(feed).schema) == kinds(S.PREPARED)
+    done = process(feed, tokenise_local())
+    assert kinds(done.select(*S.OUTCOME.fieldNames()).schema) == kinds(S.OUTCOME)
+    assert kinds(offset_ledger(done).schema) == kinds(S.LEDGER)

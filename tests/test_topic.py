@@ -11,10 +11,11 @@ def test_source_options():
         "subscribe": "rtf",
         "startingOffsets": "earliest",
     }
-    options = topic_options("a:1,b:2", "rtf", "latest", 500, {"kafka.security.protocol": "SSL"})
+    options = topic_options("a:1,b:2", "rtf", "latest", 500, 64, {"kafka.security.protocol": "SSL"})
     assert options["kafka.bootstrap.servers"] == "a:1,b:2"
     assert options["startingOffsets"] == "latest"
     assert options["maxOffsetsPerTrigger"] == "500"
+    assert options["minPartitions"] == "64"
     assert options["kafka.security.protocol"] == "SSL"
 
 
