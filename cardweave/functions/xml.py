@@ -42,7 +42,10 @@ _END = rf"</{S.ROOT}[ \t\r\n]*+>{_MISC}\z"
 # Element names are case sensitive, but the session may not be: a known name in other
 # letter case is renamed, so that it stays an unknown element whatever the setting.
 _NAMES = "|".join(S.ELEMENTS)
-_OTHER_CASE = rf"<(/?)(?!(?:{_NAMES})[\s/>])((?i:{_NAMES}))(?=[\s/>])"
+_INITIALS = "".join(sorted({name[0] for name in S.ELEMENTS}))
+_OTHER_CASE = (
+    rf"<(/?+)(?!(?:{_NAMES}|{S.ROOT})[\s/>])(?=[{_INITIALS}{_INITIALS.lower()}])((?i:{_NAMES}))(?=[\s/>])"
+)
 
 
 def read_fragment(value: Column) -> Column:
@@ -52,7 +55,7 @@ def read_fragment(value: Column) -> Column:
     tested for its first and last tag, then parsed inside a wrapper element, where
     stray siblings show up. Text that fails the test is not parsed at all.
     """
-    body = F.regexp_replace(value, _PROLOG, "")
+    body = F.when(value.startswith("<?xml"), F.regexp_replace(value, _PROLOG, "")).otherwise(value)
     framed = body.rlike(_START) & (body.rlike(_END) | body.rlike(_SELF_CLOSED))
     safe = F.regexp_replace(body, _OTHER_CASE, "<$1_$2")
     # A text that closes the wrapper itself gets one whose name it cannot know.
