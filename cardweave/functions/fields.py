@@ -83,16 +83,18 @@ def event_timestamp(raw: Column) -> Column:
 
 
 def iso_local(ts: Column) -> Column:
-    """ISO text; seconds are left out when seconds and fraction are both zero."""
-    micros = F.date_format(ts, "SSSSSS")
-    seconds = F.date_format(ts, ":ss")
-    fraction = (
-        F.when(micros == "000000", "")
-        .when(micros.endswith("000"), F.concat(F.lit("."), micros.substr(1, 3)))
-        .otherwise(F.concat(F.lit("."), micros))
+    """ISO text; seconds are left out when seconds and fraction are both zero.
+
+    Built from the cast, which knows no time zone: ``date_format`` would move a local
+    time that the session's zone skips.
+    """
+    text = F.translate(ts.cast("string"), " ", "T")
+    whole = F.split_part(text, F.lit("."), F.lit(1))
+    fraction = F.split_part(text, F.lit("."), F.lit(2))
+    digits = F.when(F.length(fraction) <= 3, 3).otherwise(6)
+    return F.when(fraction == "", F.regexp_replace(whole, r":00\z", "")).otherwise(
+        F.concat(whole, F.lit("."), F.rpad(fraction, digits, F.lit("0")))
     )
-    clock = F.when((seconds == ":00") & (micros == "000000"), "").otherwise(F.concat(seconds, fraction))
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm"), clock)
 
 
 def was_coerced(raw: Column, typed: Column) -> Column:

@@ -55,7 +55,7 @@ def fragment(k: Column, customer: Column, price: Column, status: Column, placed:
     currency = F.get(F.array(F.lit("NZD"), F.lit("AUD"), F.lit("USD")), (customer % 3).cast("int"))
     response = F.when(status == "F", "00").when(status == "O", "05").otherwise("91")
     moment = placed + F.make_dt_interval(secs=k % 86400)
-    timestamp = F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"), F.when(k % 23 == 0, "Z").otherwise(""))
+    timestamp = F.concat(F.translate(moment.cast("string"), " ", "T"), F.when(k % 23 == 0, "Z").otherwise(""))
     body = F.concat(
         F.lit("<Data>"),
         _leaf("MessageType", message_type),

@@ -16,8 +16,8 @@ from cardweave.operators.service import Client, RetryPolicy
 from cardweave.plans import feed as feeds
 from cardweave.sinks.store import Store
 from cardweave.sinks.topic import publish_records
-from cardweave.sources.folder import read_folder, watch_folder
-from cardweave.storage import fresh_path
+from cardweave.sources.folder import changed_files, read_folder, watch_folder
+from cardweave.storage import fresh_path, stage
 from cardweave.streaming import run
 
 KEY = feeds.KEY_TEXT.encode()
@@ -319,6 +319,16 @@ def folder_feed(spark, sf_dir):
     return _folder_messages(read_folder(spark, _supplier_folder(spark, sf_dir, blank="")))
 
 
+def folder_changes(spark, sf_dir):
+    """The files of suppliers in debt are written again: a second look finds just those."""
+    folder = _supplier_folder(spark, sf_dir, blank="")
+    seen = stage(read_folder(spark, folder).select("path", "modified"), "seen")
+    in_debt = feeds.table(spark, sf_dir, "supplier").filter("s_acctbal < 0")
+    again = in_debt.select(F.concat(F.lit("msg."), "s_suppkey").alias("key"), F.lit("<again/>").alias("value"))
+    feeds.write_files(again, folder)
+    return changed_files(read_folder(spark, folder), seen).select("key", "value")
+
+
 def folder_stream(spark, sf_dir):
     folder = _supplier_folder(spark, sf_dir, blank="\n")
     out = fresh_path(spark, "folder-out")
@@ -365,6 +375,7 @@ QUERIES: dict[str, Query] = {
         stream_transactions,
         stream_ledger,
         folder_feed,
+        folder_changes,
         folder_stream,
     )
 }

@@ -86,14 +86,27 @@ def test_timestamp(column_of):
     assert column_of(fields.event_timestamp, bad) == [None] * len(bad)
 
 
-def test_iso_text_leaves_out_zero_seconds(column_of):
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_iso_text_leaves_out_zero_seconds(spark, column_of, zone):
     texts = {
         "2024-01-15T10:30:00": "2024-01-15T10:30",
+        "2024-01-15T10:00:00": "2024-01-15T10:00",
+        "2024-01-15T00:00:00.000": "2024-01-15T00:00",
         "2024-01-15T10:30:05": "2024-01-15T10:30:05",
         "2024-01-15T10:30:00.1": "2024-01-15T10:30:00.100",
+        "2024-01-15T10:30:00.012": "2024-01-15T10:30:00.012",
+        "2024-01-15T10:30:00.0125": "2024-01-15T10:30:00.012500",
         "2024-01-15T10:30:00.000001": "2024-01-15T10:30:00.000001",
+        # A time that New York skips, and one before its zone was set up.
+        "2024-03-10T02:30:00": "2024-03-10T02:30",
+        "1850-06-01T01:02:03": "1850-06-01T01:02:03",
     }
-    assert column_of(lambda c: fields.iso_local(fields.event_timestamp(c)), [*texts, None]) == [*texts.values(), None]
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = column_of(lambda c: fields.iso_local(fields.event_timestamp(c)), [*texts, None])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [*texts.values(), None]
 
 
 def test_coercion_flags(column_of):
