@@ -271,6 +271,6 @@ FROM w""",
         _LEDGER.format(rows="z"),
     ),
     "folder_feed": _SUPPLIER,
-    "folder_changes": "SELECT 'msg.' || s_suppkey AS key, '<again/>' AS value FROM supplier WHERE s_acctbal < 0",
+    "folder_changes": "SELECT 'msg.' || s_suppkey AS key, '<again/>' AS value FROM supplier WHERE s_acctbal < 5000",
     "folder_stream": _SUPPLIER,
 }

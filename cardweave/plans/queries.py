@@ -320,11 +320,11 @@ def folder_feed(spark, sf_dir):
 
 
 def folder_changes(spark, sf_dir):
-    """The files of suppliers in debt are written again: a second look finds just those."""
+    """The files of suppliers with low balances are written again: a second look finds just those."""
     folder = _supplier_folder(spark, sf_dir, blank="")
     seen = stage(read_folder(spark, folder).select("path", "modified"), "seen")
-    in_debt = feeds.table(spark, sf_dir, "supplier").filter("s_acctbal < 0")
-    again = in_debt.select(F.concat(F.lit("msg."), "s_suppkey").alias("key"), F.lit("<again/>").alias("value"))
+    low = feeds.table(spark, sf_dir, "supplier").filter("s_acctbal < 5000")
+    again = low.select(F.concat(F.lit("msg."), "s_suppkey").alias("key"), F.lit("<again/>").alias("value"))
     feeds.write_files(again, folder)
     return changed_files(read_folder(spark, folder), seen).select("key", "value")
 
