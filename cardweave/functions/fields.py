@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cardweave import schemas as S
+from cardweave.functions.plan import let
 from cardweave.functions.text import java_trim
 
 
@@ -30,9 +31,23 @@ def amount_text(raw: Column) -> Column:
     return F.when(text.rlike(_DECIMAL), text)
 
 
+# Exponents of two digits and more.
+_LONG_EXPONENT = r"[eE][+-]?0*+[1-9][0-9]++\z"
+
+
 def amount(raw: Column) -> Column:
-    """DECIMAL(38,10), or null: a bad amount never rejects the message."""
-    return amount_text(raw).try_cast(S.AMOUNT)
+    """DECIMAL(38,10), or null: a bad amount never rejects the message.
+
+    A number that rounds to zero is not handed to the cast when its exponent is long:
+    spelling out 1E-999999999 would take the task down.
+    """
+    text = amount_text(raw)
+    vanishes = let(_parts(text), lambda p: (p["digits"] == "0") | (p["scale"] - F.length(p["digits"]) > S.AMOUNT.scale))
+    return F.when(text.rlike(_LONG_EXPONENT) & vanishes, F.lit(0).cast(S.AMOUNT)).otherwise(text.try_cast(S.AMOUNT))
+
+
+# Literals that already have the printed form.
+_PRINTED = r"\A(-?[1-9][0-9]*+(\.[0-9]++)?|0(\.[0-9]{1,6})?)\z"
 
 
 def amount_json(text: Column) -> Column:
@@ -41,32 +56,35 @@ def amount_json(text: Column) -> Column:
     The scale is kept (``0.50`` stays ``0.50``); an exponent appears only when the
     scale is negative or the value is below 1E-6.
     """
-    negative = text.startswith("-")
+    return F.when(text.rlike(_PRINTED), text).otherwise(let(_parts(text), _printed))
+
+
+def _parts(text: Column) -> Column:
     mantissa = F.regexp_replace(text, r"\A[+-]|[eE].*\z", "")
-    whole = F.split_part(mantissa, F.lit("."), F.lit(1))
     fraction = F.split_part(mantissa, F.lit("."), F.lit(2))
-    exponent = F.coalesce(
-        F.regexp_extract(text, r"[eE]\+?(-?[0-9]+)\z", 1).try_cast("bigint"), F.lit(0)
+    exponent = F.coalesce(F.regexp_extract(text, r"[eE]\+?(-?[0-9]+)\z", 1).try_cast("bigint"), F.lit(0))
+    return F.struct(
+        text.startswith("-").alias("negative"),
+        F.regexp_replace(F.replace(mantissa, F.lit(".")), r"\A0+(?=[0-9])", "").alias("digits"),
+        (F.length(fraction) - exponent).alias("scale"),
     )
-    digits = F.regexp_replace(F.concat(whole, fraction), r"\A0+(?=[0-9])", "")
-    scale = F.length(fraction) - exponent
+
+
+def _printed(parts: Column) -> Column:
+    digits, scale = parts["digits"], parts["scale"].cast("int")
     n = F.length(digits)
     adjusted = n - 1 - scale
-    padded = F.when(
-        n <= scale, F.concat(F.repeat(F.lit("0"), (scale - n + 1).cast("int")), digits)
-    ).otherwise(digits)
+    padded = F.lpad(digits, F.greatest(n, scale + 1), F.lit("0"))
     cut = F.length(padded) - scale
     plain = F.when(scale == 0, digits).otherwise(
-        F.concat(padded.substr(F.lit(1), cut.cast("int")), F.lit("."), F.right(padded, scale.cast("int")))
-    )
-    scientific = F.concat(
-        digits.substr(1, 1),
-        F.when(n > 1, F.concat(F.lit("."), digits.substr(F.lit(2), n))).otherwise(""),
-        F.when(adjusted != 0, F.concat(F.lit("E"), F.when(adjusted > 0, "+").otherwise(""), adjusted.cast("string"))).otherwise(""),
+        F.concat(padded.substr(F.lit(1), cut), F.lit("."), F.right(padded, scale))
     )
+    power = F.when(adjusted > 0, F.concat(F.lit("E+"), adjusted.cast("string")))
+    power = power.when(adjusted < 0, F.concat(F.lit("E"), adjusted.cast("string"))).otherwise("")
+    point = F.when(n > 1, F.concat(F.lit("."), digits.substr(F.lit(2), n))).otherwise("")
+    scientific = F.concat(digits.substr(1, 1), point, power)
     body = F.when((scale >= 0) & (adjusted >= -6), plain).otherwise(scientific)
-    zero = digits == "0"
-    return F.when(negative & ~zero, F.concat(F.lit("-"), body)).otherwise(body)
+    return F.when(parts["negative"] & (digits != "0"), F.concat(F.lit("-"), body)).otherwise(body)
 
 
 # ISO local date-time: seconds optional, up to nine fraction digits, no zone.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ def pin(df: DataFrame, name: str, column: Column) -> DataFrame:
     return df.select("*", F.explode_outer(F.array(column)).alias(name))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with ``value`` computed once although ``body`` uses it often."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 BROADCAST_BYTES = 64 << 20
 _ROW_OVERHEAD = 64
 

@@ -33,6 +33,18 @@ def test_amount(spark, column_of, ansi):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+def test_amounts_with_long_exponents(column_of):
+    texts = {
+        "1E-999999999": "0", "0E999999999": "0", "0.000E-50": "0", "1E999999999": None, "5E-11": "1E-10", "4E-11": "0",
+        "9E-12": "0", "1E-10": "1E-10", "-3E-10": "-3E-10", "1E27": "1E27", "1E28": None, "1" + "0" * 60 + "E-60": "1",
+        "-7" + "0" * 100 + "E-110": "-7E-10", "1E-000000000000002": "0.01",
+    }
+    assert column_of(fields.amount, list(texts)) == [v and Decimal(v) for v in texts.values()]
+    assert column_of(fields.amount_text, list(texts)) == list(texts)
+    printed = column_of(fields.amount_json, ["1E-999999999", "0E999999999"])
+    assert printed == ["1E-999999999", "0E+999999999"]
+
+
 def test_amount_beyond_the_type_keeps_its_text(column_of):
     huge = "9" * 29
     assert column_of(fields.amount, [huge]) == [None]
