@@ -8,10 +8,12 @@ from cardweave import schemas as S
 
 _WRAPPER = "w_"
 _CORRUPT = "_corrupt_record"
+_OTHERS = "_others"
 _DOCUMENT = T.StructType(
     [
         T.StructField(S.ROOT, T.ArrayType(S.FRAGMENT)),
         T.StructField("_VALUE", T.StringType()),
+        T.StructField(_OTHERS, T.ArrayType(T.StringType())),
         T.StructField(_CORRUPT, T.StringType()),
     ]
 )
@@ -20,6 +22,7 @@ _OPTIONS = {
     "columnNameOfCorruptRecord": _CORRUPT,
     "ignoreSurroundingSpaces": "false",
     "valueTag": "_VALUE",
+    "wildcardColName": _OTHERS,
 }
 
 # All quantifiers that can meet long text are possessive: no recursion, no backtracking.
@@ -29,15 +32,13 @@ _PROLOG = (
     rf"""(?:\s++encoding\s*+=\s*+(?:{_QUOTED}))?+"""
     rf"""(?:\s++standalone\s*+=\s*+(?:{_QUOTED}))?+\s*+\?>"""
 )
-_MISC = r"(?:[ \t\r\n]++|<!--(?s:.*?)-->|<\?(?s:.*?)\?>)*+"
+_MISC = r"(?:[ \t\r\n]++|<!--(?:[^-]++|-(?!-))*+-->|<\?(?:[^?]++|\?(?!>))*+\?>)*+"
 _DEFAULT_NAMESPACE = r"""xmlns\s*+=\s*+(?:"[^"]|'[^'])"""
 _START = (
     rf"\A{_MISC}<{S.ROOT}"
     rf"(?!(?:[^>\"'\s]++|{_QUOTED}|\s++(?!{_DEFAULT_NAMESPACE}))*+\s++{_DEFAULT_NAMESPACE})"
     r"[ \t\r\n/>]"
 )
-_SELF_CLOSED = rf"\A{_MISC}<{S.ROOT}(?:[^>\"'/]|/(?!>)|{_QUOTED})*+/>{_MISC}\z"
-_END = rf"</{S.ROOT}[ \t\r\n]*+>{_MISC}\z"
 
 # Element names are case sensitive, but the session may not be: a known name in other
 # letter case is renamed, so that it stays an unknown element whatever the setting.
@@ -52,11 +53,11 @@ def read_fragment(value: Column) -> Column:
     """Parse one document whose root must be the fragment's root, without namespace.
 
     ``from_xml`` alone takes any root, trailing text and a second root. So the text is
-    tested for its first and last tag, then parsed inside a wrapper element, where
-    stray siblings show up. Text that fails the test is not parsed at all.
+    tested for its first tag, then parsed inside a wrapper element, where stray text and
+    elements show up beside the root. Text that fails the test is not parsed at all.
     """
     body = F.when(value.startswith("<?xml"), F.regexp_replace(value, _PROLOG, "")).otherwise(value)
-    framed = body.rlike(_START) & (body.rlike(_END) | body.rlike(_SELF_CLOSED))
+    framed = body.rlike(_START)
     safe = F.regexp_replace(body, _OTHER_CASE, "<$1_$2")
     # A text that closes the wrapper itself gets one whose name it cannot know.
     name = F.when(body.contains(f"</{_WRAPPER}"), F.concat(F.lit(_WRAPPER), F.sha2(body, 256))).otherwise(_WRAPPER)
@@ -69,6 +70,7 @@ def is_accepted(document: Column) -> Column:
     return F.coalesce(
         document[_CORRUPT].isNull()
         & (F.size(document[S.ROOT]) == 1)
+        & document[_OTHERS].isNull()
         & (stray.isNull() | stray.rlike(r"\A[ \t\r\n]*+\z")),
         F.lit(False),
     )

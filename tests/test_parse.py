@@ -17,7 +17,9 @@ ACCEPTED = {
     "prolog, standalone": "<?xml version='1.0' standalone='yes' ?>\n" + LEAF,
     "white space around": " \n" + LEAF + "\r\n\t ",
     "comments around": "<!-- a -->" + LEAF + "<!-- </Data> -->",
-    "instruction before": "<?note x?>" + LEAF,
+    "instruction before": "<?note x? > y?>" + LEAF,
+    "instruction after": LEAF + "<?note x?>\n",
+    "dashes in comment": "<!-- a - b -->" + LEAF,
     "attribute": "<Data a='1'><MessageType>TVN</MessageType></Data>",
     "attribute holding a bracket": "<Data a='>'><MessageType>TVN</MessageType></Data>",
     "self closed": "<Data/>",
@@ -45,6 +47,14 @@ REJECTED = {
     "sibling before": "<x/>" + LEAF,
     "sibling after": LEAF + "<x/>",
     "sibling after, own end": LEAF + "<x></x><Data/>",
+    "sibling between comments": LEAF + "<!-- a --><x>y</x><!-- b -->",
+    "sibling in other case": LEAF + "<data/>",
+    "sibling leaf": LEAF + "<Amount>1</Amount>",
+    "sibling named like the column": LEAF + "<_others>1</_others>",
+    "cdata after": LEAF + "<![CDATA[x]]>",
+    "second prolog": LEAF + '<?xml version="1.0"?>',
+    "open comment": LEAF + "<!-- ",
+    "double dash in comment": "<!-- a -- b -->" + LEAF,
     "junk before": "junk" + LEAF,
     "junk after": LEAF + "junk",
     "byte-order mark": "﻿" + LEAF,
@@ -144,10 +154,12 @@ def test_long_texts_are_read_whole(feed_of):
         fragment(TransactionId="x" * 2_000_000),
         " " * 2_000_000,
         "<Data a='" + "b " * 200_000 + "'/>",
+        "<!--" + "a-" * 200_000 + " -->" + LEAF + "</Data><!--" * 100_000,
+        "<Data>" + "</Data><?" * 100_000,
         " " * 500_000 + LEAF + "\n" * 500_000,
     ]
     rows = parse_feed(feed_of(values)).select("offset", "parsed", "transaction_id").orderBy("offset").collect()
-    assert [r["parsed"] for r in rows] == [True, True, False, True, True]
+    assert [r["parsed"] for r in rows] == [True, True, False, True, False, False, True]
     assert len(rows[1]["transaction_id"]) == 2_000_000
 
 
