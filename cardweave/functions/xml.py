@@ -40,12 +40,14 @@ _START = (
     r"[ \t\r\n/>]"
 )
 
-# Element names are case sensitive, but the session may not be: a known name in other
-# letter case is renamed, so that it stays an unknown element whatever the setting.
+# A known name in other letter case (which a session may ignore) or behind a namespace
+# prefix (which from_xml ignores) is an unknown element: it gets an underscore in front.
 _NAMES = "|".join(S.ELEMENTS)
 _INITIALS = "".join(sorted({name[0] for name in S.ELEMENTS}))
-_OTHER_CASE = (
-    rf"<(/?+)(?!(?:{_NAMES}|{S.ROOT})[\s/>])(?=[{_INITIALS}{_INITIALS.lower()}])((?i:{_NAMES}))(?=[\s/>])"
+_LOOKALIKE = (
+    rf"<(/?+)(?!(?:{_NAMES}|{S.ROOT})[\s/>])"
+    r"""(?:([^\s<>/:"'=&]++:)"""
+    rf"|(?=[{_INITIALS}{_INITIALS.lower()}]))(?=(?i:{_NAMES})[\s/>])"
 )
 
 
@@ -58,7 +60,7 @@ def read_fragment(value: Column) -> Column:
     """
     body = F.when(value.startswith("<?xml"), F.regexp_replace(value, _PROLOG, "")).otherwise(value)
     framed = body.rlike(_START)
-    safe = F.regexp_replace(body, _OTHER_CASE, "<$1_$2")
+    safe = F.regexp_replace(body, _LOOKALIKE, "<$1$2_")
     # A text that closes the wrapper itself gets one whose name it cannot know.
     name = F.when(body.contains(f"</{_WRAPPER}"), F.concat(F.lit(_WRAPPER), F.sha2(body, 256))).otherwise(_WRAPPER)
     wrapped = F.concat(F.lit("<"), name, F.lit(">"), safe, F.lit("</"), name, F.lit(">"))

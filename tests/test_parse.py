@@ -137,13 +137,15 @@ def test_text_of_elements(spark, feed_of, case_sensitive):
         "<Data><TransactionId>1</TransactionId><TRANSACTIONID x='y'/></Data>",
         "<Data><TransactionId a='1'>7</TransactionId></Data>",
         "<Data><Nested><TransactionId>1</TransactionId></Nested></Data>",
+        "<Data xmlns:p='urn:x'><TransactionId>1</TransactionId><p:TransactionId>2</p:TransactionId></Data>",
+        "<Data xmlns:p='urn:x'><p:TRANSACTIONID>2</p:TRANSACTIONID></Data>",
     ]
     spark.conf.set("spark.sql.caseSensitive", case_sensitive)
     try:
         rows = messages(parse_feed(feed_of(values))).orderBy("offset").collect()
     finally:
         spark.conf.unset("spark.sql.caseSensitive")
-    expected = ["  a b\t", "<x>&", "a&bA", "ab", "null", "", "", "2", None, "1", "7", None]
+    expected = ["  a b\t", "<x>&", "a&bA", "ab", "null", "", "", "2", None, "1", "7", None, "1", None]
     assert [r["transaction_id"] for r in rows] == expected
 
 
