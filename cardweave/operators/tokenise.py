@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardweave import schemas as S
-from cardweave.functions.plan import BROADCAST_BYTES, lookup_join
+from cardweave.functions.plan import BROADCAST_BYTES, fits_broadcast, lookup_join
 from cardweave.functions.text import last_four
 from cardweave.operators.service import Client, RetryPolicy, call_service
 from cardweave.storage import stage
@@ -45,19 +45,36 @@ def one_token_per_pan(vault: DataFrame) -> DataFrame:
     )
 
 
-def tokenise_vault(vault: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, salts: int = 16) -> Tokeniser:
-    """Look tokens up in a table ``(digital_pan, tokenised_pan)``; no token is a failure."""
+def tokenise_vault(
+    vault: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, salts: int = 16, small_batches: bool = False
+) -> Tokeniser:
+    """Look tokens up in a table ``(digital_pan, tokenised_pan)``; no token is a failure.
+
+    ``small_batches`` suits a stream whose batches hold few cards next to a large vault:
+    the vault is first narrowed to the cards of the batch, without shuffling it.
+    """
     vault = vault.select("digital_pan", "tokenised_pan")
 
     def apply(messages: DataFrame, active: Column) -> DataFrame:
         keyed = messages.withColumn("_pan", F.when(active, F.col("digital_pan")))
-        tokens = one_token_per_pan(vault).withColumnRenamed("digital_pan", "_pan")
-        joined = lookup_join(keyed, tokens, ["_pan"], S.RECORD_ID, broadcast_bytes, salts, measured=vault)
+        known = vault
+        if small_batches and not fits_broadcast(vault, broadcast_bytes):
+            keyed = stage(keyed, "to-tokenise")
+            known = _narrowed(vault, keyed.select(F.col("_pan").alias("digital_pan")).distinct(), broadcast_bytes)
+        tokens = one_token_per_pan(known).withColumnRenamed("digital_pan", "_pan")
+        joined = lookup_join(keyed, tokens, ["_pan"], S.RECORD_ID, broadcast_bytes, salts, measured=known)
         return joined.drop("_pan")
 
     return apply
 
 
+def _narrowed(vault: DataFrame, pans: DataFrame, broadcast_bytes: int) -> DataFrame:
+    """The vault rows of ``pans``, written down, if those can be broadcast; else the whole vault."""
+    if not fits_broadcast(pans, broadcast_bytes):
+        return vault
+    return stage(vault.join(F.broadcast(pans), "digital_pan", "left_semi"), "vault-part")
+
+
 def _token_client(factory: Callable[[], Client]) -> Callable[[], Client]:
     def wrapped() -> Client:
         client = factory()

@@ -17,17 +17,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only a local session without that setting gets a temporary folder of its own;
-    a cluster without it is an error, since executors share no local disk.
+    Only a local session without one gets a temporary folder of its own; a cluster
+    without it is an error, since executors share no local disk.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = "file:" + tempfile.mkdtemp(prefix="cardweave-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+        context.setCheckpointDir("file:" + tempfile.mkdtemp(prefix="cardweave-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)

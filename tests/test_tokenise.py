@@ -68,6 +68,21 @@ def test_hot_keys_give_whole_results(spark, broadcast_bytes):
     assert got == expected
 
 
+@pytest.mark.parametrize("broadcast_bytes, merged", [(64 << 20, False), (20_000, False), (-1, True)])
+def test_a_large_vault_is_narrowed_to_a_small_batch(spark, broadcast_bytes, merged):
+    """20,000 bytes hold the cards of the batch and their tokens, but not the vault."""
+    rows = [("t", 0, i, None if i % 9 == 0 else f"p{i % 100}") for i in range(500)]
+    feed = spark.createDataFrame(rows, "topic STRING, partition INT, offset BIGINT, digital_pan STRING")
+    copies = [(f"p{i}", t) for i in range(0, 2000, 2) for t in (f"T{i}", f"U{i}")]
+    vault = spark.createDataFrame(copies, "digital_pan STRING, tokenised_pan STRING")
+    df = tokenise_vault(vault, broadcast_bytes, small_batches=True)(feed, F.col("offset") != 2)
+    assert ("SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()) == merged
+    got = {r["offset"]: r["tokenised_pan"] for r in df.collect()}
+    assert got == {
+        i: f"T{i % 100}" if pan is not None and i % 2 == 0 and i != 2 else None for _, _, i, pan in rows
+    }
+
+
 def test_salted_lookup_spreads_hot_and_absent_keys(spark):
     """With AQE off, no task of the join gets more than a fair part of the hot third."""
     settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
