@@ -36,3 +36,22 @@ def test_query(spark, duck, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 1500
+
+
+SF_COUNTS = "/root/testdata/sf0.01"
+
+
+def test_counts_known_beforehand(spark):
+    """Totals that were worked out before any of this was written."""
+    queries = entry.queries()
+    local = {r["reason"]: r for r in queries["process_local"](spark, SF_COUNTS).collect()}
+    assert {reason: r["records"] for reason, r in local.items()} == {
+        "MALFORMED": 1697, "NOT_PTLFX": 2658, "NOT_ACTIONABLE": 4565, "OK": 6080,
+    }
+    assert (local["OK"]["amount"], local["OK"]["timestamps"], local["OK"]["tokens"]) == (1365753298.73, 5816, 1452)
+    results = queries["process_outcomes"](spark, SF_COUNTS).groupBy("result").count().collect()
+    assert {r["result"]: r["count"] for r in results} == {"SKIPPED": 8920, "RETRY": 1569, "SUCCESS": 4511}
+    ledger = sorted(queries["offset_ledger"](spark, SF_COUNTS).collect(), key=lambda r: r["partition"])
+    assert [(r["committed"], r["first_unacked"]) for r in ledger] == [(3750, 11), (3750, 19), (3750, 0), (3750, 2)]
+    assert queries["at_risk"](spark, SF_COUNTS).count() == 1569
+    assert queries["call_health"](spark, SF_COUNTS).filter("flagged").count() == 334
