@@ -1 +1,8 @@
 """Card-feed processing as Spark jobs: DataFrame in, DataFrame out."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with them, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
