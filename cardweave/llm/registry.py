@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cardweave.llm.lines import lines_digest
+from cardweave.llm.packing import pack_documents
 from cardweave.llm.sharding import shard_documents
 
 
@@ -19,6 +20,7 @@ def _over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spa
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": _over_documents(pack_documents),
     "op2_line_dedup": _over_documents(lines_digest),
     "op3_rendezvous_sharding": _over_documents(shard_documents),
 }
