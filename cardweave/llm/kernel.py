@@ -73,11 +73,16 @@ def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def word_spans(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the words of ``data``; no word crosses one of ``bounds``."""
+def word_spans(
+    data: np.ndarray, bounds: np.ndarray, separators: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words of ``data``; no word crosses one of ``bounds``.
+
+    ``separators`` says of each byte whether it separates words; white space by default.
+    """
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    word = ~space_table()[data]
+    word = ~(space_table() if separators is None else separators)[data]
     before = np.empty_like(word)
     before[0] = False
     before[1:] = word[:-1]

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardweave.llm.lines import lines_digest
 from cardweave.llm.packing import pack_documents
+from cardweave.llm.quality import judge_quality
 from cardweave.llm.sharding import shard_documents
+from cardweave.llm.toxicity import judge_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +21,20 @@ def _over_documents(operator: Callable[[DataFrame], DataFrame]) -> Callable[[Spa
     return lambda spark, sf_dir: operator(_table(spark, sf_dir, "documents"))
 
 
+def _judged(judge: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        judged = judge(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+        return judged.select("doc_id", "held_out", "score", "predicted")
+
+    return query
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _over_documents(pack_documents),
     "op2_line_dedup": _over_documents(lines_digest),
     "op3_rendezvous_sharding": _over_documents(shard_documents),
+    "op7_quality_classifier": _judged(judge_quality),
+    "op9_toxicity": _judged(judge_toxicity),
 }
 
 _LINES = r"""
