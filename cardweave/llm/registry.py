@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cardweave.llm.lines import lines_digest
+from cardweave.llm.minhash import near_duplicates
 from cardweave.llm.packing import pack_documents
 from cardweave.llm.quality import judge_quality
 from cardweave.llm.sharding import shard_documents
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": _over_documents(lines_digest),
     "op3_rendezvous_sharding": _over_documents(shard_documents),
     "op7_quality_classifier": _judged(judge_quality),
+    "op8_minhash_near_dedup": _over_documents(lambda df: near_duplicates(df, words=2)),
     "op9_toxicity": _judged(judge_toxicity),
 }
 
