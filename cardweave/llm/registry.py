@@ -10,6 +10,7 @@ from cardweave.llm.lines import lines_digest
 from cardweave.llm.minhash import near_duplicates
 from cardweave.llm.packing import pack_documents
 from cardweave.llm.quality import judge_quality
+from cardweave.llm.repeats import repeats_digest
 from cardweave.llm.sharding import shard_documents
 from cardweave.llm.toxicity import judge_toxicity
 
@@ -37,6 +38,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": _judged(judge_quality),
     "op8_minhash_near_dedup": _over_documents(lambda df: near_duplicates(df, words=2)),
     "op9_toxicity": _judged(judge_toxicity),
+    "op10_suffix_array_dedup": _over_documents(repeats_digest),
 }
 
 _LINES = r"""
