@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cardweave.llm.decontaminate import contaminated
 from cardweave.llm.lines import lines_digest
 from cardweave.llm.minhash import near_duplicates
 from cardweave.llm.packing import pack_documents
 from cardweave.llm.quality import judge_quality
 from cardweave.llm.repeats import repeats_digest
+from cardweave.llm.search import top_k
 from cardweave.llm.sharding import shard_documents
 from cardweave.llm.toxicity import judge_toxicity
 
@@ -35,6 +38,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _over_documents(pack_documents),
     "op2_line_dedup": _over_documents(lines_digest),
     "op3_rendezvous_sharding": _over_documents(shard_documents),
+    "op5_exact_top_k": lambda spark, sf_dir: top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0),
+    "op6_benchmark_decontamination": lambda spark, sf_dir: contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    ),
     "op7_quality_classifier": _judged(judge_quality),
     "op8_minhash_near_dedup": _over_documents(lambda df: near_duplicates(df, words=2)),
     "op9_toxicity": _judged(judge_toxicity),
@@ -57,4 +64,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": _LINES}
+_TOP_K = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS ints FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.ints, v.ints)::BIGINT AS score
+  FROM vectors q JOIN vectors v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op2_line_dedup": _LINES, "op5_exact_top_k": _TOP_K}
