@@ -11,6 +11,7 @@ from cardweave.llm.decontaminate import contaminated
 from cardweave.llm.lines import lines_digest
 from cardweave.llm.minhash import near_duplicates
 from cardweave.llm.packing import pack_documents
+from cardweave.llm.pii import personal_data_digest
 from cardweave.llm.quality import judge_quality
 from cardweave.llm.repeats import repeats_digest
 from cardweave.llm.search import top_k
@@ -38,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": _over_documents(pack_documents),
     "op2_line_dedup": _over_documents(lines_digest),
     "op3_rendezvous_sharding": _over_documents(shard_documents),
+    "op4_personal_data": _over_documents(personal_data_digest),
     "op5_exact_top_k": lambda spark, sf_dir: top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0),
     "op6_benchmark_decontamination": lambda spark, sf_dir: contaminated(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
