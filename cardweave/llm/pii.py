@@ -404,7 +404,6 @@ def personal_data_digest(df: DataFrame) -> DataFrame:
     joined = lambda name: F.array_join(
         F.transform(name, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
     )
-    counts = [
-        F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in KINDS
-    ]
+    count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("bigint")
+    counts = [count(kind).alias(f"n_{kind}") for kind in KINDS]
     return found.select("doc_id", *counts, F.sha2(joined("base_spans"), 256).alias("base_sha256"), joined("spans").alias("spans"))
