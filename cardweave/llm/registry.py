@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from cardweave.llm.decontaminate import contaminated
 from cardweave.llm.lines import lines_digest
 from cardweave.llm.minhash import near_duplicates
@@ -47,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": _judged(judge_quality),
     "op8_minhash_near_dedup": _over_documents(lambda df: near_duplicates(df, words=2)),
     "op9_toxicity": _judged(judge_toxicity),
+    "pipeline": corpus_pipeline.run,
     "op10_suffix_array_dedup": _over_documents(repeats_digest),
 }
 
