@@ -194,8 +194,9 @@ def candidate_pairs(sets: DataFrame, halves: int = HALVES) -> DataFrame:
     first = sets.select("id", "halves", F.posexplode(F.slice("halves", 1, halves)).alias("i", "half"))
     second = first.select("id", "i", "half", F.posexplode(F.slice("halves", halves + 1, halves)).alias("j", "other"))
     keyed = second.select(F.xxhash64("i", "half", "j", "other").alias("key"), "id")
-    buckets = keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("_last")).where("pivot < _last")
-    return keyed.join(buckets.drop("_last"), "key").where("id > pivot").select("pivot", "id").distinct()
+    buckets = keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("_ids")).where("_ids > 1")
+    # The same plan at every size, with hot keys split by the adaptive skew join.
+    return keyed.join(buckets.drop("_ids").hint("merge"), "key").where("id > pivot").select("pivot", "id").distinct()
 
 
 def near_duplicates(
@@ -235,7 +236,9 @@ def near_duplicates(
     near = stage(near, "near")
     own = near.select("pivot", "salt", F.col("pivot").alias("id")).distinct()
     together = near.union(own).join(texts, "id").select("pivot", "salt", "id", "packed")
-    dealt = together.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", F.col("id") != F.col("pivot"), "id")
+    # Comparing costs more than its bytes tell, so the groups are not merged into few tasks.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = together.repartition(tasks, "pivot", "salt").sortWithinPartitions("pivot", "salt", F.col("id") != F.col("pivot"), "id")
     links = dealt.mapInArrow(_against_pivot(words, percent), f"a {name}, b {name}")
     components = stage(connected(stage(links, "links")), "components")
 
@@ -266,7 +269,7 @@ def near_duplicates(
         "pivot", "id", "component", F.lit(True).alias("outside"),
         each("member_blocks").alias("mb"), block("outlier_blocks").alias("ob"),
     )
-    compared = members.union(outliers).join(texts, "id").groupBy("pivot", "mb", "ob")
+    compared = members.union(outliers).join(texts, "id").repartition(tasks, "pivot", "mb", "ob").groupBy("pivot", "mb", "ob")
     further = compared.applyInArrow(_block_links(words, percent), f"a {name}, b {name}")
     merged = connected(stage(further, "links")).select(F.col("node").alias("component"), F.col("component").alias("_whole"))
     final = components.join(merged, "component", "left").select("node", F.coalesce("_whole", "component").alias("_component"))
