@@ -71,6 +71,8 @@ class Canonical:
         after_number = np.append(False, number[:-1])[: len(number)] & ~opens
         unit = np.isin(hashes, unit_hashes) & after_number & ~number
         name = capital & ~sentence & ~number & ~unit
+        # What opens a sentence is a name when one follows it: Tom Smith.
+        name |= capital & sentence & ~number & np.append(name[1:] & ~opens[1:], False)[: len(name)]
         kind = np.select([number, name, unit], [NUMBER, NAME, UNIT], 0)
         # 3,500.25 is one number, and a run of names one name.
         previous = np.append(0, kind[:-1])[: len(kind)]

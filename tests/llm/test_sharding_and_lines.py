@@ -1,0 +1,109 @@
+import hashlib
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import cardweave.llm.lines as lines
+from cardweave.llm.sharding import rendezvous, shard_documents
+
+MESSY = [
+    (0, None), (1, ""), (2, "x"), (3, "x"), (4, "long line " * 20_000), (5, "a\nb\nc"), (5, "a\nb\nc"),
+    (None, "no id"), (7, "ünïcödé 日本語"),
+]
+
+
+def test_places_are_gapless_and_sizes_right(docs_of):
+    rows = MESSY + [(i, f"text {i}") for i in range(10, 500)]
+    got = shard_documents(docs_of(rows)).collect()
+    expected = sorted((len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for _, t in rows)
+    assert sorted((r.size, r.text_crc32) for r in got) == expected
+    assert {r.law for r in got} == {"key"}
+    for shard in range(8):
+        own = sorted(r.slot for r in got if r.shard == shard)
+        assert own == list(range(len(own))) and own
+    by_id = {}
+    for r in got:
+        assert by_id.setdefault(r.doc_id, (r.shard, r.grown_shard)) == (r.shard, r.grown_shard)
+
+
+def test_a_new_shard_takes_rows_only_into_itself(docs_of):
+    got = shard_documents(docs_of([(i, None) for i in range(4000)])).collect()
+    moved = [r for r in got if r.grown_shard != r.shard]
+    assert {r.grown_shard for r in moved} == {8}
+    assert 4000 / 9 * 0.8 < len(moved) < 4000 / 9 * 1.2
+    nine = {r.doc_id: r.shard for r in shard_documents(docs_of([(i, None) for i in range(4000)]), shards=9).collect()}
+    assert all(nine[r.doc_id] == r.grown_shard for r in got)
+
+
+def test_weights_share_out_the_keys(spark):
+    keys = spark.range(20_000).select(rendezvous(F.col("id"), [1.0, 3.0, 0.0, 4.0]).alias("s"))
+    counts = {r["s"]: r["count"] for r in keys.groupBy("s").count().collect()}
+    assert set(counts) == {0, 1, 3}
+    for shard, share in ((0, 1 / 8), (1, 3 / 8), (3, 4 / 8)):
+        assert abs(counts[shard] / 20_000 - share) < 0.02
+    with pytest.raises(ValueError, match="no shard"):
+        rendezvous(F.col("id"), [0.0])
+
+
+def test_sharding_uses_no_python_on_the_executors(docs_of):
+    plan = shard_documents(docs_of([(1, "a")]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_empty_and_clashing(docs_of):
+    assert shard_documents(docs_of([]).limit(0)).collect() == []
+    clash = docs_of([(1, "a"), (2, "b")], ", shard STRING, slot STRING, size STRING, _unit STRING, _place STRING")
+    assert len(shard_documents(clash).collect()) == 2
+
+
+def brute_lines(rows, least=10):
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
+    holders = {}
+    for i, text in rows:
+        if i is not None:
+            for line in (text or "").split("\n"):
+                holders.setdefault(key(line), set()).add(i)
+    out = []
+    for i, text in rows:
+        own = (text or "").split("\n")
+        gone = lambda k: i is not None and len(k) >= least and len(holders[k]) > 1 and i != min(holders[k])
+        kept = [line for line in own if not gone(key(line))]
+        digest = hashlib.sha256("\n".join(kept).encode()).hexdigest()
+        out.append((i is None, i or 0, len(own), len(own) - len(kept), digest))
+    return sorted(out)
+
+
+def test_lines_against_brute_force(docs_of):
+    shared = ["  A shared line OF words ", "a shared line of words", "tiny", "ünïcödé lïne lïne", "ÜNÏCÖDÉ LÏNE LÏNE", "日本語日本語日本"]
+    rows = MESSY + [
+        (20 + i, "\n".join([shared[i % 6], f"own line number {i}", shared[(i + 1) % 6], shared[i % 6]])) for i in range(60)
+    ]
+    got = lines.lines_digest(docs_of(rows)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_lines, r.n_dropped, r.kept_sha256) for r in got) == brute_lines(rows)
+
+
+def test_a_full_filter_changes_nothing(docs_of, monkeypatch):
+    """With far too few bits everything is suspected, and confirmed or not all the same."""
+    rows = [(i, "\n".join(f"line of document {(i * 7 + k) % 400}" for k in range(9))) for i in range(120)]
+    monkeypatch.setattr(lines, "_SLICE_BITS", 64)
+    monkeypatch.setattr(lines, "LEAST_BITS", 64)
+    monkeypatch.setattr(lines, "MOST_BITS", 64)
+    got = lines.lines_digest(docs_of(rows)).collect()
+    assert sorted((False, r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in got) == brute_lines(rows)
+
+
+def test_singles_are_mostly_not_suspected(docs_of):
+    rows = [(i, f"only document {i} says this") for i in range(3000)] + [(5000, "only document 7 says this")]
+    twice = lines.twice_seen_filter(docs_of(rows), 1 << 20)
+    digests = [lines.line_digest(t.encode()) for _, t in rows[:3000]]
+    hit = lines._has(twice, lines._positions(digests, 1 << 20))
+    assert hit[7] and hit.sum() < 60
+
+
+def test_lines_keep_other_columns(docs_of):
+    clash = docs_of([(1, "the same line here"), (2, "the same line here")], ", key STRING, n_lines STRING, _first STRING")
+    got = lines.dedup_lines(clash)
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "_first", "n_lines", "n_dropped"]
+    assert sorted((r.doc_id, r.text, r.n_dropped) for r in got.collect()) == [(1, "the same line here", 0), (2, "", 1)]
+    assert lines.dedup_lines(docs_of([]).limit(0)).collect() == []
