@@ -21,14 +21,20 @@ def record_type(raw: Column) -> Column:
     return _enum(raw, S.RECORD_TYPES, S.OTHER_RECORD)
 
 
-# Decimal literal: digits with an optional point, and an optional exponent.
-_DECIMAL = r"\A[+-]?([0-9]++(\.[0-9]*+)?|\.[0-9]++)([eE][+-]?0*+[0-9]{1,9})?\z"
+# Decimal literal: digits with an optional point, and an optional exponent of 32 bits.
+_DECIMAL = r"\A[+-]?([0-9]++(\.[0-9]*+)?|\.[0-9]++)([eE][+-]?0*+[0-9]{1,10})?\z"
+_TEN_DIGITS = r"[eE][+-]?0*+[1-9][0-9]{9}\z"
+_MOST_EXPONENT = (1 << 31) - 1
 
 
 def amount_text(raw: Column) -> Column:
     """The trimmed literal when it is a number, else null."""
     text = java_trim(raw)
-    return F.when(text.rlike(_DECIMAL), text)
+    fits = let(
+        _parts(text),
+        lambda p: F.abs(p["exponent"]).between(0, _MOST_EXPONENT) & p["scale"].between(-_MOST_EXPONENT, _MOST_EXPONENT),
+    )
+    return F.when(text.rlike(_DECIMAL) & (~text.rlike(_TEN_DIGITS) | fits), text)
 
 
 # Exponents of two digits and more.
@@ -38,12 +44,24 @@ _LONG_EXPONENT = r"[eE][+-]?0*+[1-9][0-9]++\z"
 def amount(raw: Column) -> Column:
     """DECIMAL(38,10), or null: a bad amount never rejects the message.
 
-    A number that rounds to zero is not handed to the cast when its exponent is long:
-    spelling out 1E-999999999 would take the task down.
+    A number that rounds to zero or is far too large is not handed to the cast when its
+    exponent is long: spelling out 1E-999999999 would take the task down.
     """
     text = amount_text(raw)
+    whole = S.AMOUNT.precision - S.AMOUNT.scale
     vanishes = let(_parts(text), lambda p: (p["digits"] == "0") | (p["scale"] - F.length(p["digits"]) > S.AMOUNT.scale))
-    return F.when(text.rlike(_LONG_EXPONENT) & vanishes, F.lit(0).cast(S.AMOUNT)).otherwise(text.try_cast(S.AMOUNT))
+    too_large = let(_parts(text), lambda p: (p["digits"] != "0") & (F.length(p["digits"]) - p["scale"] > whole))
+    long = text.rlike(_LONG_EXPONENT)
+    return F.when(long & vanishes, F.lit(0).cast(S.AMOUNT)).when(~(long & too_large), text.try_cast(S.AMOUNT))
+
+
+def is_inexact(text: Column, typed: Column) -> Column:
+    """True when a number is too large for the decimal or has decimals that were rounded away."""
+    # Only a long literal or one with an exponent can be.
+    long = (F.length(text) > S.AMOUNT.scale + 1) | text.rlike("[eE]")
+    zeros = lambda p: F.length(p["digits"]) - F.length(F.rtrim(p["digits"], F.lit("0")))
+    rounded = let(_parts(text), lambda p: (p["digits"] != "0") & (p["scale"] - zeros(p) > S.AMOUNT.scale))
+    return F.coalesce(long & (typed.isNull() | rounded), F.lit(False))
 
 
 # Literals that already have the printed form.
@@ -66,6 +84,7 @@ def _parts(text: Column) -> Column:
     return F.struct(
         text.startswith("-").alias("negative"),
         F.regexp_replace(F.replace(mantissa, F.lit(".")), r"\A0+(?=[0-9])", "").alias("digits"),
+        exponent.alias("exponent"),
         (F.length(fraction) - exponent).alias("scale"),
     )
 
@@ -100,16 +119,16 @@ def event_timestamp(raw: Column) -> Column:
     return F.when(text.rlike(_LOCAL_DATE_TIME), F.upper(text).try_cast("timestamp_ntz"))
 
 
-def iso_local(ts: Column) -> Column:
-    """ISO text; seconds are left out when seconds and fraction are both zero.
+def iso_text(raw: Column, ts: Column) -> Column:
+    """ISO text of the timestamp ``ts`` read from ``raw``, with all nine fraction digits it may have.
 
-    Built from the cast, which knows no time zone: ``date_format`` would move a local
-    time that the session's zone skips.
+    Seconds are left out when seconds and fraction are both zero; a fraction has three, six
+    or nine digits. Built from the cast, which knows no time zone: ``date_format`` would
+    move a local time that the session's zone skips.
     """
-    text = F.translate(ts.cast("string"), " ", "T")
-    whole = F.split_part(text, F.lit("."), F.lit(1))
-    fraction = F.split_part(text, F.lit("."), F.lit(2))
-    digits = F.when(F.length(fraction) <= 3, 3).otherwise(6)
+    whole = F.split_part(F.translate(ts.cast("string"), " ", "T"), F.lit("."), F.lit(1))
+    fraction = F.regexp_extract(raw, r"[.]([0-9]*?)0*+\s*+\z", 1)
+    digits = F.when(F.length(fraction) <= 3, 3).when(F.length(fraction) <= 6, 6).otherwise(9)
     return F.when(fraction == "", F.regexp_replace(whole, r":00\z", "")).otherwise(
         F.concat(whole, F.lit("."), F.rpad(fraction, digits, F.lit("0")))
     )

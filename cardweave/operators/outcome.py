@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardweave import schemas as S
+from cardweave.functions.plan import pin
 from cardweave.operators.codec import text_feed
 from cardweave.operators.filters import is_actionable, is_ptlfx
 from cardweave.operators.parse import parse_feed
@@ -44,8 +45,7 @@ def prepare(feed: DataFrame, decoder: Decoder | None = None) -> DataFrame:
             F.col(name) if name in kept else F.when(publishable, F.col(name)).alias(name)
             for name in S.MESSAGE.fieldNames()
         ],
-        "amount_coerced",
-        "timestamp_coerced",
+        *S.FLAGS.fieldNames(),
         "reason",
         F.lit(0).alias("attempts"),
     )
@@ -75,7 +75,10 @@ def settle(prepared: DataFrame, tokeniser: Tokeniser, saver: Saver | None = None
         .when(F.col("reason").isin(Reason.TOKENISE_FAILED, Reason.SAVE_FAILED), Result.RETRY)
         .otherwise(Result.SKIPPED)
     )
-    return saved.withColumn("reason", reason).withColumn("result", result).drop("save_ok")
+    # One evaluation of the reason, whatever filters and columns use the result.
+    judged = pin(saved, "_reason", reason).drop("reason").withColumnRenamed("_reason", "reason")
+    ordered = [c for c in saved.columns if c not in ("save_ok", "result")]
+    return judged.withColumn("result", result).select(*ordered, "result")
 
 
 def process(

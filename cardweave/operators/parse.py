@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cardweave import schemas as S
 from cardweave.functions import fields
 from cardweave.functions.plan import pin
-from cardweave.functions.xml import element, is_accepted, read_fragment
+from cardweave.functions.xml import element, fragment_text, is_accepted, read_fragment
 from cardweave.operators.codec import text_feed
 
 
@@ -17,34 +17,41 @@ def parse_feed(feed: DataFrame) -> DataFrame:
 
     Null, blank, malformed and wrong-root values get ``parsed = false`` and null fields.
     A bad amount or timestamp only nulls that field and sets ``amount_coerced`` or
-    ``timestamp_coerced``. The document is parsed once, however many columns and
-    filters use it.
+    ``timestamp_coerced``; ``amount_inexact`` marks numbers that the decimal cannot hold. The
+    document is parsed once and the fields are typed once, however many columns and filters use them.
     """
     document = F.col("_document")
     raw = {column: element(document, name) for name, column in S.ELEMENTS.items()}
     ok = F.col("parsed")
-    amount = fields.amount(raw["amount"])
     timestamp = fields.event_timestamp(raw["event_timestamp"])
     typed = {
         "message_type": fields.message_type(raw["message_type"]),
         "record_type": fields.record_type(raw["record_type"]),
         "transaction_id": raw["transaction_id"],
         "digital_pan": raw["digital_pan"],
-        "amount": amount,
-        "amount_text": fields.amount_text(raw["amount"]),
         "currency_code": raw["currency_code"],
         "response_code": raw["response_code"],
         "event_timestamp": timestamp,
+        "timestamp_text": fields.iso_text(raw["event_timestamp"], timestamp),
+        "timestamp_coerced": fields.was_coerced(raw["event_timestamp"], timestamp),
     }
-    parsed = pin(text_feed(feed), "_document", read_fragment(F.col("value"))).withColumn(
-        "parsed", is_accepted(document)
-    )
+    text = pin(text_feed(feed), "_text", fragment_text(F.col("value")))
+    parsed = pin(text, "_document", read_fragment(F.col("_text"))).withColumn("parsed", is_accepted(document))
+    amounts = {
+        "amount": fields.amount(raw["amount"]),
+        "amount_text": fields.amount_text(raw["amount"]),
+        "amount_coerced": fields.was_coerced(raw["amount"], fields.amount_text(raw["amount"])),
+    }
+    # Two steps, since one alone is a longer method than the JVM compiles.
+    for name, columns in (("_amounts", amounts), ("_typed", typed)):
+        parsed = pin(parsed, name, F.when(ok, F.struct(*[c.alias(n) for n, c in columns.items()])))
+    value = {n: F.col(f"_amounts.{n}") for n in amounts} | {n: F.col(f"_typed.{n}") for n in typed}
+    value["amount_inexact"] = fields.is_inexact(value["amount_text"], value["amount"])
     return parsed.select(
         *feed.columns,
         "parsed",
-        *[F.when(ok, column).alias(name) for name, column in typed.items()],
-        (ok & fields.was_coerced(raw["amount"], fields.amount_text(raw["amount"]))).alias("amount_coerced"),
-        (ok & fields.was_coerced(raw["event_timestamp"], timestamp)).alias("timestamp_coerced"),
+        *[value[name].alias(name) for name in S.MESSAGE.fieldNames()],
+        *[F.coalesce(value[name], F.lit(False)).alias(name) for name in S.FLAGS.fieldNames()],
     )
 
 
@@ -53,4 +60,4 @@ def messages(parsed: DataFrame) -> DataFrame:
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("NOT parsed").drop("parsed", *S.MESSAGE.fieldNames(), "amount_coerced", "timestamp_coerced")
+    return parsed.filter("NOT parsed").drop("parsed", *S.MESSAGE.fieldNames(), *S.FLAGS.fieldNames())

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardweave import schemas as S
-from cardweave.functions.fields import amount_json, iso_local
+from cardweave.functions.fields import amount_json
 from cardweave.operators.service import Client, RetryPolicy, call_service
 from cardweave.storage import stage
 
@@ -27,7 +27,7 @@ def request_fields() -> dict[str, Column]:
         F.col("amount"),
         F.col("currency_code"),
         F.col("response_code"),
-        iso_local(F.col("event_timestamp")),
+        F.col("timestamp_text"),
     ]
     return dict(zip(S.REQUEST_FIELDS, columns, strict=True))
 
@@ -50,8 +50,15 @@ def request_json() -> Column:
 
 
 def to_save_request(tokenised: DataFrame) -> DataFrame:
-    """Record id plus the seven request fields; the PAN and the record type stay behind."""
-    return tokenised.select(*S.RECORD_ID, *[c.alias(n) for n, c in request_fields().items()])
+    """Record id, the seven request fields, and the amount as sent; the PAN and the record type stay behind.
+
+    ``amount`` is null or rounded where ``amount_inexact`` says so; ``amountText`` is always exact.
+    """
+    return tokenised.select(
+        *S.RECORD_ID,
+        *[c.alias(n) for n, c in request_fields().items()],
+        amount_json(F.col("amount_text")).alias("amountText"),
+    )
 
 
 def save_accepted() -> Saver:

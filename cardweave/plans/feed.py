@@ -97,6 +97,43 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def exact_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One publishable message for every order, with values that are hard to carry unchanged."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    text = k.cast("string")
+    transaction = (
+        F.when(k % 3 == 0, _leaf("TransactionId", F.concat(F.lit("<![CDATA[<amount>"), text, F.lit("</p:Amount>]]>"))))
+        .when(k % 3 == 1, _leaf("TransactionId", F.concat(F.lit("TXN-"), text)))
+        .otherwise(F.concat(F.lit("<transactionid>"), text, F.lit("</transactionid><!-- <TransactionId> -->")))
+    )
+    number = (
+        F.when(k % 4 == 0, F.concat(F.lit("12345678901234567890"), F.lpad(text, 9, "0"), F.lit(".10")))
+        .when(k % 4 == 1, F.concat(c, F.lit(".12345678901")))
+        .when(k % 4 == 2, F.concat(c, F.lit(".50")))
+        .otherwise(F.concat((1 + k % 9).cast("string"), F.lit("e2147483600")))
+    )
+    amount = F.when(k % 5 == 4, F.concat(F.lit('<Amount a="1" xmlns="urn:x">'), number, F.lit("</Amount >"))).otherwise(
+        _leaf("Amount", number)
+    )
+    day = F.substring((F.col("o_orderdate")).cast("string"), 1, 10)
+    moment = F.concat(day, F.lit("T01:02:03."), F.lpad((k % 1000000).cast("string"), 6, "0"), F.lit("789"))
+    value = F.concat(
+        F.lit('<Data xmlns:p="urn:p">'),
+        _leaf("MessageType", F.lit("TVN")),
+        _leaf("RecordType", F.lit("PTLFX")),
+        transaction,
+        amount,
+        F.lit('<Timestamp xmlns="urn:x"/>'),
+        _leaf("Timestamp", moment),
+        F.lit("</Data>"),
+    )
+    orders = table(spark, sf_dir, "orders")
+    return orders.select(
+        F.lit(None).cast("string").alias("key"), value.alias("value"), F.lit(TOPIC).alias("topic"),
+        F.lit(0).alias("partition"), k.alias("offset"),
+    )
+
+
 def order_key(transaction_id: Column) -> Column:
     return F.substring(transaction_id, 5, 20).cast("bigint")
 

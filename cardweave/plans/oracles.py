@@ -141,9 +141,22 @@ ORACLES: dict[str, str] = {
         _PARSED,
         f"""SELECT {_ID}, mt AS message_type, rt AS record_type, txn AS transaction_id, pan AS digital_pan,
           CAST(CAST(amt AS DECIMAL(18, 2)) AS DOUBLE) AS amount, amt AS amount_text, cur AS currency_code, rc AS response_code,
-          ts AS event_timestamp, (k % 19 <> 0 AND k % 17 = 0) AS amount_coerced, (k % 23 = 0) AS timestamp_coerced
+          ts AS event_timestamp, (k % 19 <> 0 AND k % 17 = 0) AS amount_coerced, false AS amount_inexact, {_ISO} AS timestamp_text, (k % 23 = 0) AS timestamp_coerced
         FROM m""",
     ),
+    "exact_fields": """
+SELECT o_orderkey AS k,
+  CASE o_orderkey % 3 WHEN 0 THEN '<amount>' || o_orderkey || '</p:Amount>' WHEN 1 THEN 'TXN-' || o_orderkey END AS transaction_id,
+  CASE WHEN o_orderkey % 5 = 4 THEN NULL ELSE CASE o_orderkey % 4
+    WHEN 0 THEN '12345678901234567890' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || '.10'
+    WHEN 1 THEN CAST(o_custkey AS VARCHAR) || '.12345678901'
+    WHEN 2 THEN CAST(o_custkey AS VARCHAR) || '.50'
+    ELSE CAST(1 + o_orderkey % 9 AS VARCHAR) || 'E+2147483600' END END AS "amountText",
+  (o_orderkey % 5 <> 4 AND o_orderkey % 4 <> 2) AS amount_inexact,
+  (o_orderkey % 5 <> 4 AND o_orderkey % 4 IN (0, 3)) OR o_orderkey % 5 = 4 AS amount_missing,
+  strftime(o_orderdate, '%Y-%m-%d') || 'T01:02:03.' || lpad(CAST(o_orderkey % 1000000 AS VARCHAR), 6, '0') || '789' AS timestamp
+FROM orders""",
+    "success_requests": _with(_OUTCOME, f"SELECT {_ID}, {_REQUEST} FROM r WHERE result = 'SUCCESS'"),
     "parse_rejects": _with(_TEXT, f"SELECT 'order-' || k AS key, {_ID}, txt AS value FROM t WHERE damaged"),
     "filter_publishable": _with(
         _PUBLISHED, f"SELECT {_ID}, rt AS record_type, mt AS message_type, txn AS transaction_id FROM p"
@@ -232,7 +245,7 @@ FROM w""",
     "outcome_metrics": _with(
         _OUTCOME,
         """SELECT result, reason, CASE WHEN damaged THEN NULL ELSE mt END AS message_type, count(*) AS records,
-          count(*) FILTER (WHERE NOT damaged AND k % 19 <> 0 AND k % 17 = 0) AS amounts_coerced,
+          count(*) FILTER (WHERE NOT damaged AND k % 19 <> 0 AND k % 17 = 0) AS amounts_coerced, CAST(0 AS BIGINT) AS amounts_inexact,
           count(*) FILTER (WHERE NOT damaged AND k % 23 = 0) AS timestamps_coerced,
           CAST(max(tries) AS INTEGER) AS max_attempts
         FROM r GROUP BY 1, 2, 3""",

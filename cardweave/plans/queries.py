@@ -95,11 +95,30 @@ def parse_messages(spark, sf_dir):
     return _messages(spark, sf_dir).select(
         *RECORD,
         *[_money(n).alias(n) if n == "amount" else F.col(n) for n in S.MESSAGE.fieldNames()],
-        "amount_coerced",
-        "timestamp_coerced",
+        *S.FLAGS.fieldNames(),
     )
 
 
+def exact_fields(spark, sf_dir):
+    """Look-alike names in CDATA and in namespaces, and numbers and times no typed column holds whole."""
+    done = outcome.process(feeds.exact_feed(spark, sf_dir), tokenise.tokenise_local())
+    request = requests.to_save_request(done).join(done.select(*S.RECORD_ID, "amount_inexact"), S.RECORD_ID)
+    return request.select(
+        F.col("offset").alias("k"),
+        F.col("transactionId").alias("transaction_id"),
+        "amountText",
+        "amount_inexact",
+        F.col("amount").isNull().alias("amount_missing"),
+        "timestamp",
+    )
+
+
+def success_requests(spark, sf_dir):
+    """What a user of the library does with a batch: settle it, then take the requests that went through."""
+    saved = requests.to_save_request(_outcomes(spark, sf_dir).filter("result = 'SUCCESS'"))
+    return saved.drop("topic", "amountText").withColumn("amount", _money("amount"))
+
+
 def parse_rejects(spark, sf_dir):
     rejected = parse.rejects(parse.parse_feed(feeds.order_feed(spark, sf_dir)))
     return rejected.select("key", *RECORD, "value")
@@ -146,7 +165,7 @@ def _requests(spark, sf_dir):
 
 def save_requests(spark, sf_dir):
     request = requests.to_save_request(_requests(spark, sf_dir))
-    return request.drop("topic").withColumn("amount", _money("amount"))
+    return request.drop("topic", "amountText").withColumn("amount", _money("amount"))
 
 
 def save_payloads(spark, sf_dir):
@@ -286,7 +305,7 @@ def stream_transactions(spark, sf_dir):
     store = _streamed(spark, sf_dir, _two_drops())
     return (
         store.table("transactions")
-        .drop("topic", "batch_id")
+        .drop("topic", "batch_id", "amountText")
         .withColumn("amount", _money("amount"))
     )
 
@@ -348,6 +367,8 @@ QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         parse_messages,
+        exact_fields,
+        success_requests,
         parse_rejects,
         filter_publishable,
         tokenise_local,

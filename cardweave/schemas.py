@@ -51,6 +51,16 @@ MESSAGE = T.StructType(
         T.StructField("currency_code", T.StringType()),
         T.StructField("response_code", T.StringType()),
         T.StructField("event_timestamp", T.TimestampNTZType()),
+        T.StructField("timestamp_text", T.StringType()),
+    ]
+)
+
+# What the typing rules could not keep: text turned into null, and amounts beyond the decimal.
+FLAGS = T.StructType(
+    [
+        T.StructField("amount_coerced", T.BooleanType()),
+        T.StructField("amount_inexact", T.BooleanType()),
+        T.StructField("timestamp_coerced", T.BooleanType()),
     ]
 )
 
@@ -60,8 +70,7 @@ PREPARED = T.StructType(
         *FEED.fields[2:],
         T.StructField("value", T.StringType()),
         *MESSAGE.fields,
-        T.StructField("amount_coerced", T.BooleanType()),
-        T.StructField("timestamp_coerced", T.BooleanType()),
+        *FLAGS.fields,
         T.StructField("reason", T.StringType()),
         T.StructField("attempts", T.IntegerType()),
     ]

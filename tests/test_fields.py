@@ -109,13 +109,16 @@ def test_iso_text_leaves_out_zero_seconds(spark, column_of, zone):
         "2024-01-15T10:30:00.012": "2024-01-15T10:30:00.012",
         "2024-01-15T10:30:00.0125": "2024-01-15T10:30:00.012500",
         "2024-01-15T10:30:00.000001": "2024-01-15T10:30:00.000001",
+        "2024-01-15T10:30:00.123456789": "2024-01-15T10:30:00.123456789",
+        "2024-01-15T10:30:00.1234567 ": "2024-01-15T10:30:00.123456700",
+        "2024-01-15T10:30:00.000000000": "2024-01-15T10:30",
         # A time that New York skips, and one before its zone was set up.
         "2024-03-10T02:30:00": "2024-03-10T02:30",
         "1850-06-01T01:02:03": "1850-06-01T01:02:03",
     }
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        got = column_of(lambda c: fields.iso_local(fields.event_timestamp(c)), [*texts, None])
+        got = column_of(lambda c: fields.iso_text(c, fields.event_timestamp(c)), [*texts, None])
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [*texts.values(), None]
@@ -124,3 +127,18 @@ def test_iso_text_leaves_out_zero_seconds(spark, column_of, zone):
 def test_coercion_flags(column_of):
     flag = lambda c: fields.was_coerced(c, fields.amount(c))
     assert column_of(flag, ["1", "x", "  ", "", None]) == [False, True, False, False, False]
+
+
+def test_what_the_decimal_cannot_hold(column_of):
+    texts = {
+        "1.50": False, "99999999999999999999999999999.10": True, "1.12345678901": True, "1.12345678900": False,
+        "0.00000000000": False, "1E-11": True, "10E-11": False, "1E28": True, "9e27": False, "1E2147483647": True, "-0E-999999999": False,
+    }
+    flag = lambda c: fields.is_inexact(fields.amount_text(c), fields.amount(c))
+    assert column_of(flag, [*texts, None, "N/A"]) == [*texts.values(), False, False]
+
+
+def test_exponents_have_32_bits(column_of):
+    texts = ["1E2147483647", "1E-2147483647", "1E2147483648", "1E9999999999", "0.1E-2147483647"]
+    assert column_of(fields.amount_text, texts) == [texts[0], texts[1], None, None, None]
+    assert column_of(fields.amount, texts[:2]) == [None, 0]

@@ -85,15 +85,16 @@ def test_strict_documents(spark, feed_of, case_sensitive):
 
 def test_full_message(feed_of):
     row = messages(parse_feed(feed_of([SAMPLE]))).first()
-    assert row["message_type"] == "TVN"
+    assert row["message_type"] == "TCN"
     assert row["record_type"] == "PTLFX"
-    assert row["transaction_id"] == "TXN-20240101-001"
-    assert row["digital_pan"] == "4111111111111111"
-    assert row["amount"] == Decimal("123.45")
-    assert row["amount_text"] == "123.45"
-    assert row["currency_code"] == "NZD"
-    assert row["response_code"] == "00"
-    assert row["event_timestamp"] == datetime(2024, 1, 15, 10, 30)
+    assert row["transaction_id"] == "case-7/0042"
+    assert row["digital_pan"] == "5555555555554444"
+    assert row["amount"] == Decimal("7480.06")
+    assert row["amount_text"] == "7480.06"
+    assert row["currency_code"] == "EUR"
+    assert row["response_code"] == "91"
+    assert row["event_timestamp"] == datetime(2031, 7, 4, 18, 5, 9, 250000)
+    assert row["timestamp_text"] == "2031-07-04T18:05:09.250"
 
 
 def test_kinds_of_message(feed_of):
@@ -139,6 +140,14 @@ def test_text_of_elements(spark, feed_of, case_sensitive):
         "<Data><Nested><TransactionId>1</TransactionId></Nested></Data>",
         "<Data xmlns:p='urn:x'><TransactionId>1</TransactionId><p:TransactionId>2</p:TransactionId></Data>",
         "<Data xmlns:p='urn:x'><p:TRANSACTIONID>2</p:TRANSACTIONID></Data>",
+        # Names are names in tags only.
+        fragment(TransactionId="<![CDATA[<amount>]]>"),
+        "<Data xmlns:p='u'><!-- <amount> --><?x <amount> ?><TransactionId>a<![CDATA[<p:Amount>]]]]>b</TransactionId><amount/></Data>",
+        # A default namespace makes another element of it.
+        "<Data><TransactionId xmlns='urn:x'>1</TransactionId></Data>",
+        "<Data><TransactionId>1</TransactionId><TransactionId a='>' xmlns = \"urn:x\" b='2'><![CDATA[</TransactionId>]]></TransactionId ></Data>",
+        "<Data><TransactionId>1</TransactionId><TransactionId xmlns='urn:x'/><TransactionId xmlns=''/></Data>",
+        "<Data><TransactionId xmlns='urn:x'>1</TransactionId><TransactionId xmlns='urn:x'>2</TransactionId></Data>",
     ]
     spark.conf.set("spark.sql.caseSensitive", case_sensitive)
     try:
@@ -146,6 +155,7 @@ def test_text_of_elements(spark, feed_of, case_sensitive):
     finally:
         spark.conf.unset("spark.sql.caseSensitive")
     expected = ["  a b\t", "<x>&", "a&bA", "ab", "null", "", "", "2", None, "1", "7", None, "1", None]
+    expected += ["<amount>", "a<p:Amount>]]b", None, "1", "", None]
     assert [r["transaction_id"] for r in rows] == expected
 
 
