@@ -34,6 +34,8 @@ CHUNK_BYTES, GROUP_BYTES = 4 << 20, 8 << 20
 #: meet by their own hash.
 HOT_CHUNKS = 2048
 _PLACE_BITS = 21
+#: Anchors are 48-bit hashes. Two that clash only bring texts together that share nothing.
+_ANCHOR_SHIFT = np.uint64(16)
 
 
 def pack(*arrays: np.ndarray) -> bytes:
@@ -42,6 +44,11 @@ def pack(*arrays: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(raw)
 
 
+def steps(x: np.ndarray) -> np.ndarray:
+    """Differences of a rising column, which pack smaller; ``np.cumsum`` undoes it."""
+    return np.diff(x, prepend=x.dtype.type(0))
+
+
 def unpack(packed: bytes, *kinds: type) -> list[np.ndarray]:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
     sizes = [np.dtype(k).itemsize for k in kinds]
@@ -65,7 +72,7 @@ def _chunks(width: int):
                 pa.array([int.from_bytes(name, "little", signed=True)], pa.int64()),
                 pa.array([ids], pa.list_(pa.int64())),
                 pa.array([lengths], pa.list_(pa.int64())),
-                pa.array([zstandard.ZstdCompressor(level=1).compress(text)], pa.binary()),
+                pa.array([zstandard.ZstdCompressor(level=3).compress(text)], pa.binary()),
             ]
             return pa.record_batch(columns, ["chunk", "ids", "lengths", "packed"])
 
@@ -140,7 +147,7 @@ class _Chunk:
         text = np.searchsorted(self.bounds, start + at, side="right") - 1
         keep = self.known[text]
         start, end, text, first = start[keep], end[keep], text[keep], first[keep]
-        return mix(hashes[own[first]]), content.spans(content.prefix(data), start, end), start + at, end - start, text
+        return mix(hashes[own[first]]) >> _ANCHOR_SHIFT, content.spans(content.prefix(data), start, end), start + at, end - start, text
 
 
 def _hashers() -> tuple[SpanHasher, SpanHasher]:
@@ -148,7 +155,8 @@ def _hashers() -> tuple[SpanHasher, SpanHasher]:
 
 
 def _group_of(anchor: np.ndarray, groups: int) -> np.ndarray:
-    return (mix(anchor) % np.uint64(groups)).astype(np.int64)
+    """Equal ranges of anchors, so that those of a group lie close together."""
+    return ((anchor >> np.uint64(16)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
 
 
 def _by_group(group: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -179,7 +187,7 @@ def _anchors(width: int, groups: int):
                 least, most = np.minimum.reduceat(doc, first), np.maximum.reduceat(doc, first)
                 anchor = anchor[first]
                 rows = [
-                    (g, chunk_id, pack(anchor[k], least[k], most[k])) for g, k in _by_group(_group_of(anchor, groups))
+                    (g, chunk_id, pack(steps(anchor[k]), least[k], most[k] - least[k])) for g, k in _by_group(_group_of(anchor, groups))
                 ]
                 yield _blobs(rows)
 
@@ -191,7 +199,9 @@ def _repeated_anchors(table: pa.Table) -> pa.Table:
     chunks = table.column("chunk").to_pylist()
     parts = [unpack(b, np.uint64, np.int64, np.int64) for b in table.column("blob").to_pylist()]
     source = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-    anchor, least, most = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    anchor = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
+    least, most = (np.concatenate([p[k] for p in parts]) for k in (1, 2))
+    most = most + least
     order = np.argsort(anchor, kind="stable")
     anchor, least, most, source = anchor[order], least[order], most[order], source[order]
     first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
@@ -200,7 +210,7 @@ def _repeated_anchors(table: pa.Table) -> pa.Table:
     keep = np.repeat(repeated, counts)
     hot = np.repeat(counts > HOT_CHUNKS, counts)[keep]
     anchor, source = anchor[keep], source[keep]
-    rows = [(chunks[s], pack(anchor[k], hot[k].astype(np.uint8))) for s, k in _by_group(source)]
+    rows = [(chunks[s], pack(steps(anchor[k]), hot[k].astype(np.uint8))) for s, k in _by_group(source)]
     return pa.table(
         {"chunk": pa.array([r[0] for r in rows], pa.int64()), "blob": pa.array([r[1] for r in rows], pa.binary())}
     )
@@ -216,7 +226,7 @@ class _Distinct:
     def __init__(self, chunk: _Chunk, blobs: list[bytes], width: int, hashers: tuple[SpanHasher, SpanHasher]):
         anchor, content, start, length, text = chunk.segments(width, *hashers)
         parts = [unpack(b, np.uint64, np.uint8) for b in blobs]
-        repeated = np.concatenate([p[0] for p in parts])
+        repeated = np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts])
         hot = np.concatenate([p[1] for p in parts]).astype(bool)
         order = np.argsort(repeated, kind="stable")
         repeated, hot = repeated[order], hot[order]
@@ -234,7 +244,7 @@ class _Distinct:
             for k in range(0, len(starts), SLICE_BYTES):  # starts rise, so every part spans little text
                 part = starts[k : k + SLICE_BYTES]
                 own[k : k + len(part)] = hashers[1].words(chunk.data, part, part + width)
-            key, content_key = np.append(key, own), np.append(content_key, own)
+            key, content_key = np.append(key, own >> _ANCHOR_SHIFT), np.append(content_key, own)
             start_, text_ = np.append(start_, starts), np.append(text_, texts)
             length_ = np.append(length_, np.full(len(starts), width))
         self.start, self.length, self.text = start_, length_, text_
@@ -264,8 +274,9 @@ def _segments(width: int, groups: int):
                 start, length = distinct.start[distinct.sample], distinct.length[distinct.sample]
                 rows = []
                 for group, k in _by_group(_group_of(distinct.key, groups)):
+                    least, most = distinct.least[k], distinct.most[k]
                     columns = pack(
-                        distinct.key[k], k.astype(np.int32), length[k].astype(np.int32), distinct.least[k], distinct.most[k]
+                        steps(distinct.key[k]), steps(k.astype(np.int32)), length[k].astype(np.int32), least, most - least
                     )
                     text = zstandard.ZstdCompressor(level=1).compress(chunk.data[expand(start[k], length[k])].tobytes())
                     rows.append((group, chunk_id, len(columns).to_bytes(4, "little") + columns + text))
@@ -385,7 +396,9 @@ def _repeats(width: int):
             columns.append(unpack(blob[4 : 4 + size], np.uint64, np.int32, np.int32, np.int64, np.int64))
             texts.append(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[4 + size :]), np.uint8))
         source = np.repeat(np.arange(len(columns)), [len(c[0]) for c in columns])
-        key, number, length, least, most = (np.concatenate([c[k] for c in columns]) for k in range(5))
+        key, number = (np.concatenate([np.cumsum(c[k], dtype=c[k].dtype) for c in columns]) for k in (0, 1))
+        length, least, most = (np.concatenate([c[k] for c in columns]) for k in (2, 3, 4))
+        most = most + least
         data, length = np.concatenate(texts), length.astype(np.int64)
         start = np.cumsum(length) - length
         out: list[tuple[np.ndarray, ...]] = []
@@ -397,8 +410,10 @@ def _repeats(width: int):
             if len(rows):
                 out.append(_cover(data, key[rows], start[rows], length[rows], least[rows], most[rows], rows, width))
         segment, at, size, first = (np.concatenate(x) for x in zip(*out))
+        order = np.argsort(segment, kind="stable")
+        segment, at, size, first = segment[order], at[order], size[order], first[order]
         rows = [
-            (chunks[s], pack(number[segment[k]], at[k].astype(np.int32), size[k].astype(np.int32), first[k]))
+            (chunks[s], pack(steps(number[segment[k]]), at[k].astype(np.int32), size[k].astype(np.int32), first[k]))
             for s, k in _by_group(source[segment])
         ]
         return pa.table(
@@ -461,7 +476,8 @@ def _cut(width: int):
                 if blobs and covers:
                     distinct = _Distinct(chunk, blobs, width, hashers)
                     parts = [unpack(c, np.int32, np.int32, np.int32, np.int64) for c in covers]
-                    number, at, size, first = (np.concatenate([p[k] for p in parts]) for k in range(4))
+                    number = np.concatenate([np.cumsum(p[0], dtype=np.int32) for p in parts])
+                    at, size, first = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
                     order = np.argsort(number, kind="stable")
                     number, at, size, first = number[order], at[order], size[order], first[order]
                     low = np.searchsorted(number, distinct.number)
@@ -502,6 +518,8 @@ def remove_repeats(df: DataFrame, width: int = WIDTH) -> DataFrame:
     total = chunks.agg(F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)")).alias("n")).first()["n"] or 0
     groups = max(16, -(-total // GROUP_BYTES))
     blobs = "part bigint, chunk bigint, blob binary"
+    # The same rows for both joins below, so that they share one exchange of the texts.
+    chunks = chunks.where("chunk IS NOT NULL")
     anchors = chunks.mapInArrow(_anchors(width, groups), blobs)
     repeated = anchors.groupBy("part").applyInArrow(_repeated_anchors, "chunk bigint, blob binary")
     repeated = repeated.groupBy("chunk").agg(F.sort_array(F.collect_list("blob")).alias("anchors"))
