@@ -36,6 +36,19 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (size or 0) <= limit
 
 
+#: A key is hot with this share of the rows, so there are at most so many.
+_HOT_SHARE, _HOT_KEYS = 1 / 200, 200
+
+
+def hot_keys(df: DataFrame, key: str) -> list[str]:
+    """Keys that hold a two-hundredth of the rows or more, by a sketch of bounded size over all rows."""
+    found = df.where(F.col(key).isNotNull()).agg(
+        F.expr(f"approx_top_k(`{key}`, {_HOT_KEYS}, {50 * _HOT_KEYS})").alias("top"), F.count("*").alias("rows")
+    )
+    row = found.first()
+    return [x["item"] for x in row["top"] or [] if x["count"] >= _HOT_SHARE * row["rows"]]
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -49,21 +62,21 @@ def lookup_join(
 
     ``measured`` is what is measured in its place, where something cheaper to read is
     at least as large. A right side measured below ``broadcast_bytes`` is broadcast: ``left`` is not
-    shuffled. Beyond it both sides are hashed on (key, salt): the right side is
-    repeated once per salt and each left row picks its salt from ``row_id``, so a
-    hot key is spread over ``salts`` tasks (and AQE can split those further, since
-    both inputs are plain exchanges). The merge hint keeps Spark from broadcasting the
+    shuffled. Beyond it both sides are hashed on (key, salt). A sketch of ``left`` finds the hot
+    keys, at most ``_HOT_KEYS``; their right rows are repeated once per salt and each of their
+    left rows picks a salt from ``row_id``, so a hot key is spread over ``salts`` tasks (and
+    AQE can split those further, since both inputs are plain exchanges). All others have one salt. The merge hint keeps Spark from broadcasting the
     repeated side on an estimate. Rows with a null key match nothing and are spread
     evenly.
     """
     if fits_broadcast(right if measured is None else measured, broadcast_bytes):
         return left.join(F.broadcast(right), on, "left")
-    row_hash = F.xxhash64(*row_id)
+    row_hash, hot = F.xxhash64(*row_id), F.col(on[0]).isin(hot_keys(left, on[0]))
     no_key = F.lit(False)
     for name in on:
         no_key = no_key | F.col(name).isNull()
-    salt = F.when(no_key, row_hash).otherwise(F.pmod(row_hash, F.lit(salts)))
-    salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.when(no_key, row_hash).when(hot, F.pmod(row_hash, F.lit(salts))).otherwise(0)
+    salted = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(hot, salts - 1).otherwise(0))))
     return (
         left.withColumn("_salt", salt)
         .join(salted.withColumn("_salt", F.col("_salt").cast("bigint")).hint("merge"), [*on, "_salt"], "left")

@@ -25,19 +25,18 @@ def call_health(
     """Failure rate of the last ``window_calls`` calls of each service, at every call.
 
     A service may own any share of the log, so it is not windowed as one group. The
-    calls are range-partitioned by (service, order) into balanced slices and windowed
-    slice by slice. Only the first ``window_calls - 1`` calls of a slice look further
+    calls are cut into slices at quantiles of the first of ``order`` (a number, date or time) and
+    windowed slice by slice, after one exchange. Only the first ``window_calls - 1`` calls of a slice look further
     back; they are windowed again among the first and last calls of all slices, which
     are ``2 * (window_calls - 1)`` rows per slice, however long the log. ``order`` must
     be unique within a service. ``flagged`` needs a full window.
     """
     reach = window_calls - 1
     slices = slices or int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (
-        calls.select(service.alias("service"), *order, failed.cast("int").alias("_failed"))
-        .repartitionByRange(slices, "service", *order)
-        .withColumn("_slice", F.spark_partition_id())
-    )
+    rows = calls.select(service.alias("service"), *order, failed.cast("int").alias("_failed"))
+    cuts = rows.agg(F.percentile_approx(order[0], [k / slices for k in range(1, slices)], 100 * slices)).first()[0] if slices > 1 else None
+    below = [(F.col(order[0]) > F.lit(c)).cast("int") for c in sorted(set(cuts or []))]
+    ranged = rows.withColumn("_slice", F.aggregate(F.array(F.lit(0), *below), F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0))))
     in_slice = Window.partitionBy("service", "_slice").orderBy(*order)
     windowed = stage(
         ranged.withColumns(

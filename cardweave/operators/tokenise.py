@@ -58,8 +58,10 @@ def tokenise_vault(
     def apply(messages: DataFrame, active: Column) -> DataFrame:
         keyed = messages.withColumn("_pan", F.when(active, F.col("digital_pan")))
         known = vault
-        if small_batches and not fits_broadcast(vault, broadcast_bytes):
+        large = not fits_broadcast(vault, broadcast_bytes)
+        if large:  # the hot cards are looked for first, so the messages are read twice
             keyed = stage(keyed, "to-tokenise")
+        if small_batches and large:
             known = _narrowed(vault, keyed.select(F.col("_pan").alias("digital_pan")).distinct(), broadcast_bytes)
         tokens = one_token_per_pan(known).withColumnRenamed("digital_pan", "_pan")
         joined = lookup_join(keyed, tokens, ["_pan"], S.RECORD_ID, broadcast_bytes, salts, measured=known)

@@ -166,6 +166,12 @@ def supplier_feed(spark: SparkSession, sf_dir: str, blank: str) -> DataFrame:
     )
 
 
+def set_time(spark: SparkSession, file: str, seconds: int) -> None:
+    """Give a file the modification time ``seconds`` after 1970."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(path, seconds * 1000, -1)
+
+
 def write_files(records: DataFrame, folder: str, extension: str = "xml") -> None:
     """Write each record as one file named after its key, from the tasks that hold them."""
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -116,6 +116,25 @@ SELECT 'msg.' || k AS key, NOT damaged AS parsed,
     ELSE TIMESTAMP '1998-01-01 00:00:00' + to_seconds(k % 86400) END AS event_timestamp
 FROM f"""
 
+_SUPPLIER_TEXT = """
+  SELECT 'msg.' || k AS key, CASE WHEN k % 29 = 0 THEN body WHEN k % 31 = 0 THEN body || '</Data>junk'
+    WHEN k % 37 = 0 THEN '' WHEN k % 41 = 0 THEN '   ' ELSE body || '</Data>' END AS value
+  FROM (SELECT k, '<Data>'
+    || CASE k % 7 WHEN 0 THEN '<MessageType>TVN</MessageType>' WHEN 1 THEN '<MessageType>TCN</MessageType>'
+         WHEN 2 THEN '<MessageType>ACN</MessageType>' WHEN 3 THEN '<MessageType>TAR</MessageType>'
+         WHEN 4 THEN '<MessageType>tvn </MessageType>' WHEN 5 THEN '<MessageType>XYZ</MessageType>' ELSE '' END
+    || '<RecordType>' || CASE k % 5 WHEN 0 THEN 'OTHER' WHEN 1 THEN ' ptlfx ' ELSE 'PTLFX' END || '</RecordType>'
+    || '<TransactionId>TXN-' || k || '</TransactionId>'
+    || CASE WHEN k % 11 = 0 THEN '' WHEN k % 13 = 0 THEN '<DigitalPan>12</DigitalPan>'
+         ELSE '<DigitalPan>4' || lpad(CAST(k AS VARCHAR), 15, '0') || '</DigitalPan>' END
+    || CASE WHEN k % 19 = 0 THEN '' WHEN k % 17 = 0 THEN '<Amount>N/A</Amount>'
+         ELSE '<Amount>' || (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') || '</Amount>' END
+    || '<CurrencyCode>' || CASE k % 3 WHEN 0 THEN 'NZD' WHEN 1 THEN 'AUD' ELSE 'USD' END
+    || '</CurrencyCode><ResponseCode>00</ResponseCode><Timestamp>'
+    || strftime(TIMESTAMP '1998-01-01 00:00:00' + to_seconds(k % 86400), '%Y-%m-%dT%H:%M:%S')
+    || CASE WHEN k % 23 = 0 THEN 'Z' ELSE '' END || '</Timestamp>' AS body
+    FROM (SELECT s_suppkey AS k, CAST(round(abs(s_acctbal) * 100) AS BIGINT) AS cents FROM supplier))"""
+
 _TOKEN_LOOKUP = _with(
     _PUBLISHED + _VAULT,
     f"SELECT {_ID}, w.token AS tokenised_pan FROM p LEFT JOIN (SELECT DISTINCT pan, token FROM v) w ON p.pan = w.pan",
@@ -176,6 +195,11 @@ FROM orders""",
           (n IS NULL OR n % 5 = 0) AS failed
         FROM s""",
     ),
+    "service_outage": _with(
+        _OUTCOME,
+        f"""SELECT {_ID}, CASE WHEN tries = 0 THEN 'SKIPPED' ELSE 'RETRY' END AS result,
+          CASE WHEN tries = 0 THEN reason ELSE 'TOKENISE_FAILED' END AS reason, true AS once FROM r""",
+    ),
     "masked_report": _with(
         _PARSED,
         f"""SELECT {_ID}, txn AS transaction_id, mt AS message_type,
@@ -285,5 +309,9 @@ FROM w""",
     ),
     "folder_feed": _SUPPLIER,
     "folder_changes": "SELECT 'msg.' || s_suppkey AS key, '<again/>' AS value FROM supplier WHERE s_acctbal < 5000",
+    "folder_polls": f"""
+WITH texts AS ({_SUPPLIER_TEXT})
+SELECT 0 AS poll, key, value FROM texts
+UNION ALL SELECT 1, 'msg.' || s_suppkey, '<again/>' FROM supplier WHERE s_acctbal < 5000""",
     "folder_stream": _SUPPLIER,
 }

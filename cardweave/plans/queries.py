@@ -19,6 +19,7 @@ from cardweave.sinks.topic import publish_records
 from cardweave.sources.folder import changed_files, read_folder, watch_folder
 from cardweave.storage import fresh_path, stage
 from cardweave.streaming import run
+from cardweave.streaming.watch import poll_folder
 
 KEY = feeds.KEY_TEXT.encode()
 RECORD = ["partition", "offset"]
@@ -34,7 +35,7 @@ def _no_wait(_: float) -> None:
     return None
 
 
-NO_WAIT = RetryPolicy(sleep=_no_wait)
+NO_WAIT = RetryPolicy(sleep=_no_wait, breaker_calls=None)
 
 
 def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +153,21 @@ def tokenise_service(spark, sf_dir):
     )
 
 
+def _dead_service() -> Client:
+    def answer(body: str) -> str:
+        raise ConnectionError("unavailable")
+
+    return answer
+
+
+def service_outage(spark, sf_dir):
+    """A service that never answers: every record ends to be retried, after few calls in each task."""
+    tokeniser = tokenise.tokenise_service(_dead_service, RetryPolicy(sleep=_no_wait), parallelism=4)
+    done = outcome.process(feeds.order_feed(spark, sf_dir), tokeniser)
+    # A task stops after ten calls, before it comes to any second attempt.
+    return done.select(*RECORD, "result", "reason", (F.coalesce(F.col("token_attempts"), F.lit(0)) <= 1).alias("once"))
+
+
 def masked_report(spark, sf_dir):
     return metrics.masked_report(_messages(spark, sf_dir)).select(
         *RECORD, "transaction_id", "message_type", "masked_pan"
@@ -348,6 +364,24 @@ def folder_changes(spark, sf_dir):
     return changed_files(read_folder(spark, folder), seen).select("key", "value")
 
 
+def folder_polls(spark, sf_dir):
+    """Three looks at a folder: all files, those written again, one of them with an older time, and none."""
+    folder = _supplier_folder(spark, sf_dir, blank="")
+    scheme, _, path = folder.rpartition(":")
+    store = Store(spark, fresh_path(spark, "polls"))
+    polls = []
+    for poll in range(3):
+        if poll == 1:
+            low = feeds.table(spark, sf_dir, "supplier").filter("s_acctbal < 5000")
+            again = low.select(F.concat(F.lit("msg."), "s_suppkey").alias("key"), F.lit("<again/>").alias("value"))
+            feeds.write_files(again, folder)
+            feeds.set_time(spark, f"{folder}/msg.{low.agg(F.min('s_suppkey')).first()[0]}.xml", seconds=86_400)
+        looked_at = f"{scheme}:{path}/../{path.rpartition('/')[2]}//" if scheme else f"{path}//"
+        poll_folder(store, looked_at, poll, lambda records: None, settle_seconds=0.0)
+        polls.append(stage(store.batch("published", poll).select(F.lit(poll).alias("poll"), "key", "value"), "polled"))
+    return polls[0].unionByName(polls[1]).unionByName(polls[2])
+
+
 def folder_stream(spark, sf_dir):
     folder = _supplier_folder(spark, sf_dir, blank="\n")
     out = fresh_path(spark, "folder-out")
@@ -375,6 +409,7 @@ QUERIES: dict[str, Query] = {
         tokenise_vault,
         tokenise_vault_salted,
         tokenise_service,
+        service_outage,
         masked_report,
         save_requests,
         save_payloads,
@@ -397,6 +432,7 @@ QUERIES: dict[str, Query] = {
         stream_ledger,
         folder_feed,
         folder_changes,
+        folder_polls,
         folder_stream,
     )
 }

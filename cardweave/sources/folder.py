@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import posixpath
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -21,7 +22,9 @@ SETTLE_SECONDS = 0.25
 
 
 def _plain_path(folder: str) -> str:
-    return (urlsplit(folder).path if ":/" in folder else os.path.abspath(folder)).rstrip("/")
+    """The folder's path as a scan reports it: no scheme, no doubled slash, no . or .. steps."""
+    path = posixpath.normpath(urlsplit(folder).path if ":/" in folder else os.path.abspath(folder))
+    return ("/" + path.lstrip("/")).rstrip("/")
 
 
 def _decoded(uri: Column) -> Column:
@@ -55,13 +58,11 @@ def _records(files: DataFrame, folder: str, on_invalid: str) -> DataFrame:
     )
 
 
-def _passed_over(spark: SparkSession, folder: str, on_invalid: str) -> DataFrame:
-    """The files Spark's own readers leave out: empty ones, and names that start with . or _.
+def _passed_over_names(spark: SparkSession, folder: str, empty: bool) -> DataFrame:
+    """(name, modified) of names that start with . or _, which no reader of Spark lists, and of ``empty`` files.
 
-    One task lists names; the files are then read by as many tasks as there are
-    partitions.
+    One task lists them; a folder's listing is one call.
     """
-    parent = _plain_path(folder)
 
     def list_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -70,10 +71,46 @@ def _passed_over(spark: SparkSession, folder: str, on_invalid: str) -> DataFrame
                 files = [
                     (f.base_name, f.mtime_ns // 1000)
                     for f in filesystem.get_file_info(fs.FileSelector(path))
-                    if f.type == fs.FileType.File and (f.size == 0 or f.base_name.startswith((".", "_")))
+                    if f.type == fs.FileType.File and ((empty and f.size == 0) or f.base_name.startswith((".", "_")))
                 ]
                 yield pd.DataFrame(files, columns=["name", "modified"])
 
+    return spark.range(1).mapInPandas(list_names, "name STRING, modified BIGINT")
+
+
+def list_folder(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, path, modified) of every file directly in ``folder``, without reading any."""
+    parent = _plain_path(folder)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    path = _file_path()
+    listed = files.where(F.regexp_replace(path, r"/[^/]*\z", "") == parent).select(
+        _decoded(F.col("_metadata.file_name")).alias("name"),
+        path.alias("path"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    )
+    hidden = _passed_over_names(spark, folder, empty=False)
+    return listed.unionByName(
+        hidden.select(
+            "name", F.concat(F.lit(f"{parent}/"), "name").alias("path"), F.timestamp_micros("modified").alias("modified")
+        )
+    )
+
+
+def read_listed(files: DataFrame, folder: str, on_invalid: str = "error") -> DataFrame:
+    """The records of listed files (name, path, modified), each read by a task of its own choosing."""
+    named = files.select("name", F.unix_micros("modified").alias("modified"))
+    return _read_names(named, folder, on_invalid)
+
+
+def _passed_over(spark: SparkSession, folder: str, on_invalid: str) -> DataFrame:
+    """The files Spark's own readers leave out: empty ones, and names that start with . or _."""
+    return _read_names(_passed_over_names(spark, folder, empty=True), folder, on_invalid)
+
+
+def _read_names(names: DataFrame, folder: str, on_invalid: str) -> DataFrame:
+    """Read the files of ``names`` in as many tasks as there are partitions."""
+    parent = _plain_path(folder)
+
     def read_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, path = folder_in_task(folder)
         for batch in batches:
@@ -89,8 +126,7 @@ def _passed_over(spark: SparkSession, folder: str, on_invalid: str) -> DataFrame
                     }
                 )
 
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    names = spark.range(1).mapInPandas(list_names, "name STRING, modified BIGINT")
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     files = names.repartition(tasks, "name").mapInPandas(
         read_files, "name STRING, content BINARY, path STRING, modified BIGINT"
     )

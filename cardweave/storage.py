@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -46,8 +47,16 @@ def staging() -> Iterator[None]:
     finally:
         _staged.reset(token)
         for path in paths:
-            filesystem, folder = folder_in_task(path)
-            filesystem.delete_dir(folder)
+            delete(SparkSession.getActiveSession(), path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Hadoop's file system; a failure is a warning, since no result depends on it."""
+    try:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception as error:
+        warnings.warn(f"{path} could not be deleted: {error}", stacklevel=2)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

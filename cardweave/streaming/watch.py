@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cardweave.sinks.store import Store
-from cardweave.sources.folder import SETTLE_SECONDS, changed_files, read_folder, settled
+from cardweave.sources.folder import SETTLE_SECONDS, changed_files, list_folder, read_listed, settled
 
 Publish = Callable[[DataFrame], None]
 
@@ -23,17 +22,19 @@ def poll_folder(
     before they are published, and the files count as seen after that: a poll that fails
     half-way publishes again when it is repeated, and loses nothing.
     """
-    files = settled(read_folder(store.spark, folder, **options), settle_seconds)
+    files = settled(list_folder(store.spark, folder), settle_seconds)
     seen = None
     if poll > 0:
         seen = store.batch("seen", poll - 1)
         files = changed_files(files, seen)
-    records = store.write("published", poll, files)
+    # Only what is new is read.
+    records = store.write("published", poll, read_listed(files, folder, **options))
     publish(records)
     now_seen = records.select("path", "modified")
     if seen is not None:
-        now_seen = now_seen.unionByName(seen)
-    store.write("seen", poll, now_seen.groupBy("path").agg(F.max("modified").alias("modified")))
+        # The time a file was last seen with, which may be older than the one before.
+        now_seen = now_seen.unionByName(seen.join(now_seen.select("path"), "path", "left_anti").select("path", "modified"))
+    store.write("seen", poll, now_seen)
     if poll > 1:
         for table in ("published", "seen"):
             store.drop(table, poll - 2)
