@@ -113,6 +113,8 @@ def _fractional(histogram: np.ndarray, capacity: int, rounds: int) -> dict[tuple
     size = np.arange(len(demand)) / capacity
     logs, chosen = np.zeros_like(demand), {}
     covered, total = 0.0, float((demand * size).sum())
+    if not total:
+        return chosen
     for _ in range(rounds):
         # Below exp(-30) a price no longer matters; shifting all logs changes no choice.
         prices = np.where(demand > 0, size * np.exp(np.maximum(logs - logs.max(initial=-np.inf, where=demand > 0), -30.0)), 0.0)

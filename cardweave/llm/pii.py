@@ -309,7 +309,7 @@ def _plausible(kind: int, value: str) -> bool:
     groups = re.findall("[0-9]+", value)
     digits = "".join(groups)
     if kind == 0:
-        return "@" in value
+        return re.fullmatch(r"[^\s@]+\s?@\s?[^\s@]+\.[^\s@]+", value) is not None
     if any(c.isalpha() for c in value):
         return False
     if kind == 1:

@@ -44,24 +44,26 @@ class ByteNetwork:
         """The largest value of each filter in each block, and each text's first block."""
         width, filters = self.filters.shape[0], self.filters.shape[2]
         lengths = np.diff(bounds)
-        # A zero byte and the filter's width of zeros behind each text: an empty one has a position too.
+        # The filters see zeros behind each text, and an empty one has a position too.
         places = lengths + 1
-        padded = np.zeros(int(places.sum()) + width, np.uint8)
-        first = np.cumsum(places) - places
+        first = np.cumsum(lengths + width) - lengths - width
+        padded = np.zeros(int((lengths + width).sum()) + width, np.uint8)
         padded[expand(first, lengths)] = data
         blocks = -(-places // BLOCK)
         block_starts = np.repeat(first, blocks) + expand(np.zeros_like(blocks), blocks) * BLOCK
+        ends = np.minimum(block_starts + BLOCK, np.repeat(first + places, blocks))
         starts = np.cumsum(blocks) - blocks
         pooled = np.empty((len(block_starts), filters), np.float32)
-        ends = np.append(block_starts[1:], int(places.sum()))
         at = 0
         while at < len(block_starts):  # about 32,000 positions at a time
             stop = max(int(np.searchsorted(ends, block_starts[at] + 32_768, side="right")), at + 1)
-            a, b = block_starts[at], ends[stop - 1]
+            a, b = block_starts[at], ends[stop - 1] + 1
             value = self.filters[0][padded[a:b]]
             for k in range(1, width):
                 value += self.filters[k][padded[a + k : b + k]]
-            pooled[at:stop] = np.maximum.reduceat(value, block_starts[at:stop] - a, axis=0)
+            # From each start to its end; what lies between a text's end and the next start is left out.
+            edges = np.stack([block_starts[at:stop], ends[at:stop]], axis=1).ravel() - a
+            pooled[at:stop] = np.maximum.reduceat(value, edges, axis=0)[::2]
             at = stop
         return pooled, starts
 

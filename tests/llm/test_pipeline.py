@@ -1,0 +1,130 @@
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from cardweave.llm.decontaminate import contaminated
+from cardweave.llm.quality import judge_quality
+from test_minhash import brute as brute_near
+from test_sharding_and_lines import brute_lines
+from test_tokens_and_packing import checked, reference  # noqa: F401
+
+QUERIES = [
+    "op1_best_fit_packing", "op2_line_dedup", "op3_rendezvous_sharding", "op4_personal_data", "op5_exact_top_k",
+    "op6_benchmark_decontamination", "op7_quality_classifier", "op8_minhash_near_dedup", "op9_toxicity", "op10_suffix_array_dedup",
+]
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Small tables with junk, copies, near copies, repeated lines and leaks."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghilmnoprstu", k=rng.randint(2, 8)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    items = [prose(16) for _ in range(4)]
+    footer = "this very line stands at the end of many documents"
+    texts, labels = [], []
+    for k in range(220):
+        text = prose(rng.randint(20, 90)) + "\n" + prose(rng.randint(5, 40))
+        good = 1
+        if k % 6 == 1:
+            text, good = " ".join(w.upper() + "!!" for w in text.split()), 0
+        elif k % 6 == 2:
+            text = texts[k - 2]
+        elif k % 6 == 3 and k > 10:
+            text = texts[k - 3] + " " + word()
+        elif k % 6 == 4:
+            text += "\n" + footer
+        elif k % 12 == 5:
+            text += " " + items[k % 4] + " " + prose(4)
+        texts.append(text)
+        labels.append((k, good, 0))
+    rows = [(k * 2, t, None, "s", len(t)) for k, t in enumerate(texts)]
+    rows += [(1001, None, None, None, None), (1003, "", None, None, 0), (None, "a text without an id", None, None, 1), rows[8]]
+    folder = str(tmp_path_factory.mktemp("tables"))
+    write = lambda data, schema, name: spark.createDataFrame(data, schema).write.parquet(f"{folder}/{name}.parquet")
+    write(rows, "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT", "documents")
+    write([(2 * k, q, t) for k, q, t in labels], "doc_id BIGINT, quality INT, toxic INT", "labels")
+    write(list(enumerate(items)), "item_id BIGINT, text STRING", "benchmark")
+    return folder
+
+
+def kept_lines(rows):
+    """Texts after line dedup, by the rule and nothing else."""
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").lower()
+    first = {}
+    for i, text in rows:
+        if i is not None:
+            for line in (text or "").split("\n"):
+                first[key(line)] = min(first.get(key(line), i), i)
+    gone = lambda i, line: i is not None and len(key(line)) >= 10 and first[key(line)] < i
+    out = []
+    for i, text in rows:
+        lines = (text or "").split("\n")
+        left = [x for x in lines if not gone(i, x)]
+        out.append((i, text if len(left) == len(lines) else "\n".join(left)))
+    return out
+
+
+def test_every_stage_against_brute_force(spark, tables, reference):  # noqa: F811
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    columns, rows = docs.columns, [(r.doc_id, r.text) for r in docs.collect()]
+    by = dict(corpus_pipeline.STAGES)
+    order = lambda x: sorted(x, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    pairs = lambda df: order((r.doc_id, r.text) for r in df.collect())
+
+    good = corpus_pipeline.stage(by["quality"](spark, docs, tables), "t")
+    predicted = judge_quality(docs, spark.read.parquet(f"{tables}/labels.parquet")).where("predicted = 1")
+    assert good.columns == columns and pairs(good) == pairs(predicted)
+    shouting = sum(bool(t) and t.isupper() for _, t in rows)
+    assert shouting > 20 and sum(bool(t) and t.isupper() for _, t in pairs(good)) <= shouting / 10
+    assert len(pairs(good)) > 0.95 * (len(rows) - shouting)
+
+    lined = corpus_pipeline.stage(by["lines"](spark, good, tables), "t")
+    assert lined.columns == columns and pairs(lined) == order(kept_lines(pairs(good)))
+    assert lined.where(F.col("n_chars") != F.length("text")).count() == 0
+    assert len(brute_lines(pairs(good))) == len(pairs(lined))
+
+    left = corpus_pipeline.stage(by["near"](spark, lined, tables), "t")
+    whole = brute_near(pairs(lined), 5)
+    assert left.columns == columns and pairs(left) == [r for r in pairs(lined) if r[0] is None or whole[r[0]] == r[0]]
+
+    clean = corpus_pipeline.stage(by["benchmark"](spark, left, tables), "t")
+    leaks = {r.doc_id for r in contaminated(left, spark.read.parquet(f"{tables}/benchmark.parquet")).collect()}
+    assert leaks and clean.columns == columns and pairs(clean) == [r for r in pairs(left) if r[0] not in leaks]
+    items = [r.text for r in spark.read.parquet(f"{tables}/benchmark.parquet").collect()]
+    assert not any(t and item in t for _, t in pairs(clean) for item in items)
+
+    packed = by["packing"](spark, clean, tables).collect()
+    checked(packed, pairs(clean), reference)
+    place = lambda rs: sorted((r.doc_id is None, r.doc_id or 0, r.piece, r.ids_crc32, r.length) for r in rs)
+    assert place(corpus_pipeline.run(spark, tables).collect()) == place(packed)
+
+
+def test_empty_documents(spark, tables, tmp_path):
+    docs = spark.read.parquet(f"{tables}/documents.parquet").limit(0)
+    for _, step in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stage(step(spark, docs, tables), "t")
+        assert docs.count() == 0
+
+
+def test_registered():
+    assert [q for q in entry.queries() if q.startswith("op")] and set(QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near", "benchmark", "packing"]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
+@pytest.mark.parametrize("name", ["op2_line_dedup", "op5_exact_top_k"])
+def test_queries_against_their_sql(spark, name):
+    duckdb = pytest.importorskip("duckdb")
+    connection, sf_dir = duckdb.connect(), "/root/testdata/sf0.01"
+    for table in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    result = connection.execute(entry.oracle_sql()[name])
+    columns = [c[0] for c in result.description]
+    df = entry.queries()[name](spark, sf_dir)
+    assert sorted(columns) == sorted(df.columns)
+    assert sorted(repr(tuple(r)) for r in df.select(*columns).collect()) == sorted(map(repr, result.fetchall()))
