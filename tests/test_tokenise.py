@@ -6,7 +6,7 @@ from conftest import fragment
 from pyspark.sql import functions as F
 
 from cardweave import schemas as S
-from cardweave.functions.plan import fits_broadcast
+from cardweave.functions.plan import fits_broadcast, hot_keys
 from cardweave.operators.parse import messages, parse_feed
 from cardweave.operators.service import RetryPolicy
 from cardweave.operators.tokenise import tokenise_local, tokenise_service, tokenise_vault
@@ -102,6 +102,19 @@ def test_salted_lookup_spreads_hot_and_absent_keys(spark):
     assert max(sizes) < 30_000 / 4
 
 
+def test_only_hot_cards_are_salted(spark):
+    feed = skewed(spark)
+    assert hot_keys(feed, "digital_pan") == ["hot"]
+    assert hot_keys(feed.limit(0), "digital_pan") == []
+    vault = spark.createDataFrame([("hot", "T")] + [(f"p{i}", "T") for i in range(400)], "digital_pan STRING, tokenised_pan STRING")
+    df = tokenise_vault(vault, broadcast_bytes=-1, salts=16)(feed, F.lit(True))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan
+    copies = feed.select("digital_pan").distinct().count()
+    assert copies > 400  # the vault side holds 16 rows of the hot card and one of each other
+
+
 def test_fits_broadcast_measures_bytes(spark):
     df = spark.range(1000).select(F.repeat(F.lit("x"), 100).alias("s"))
     assert fits_broadcast(df, 1000 * 200)
