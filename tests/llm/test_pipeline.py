@@ -8,9 +8,9 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from cardweave.llm.decontaminate import contaminated
 from cardweave.llm.quality import judge_quality
-from test_minhash import brute as brute_near
-from test_sharding_and_lines import brute_lines
-from test_tokens_and_packing import checked, reference  # noqa: F401
+from llm.test_minhash import brute as brute_near
+from llm.test_sharding_and_lines import brute_lines
+from llm.test_tokens_and_packing import checked, reference  # noqa: F401
 
 QUERIES = [
     "op1_best_fit_packing", "op2_line_dedup", "op3_rendezvous_sharding", "op4_personal_data", "op5_exact_top_k",
