@@ -386,8 +386,12 @@ def maximal_repeats(
     return np.repeat(np.arange(len(firsts)), sizes), at[suffix[expand(firsts, sizes)]], np.repeat(lengths, sizes)
 
 
-def _repeats(width: int):
-    """Per chunk: number of the segment, start in it, length and smallest document of each group there."""
+def _repeats(width: int, groups: bool = False):
+    """Per chunk: number of the segment, start in it, length and smallest document of each group there.
+
+    With ``groups``, a hash of the group's string takes the place of the document, and all occurrences
+    are there; else only those that a larger doc_id loses.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         chunks, columns, texts = table.column("chunk").to_pylist(), [], []
@@ -408,7 +412,7 @@ def _repeats(width: int):
         for k in range(passes):
             rows = np.flatnonzero(chosen == k)
             if len(rows):
-                out.append(_cover(data, key[rows], start[rows], length[rows], least[rows], most[rows], rows, width))
+                out.append(_cover(data, key[rows], start[rows], length[rows], least[rows], most[rows], rows, width, groups))
         segment, at, size, first = (np.concatenate(x) for x in zip(*out))
         order = np.argsort(segment, kind="stable")
         segment, at, size, first = segment[order], at[order], size[order], first[order]
@@ -425,12 +429,13 @@ def _repeats(width: int):
 
 def _cover(
     data: np.ndarray, key: np.ndarray, start: np.ndarray, length: np.ndarray,
-    least: np.ndarray, most: np.ndarray, rows: np.ndarray, width: int,
+    least: np.ndarray, most: np.ndarray, rows: np.ndarray, width: int, groups: bool,
 ) -> tuple[np.ndarray, ...]:
     # Equal segments of several chunks become one, with the smallest of their documents.
     own = data[expand(start, length)]
     hasher, bounds = SpanHasher(43), np.concatenate(([0], np.cumsum(length)))
-    content = hasher.spans(hasher.prefix(own), bounds[:-1], bounds[1:])
+    prefix = hasher.prefix(own)
+    content = hasher.spans(prefix, bounds[:-1], bounds[1:])
     order = np.lexsort((content, key))
     new = np.append(True, (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1]))
     first = np.flatnonzero(new)
@@ -455,13 +460,17 @@ def _cover(
     offset = np.concatenate([at - begins[holder], np.zeros(len(whole), np.int64)])
     size = np.concatenate([size, length[sample[whole]]])
     earliest = np.concatenate([earliest[group], smallest[whole]])
+    if groups:
+        at = begins[segment] + offset
+        earliest = hasher.spans(prefix, at, at + size).view(np.int64)
     # Back to the segments as they came in.
     order = np.argsort(segment, kind="stable")
     segment, offset, size, earliest = segment[order], offset[order], size[order], earliest[order]
     low, high = np.searchsorted(segment, same), np.searchsorted(segment, same, side="right")
     pick, back = expand(low, high - low), np.repeat(np.arange(len(same)), high - low)
-    useful = earliest[pick] < most[back]
-    pick, back = pick[useful], back[useful]
+    if not groups:
+        useful = earliest[pick] < most[back]
+        pick, back = pick[useful], back[useful]
     return rows[back], offset[pick], size[pick], earliest[pick]
 
 
@@ -504,29 +513,69 @@ def _cut(width: int):
     return run
 
 
-def remove_repeats(df: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_bytes, spans (start, end of the bytes removed) and kept (the other bytes) of every row.
+def _occurrences(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashers = _hashers()
+        for batch in batches:
+            for row in range(batch.num_rows):
+                _, ids, lengths, packed, blobs, found = (c[row].as_py() for c in batch.columns)
+                chunk = _Chunk(ids, lengths, packed)
+                distinct = _Distinct(chunk, blobs, width, hashers)
+                parts = [unpack(c, np.int32, np.int32, np.int32, np.int64) for c in found]
+                number = np.concatenate([np.cumsum(p[0], dtype=np.int32) for p in parts])
+                at, size, group = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
+                order = np.argsort(number, kind="stable")
+                number, at, size, group = number[order], at[order], size[order], group[order]
+                low = np.searchsorted(number, distinct.number)
+                count = np.searchsorted(number, distinct.number, side="right") - low
+                pick, segment = expand(low, count), np.repeat(np.arange(len(low)), count)
+                text = distinct.text[segment]
+                start = distinct.start[segment] + at[pick] - chunk.bounds[text]
+                columns = (group[pick], size[pick].astype(np.int64), chunk.ids[text], start)
+                yield pa.record_batch([pa.array(c) for c in columns], ["group", "length", "doc_id", "start"])
 
-    A byte goes when a string of ``width`` bytes around it also starts in a document with a
-    smaller doc_id. doc_id must be an integer. Rows with the same doc_id are one document and
-    do not repeat each other; a row without one is compared with none and keeps all bytes. A null
-    text is empty. Other columns are not read. No rows give no rows.
-    """
+    return run
+
+
+def _found(df: DataFrame, width: int, listed: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chunks of texts, the repeated anchors of each, and what was found for its segments."""
     documents = df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     schema = "chunk bigint, ids array<bigint>, lengths array<bigint>, packed binary"
     chunks = stage(documents.mapInArrow(_chunks(width), schema), "text-chunks")
     total = chunks.agg(F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)")).alias("n")).first()["n"] or 0
     groups = max(16, -(-total // GROUP_BYTES))
     blobs = "part bigint, chunk bigint, blob binary"
-    # The same rows for both joins below, so that they share one exchange of the texts.
+    # The same rows for all joins, so that they share one exchange of the texts.
     chunks = chunks.where("chunk IS NOT NULL")
     anchors = chunks.mapInArrow(_anchors(width, groups), blobs)
     repeated = anchors.groupBy("part").applyInArrow(_repeated_anchors, "chunk bigint, blob binary")
     repeated = repeated.groupBy("chunk").agg(F.sort_array(F.collect_list("blob")).alias("anchors"))
     repeated = stage(repeated, "repeated-anchors")
     segments = chunks.join(repeated, "chunk").mapInArrow(_segments(width, groups), blobs)
-    found = segments.groupBy("part").applyInArrow(_repeats(width), "chunk bigint, blob binary")
-    found = found.groupBy("chunk").agg(F.collect_list("blob").alias("covers"))
+    found = segments.groupBy("part").applyInArrow(_repeats(width, listed), "chunk bigint, blob binary")
+    return chunks, repeated, found.groupBy("chunk").agg(F.collect_list("blob").alias("covers"))
+
+
+def repeat_groups(df: DataFrame, width: int = WIDTH) -> DataFrame:
+    """group, length, doc_id and start (in bytes) of every occurrence of every maximal repeat.
+
+    ``group`` is a hash of the string. Groups are maximal within their segments. Rows are taken
+    as in :func:`remove_repeats`.
+    """
+    chunks, repeated, found = _found(df, width, listed=True)
+    held = chunks.join(repeated, "chunk").join(found, "chunk")
+    return held.mapInArrow(_occurrences(width), "group bigint, length bigint, doc_id bigint, start bigint")
+
+
+def remove_repeats(df: DataFrame, width: int = WIDTH) -> DataFrame:
+    """doc_id, n_bytes, spans (start, end of the bytes removed) and kept (the other bytes) of every row.
+
+    A byte goes when a string of ``width`` bytes around it also starts in a document with a
+    smaller doc_id. doc_id must be an integer. Rows with the same doc_id are one document and
+    do not repeat each other; a row without one is compared with none and keeps all bytes. A null
+    text is empty. Other columns are not read. No rows give no rows.
+    """
+    chunks, repeated, found = _found(df, width, listed=False)
     judged = chunks.join(repeated, "chunk", "left").join(found, "chunk", "left")
     spans = "array<struct<start: bigint, end: bigint>>"
     return judged.mapInArrow(_cut(width), f"doc_id bigint, n_bytes bigint, spans {spans}, kept binary")

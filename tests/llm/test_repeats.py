@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 import cardweave.llm.repeats as repeats
-from cardweave.llm.repeats import interval_tree, maximal_repeats, repeats_digest, suffix_order
+from cardweave.llm.repeats import interval_tree, maximal_repeats, repeat_groups, repeats_digest, suffix_order
 
 
 def brute(rows, width=50):
@@ -109,3 +109,26 @@ def test_maximal_repeats_are_groups_with_all_occurrences():
     strings = {next(iter(v))[0]: len(v) for v in found.values()}
     # ABCD stands four times, ABCDEF twice; BCD is always inside ABCD and is no group.
     assert strings == {b"ABCD": 4, b"ABCDEF": 2}
+
+
+def test_groups_list_all_occurrences(docs_of, corpus):
+    rows = [(i, t) for i, t in dict((i, t) for i, t in corpus if i is not None).items()]
+    texts = {i: (t or "").encode() for i, t in rows}
+    groups = {}
+    for r in repeat_groups(docs_of(rows)).collect():
+        groups.setdefault((r.group, r.length), set()).add((r.doc_id, r.start))
+    assert len(groups) > 50
+    windows = {}
+    for i, data in texts.items():
+        for k in range(len(data) - 49):
+            windows.setdefault(data[k : k + 50], set()).add((i, k))
+    covered = set()
+    for (_, length), places in groups.items():
+        strings = {texts[i][a : a + length] for i, a in places}
+        assert len(strings) == 1 and length >= 50 and len(next(iter(strings))) == length and len(places) > 1
+        string = next(iter(strings))
+        everywhere = {(i, k) for i, k in windows[string[:50]] if texts[i][k : k + length] == string}
+        assert places == everywhere
+        covered |= {(i, b) for i, a in places for b in range(a, a + length)}
+    shared = {(i, b) for p in windows.values() if len({i for i, _ in p}) > 1 for i, k in p for b in range(k, k + 50)}
+    assert shared <= covered
