@@ -22,6 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cardweave.functions.plan import fits_broadcast
 from cardweave.llm.components import connected
 from cardweave.llm.kernel import SpanHasher, mix, slices, text_buffers, word_spans
 from cardweave.storage import stage
@@ -106,8 +107,10 @@ def _signatures(words: int, halves: int, rows: int):
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
     for batch in batches:
-        texts = [pack.compress((t or "").encode()) for t in batch.column(1).to_pylist()]
-        yield pa.record_batch([batch.column(0), pa.array(texts, pa.binary())], ["id", "packed"])
+        for first in range(0, batch.num_rows, 256):
+            part = batch.slice(first, 256)
+            texts = [pack.compress((t or "").encode()) for t in part.column(1).to_pylist()]
+            yield pa.record_batch([part.column(0), pa.array(texts, pa.binary())], ["id", "packed"])
 
 
 def _set_of(packed: bytes, words: int, hasher: SpanHasher, unpack: zstandard.ZstdDecompressor) -> np.ndarray:
@@ -125,7 +128,8 @@ def _against_pivot(words: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, unpack = word_hasher(), zstandard.ZstdDecompressor()
         pivot, own = None, None
-        for batch in batches:
+        parts = (batch.slice(first, 256) for batch in batches for first in range(0, batch.num_rows, 256))
+        for batch in parts:
             kept = []
             columns = (batch.column(n).to_pylist() for n in ("pivot", "id", "packed"))
             for k, (p, i, packed) in enumerate(zip(*columns)):
@@ -220,7 +224,10 @@ def near_duplicates(
     sets = linkable.groupBy(*same).agg(F.min("doc_id").alias("id"), F.first("halves").alias("halves"))
     sets = stage(sets, "distinct-sets")
     pairs = stage(candidate_pairs(sets, halves), "candidates")
-    needed = pairs.select("id").union(pairs.select("pivot")).distinct()
+    needed = stage(pairs.select("id").union(pairs.select("pivot")).distinct(), "candidate-ids")
+    # Below 64 MB of ids only the texts of candidates are shuffled, beyond it all texts are.
+    if fits_broadcast(needed):
+        needed = F.broadcast(needed)
     packed = documents.mapInArrow(_packed, f"id {name}, packed binary").join(needed, "id", "left_semi")
     # Rows with the same doc_id may differ; the smallest packed text then stands for the document.
     texts = stage(packed.groupBy("id").agg(F.min("packed").alias("packed")), "candidate-texts")
