@@ -18,6 +18,14 @@ def fold(key: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def hashed_share(key: Column, rows: int, of: int) -> Column:
+    """A condition that about ``rows`` of ``of`` rows meet, by a hash of ``key``; all, when there are no more.
+
+    Put before a sorted limit it keeps what meets in the limit's one task small, however many rows there are.
+    """
+    return F.pmod(F.xxhash64(key), F.lit(1 << 40)) < F.lit(int(min(1.0, rows / max(of, 1)) * (1 << 40)))
+
+
 def labelled_sample(
     df: DataFrame, labels: DataFrame, label: str, learnable: Column, rows: int, most_chars: int
 ) -> list[tuple[bytes, int]]:
@@ -28,6 +36,7 @@ def labelled_sample(
     for one document the largest counts.
     """
     usable = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & learnable)
+    usable = usable.where(hashed_share(F.col("doc_id"), 8 * rows, labels.count()))
     chosen = usable.groupBy("doc_id").agg(F.max(label).alias("_label"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     texts = df.select("doc_id", "text").where(F.length("text") <= most_chars)
