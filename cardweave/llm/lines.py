@@ -189,8 +189,10 @@ def dedup_lines(df: DataFrame, min_code_points: int = MIN_CODE_POINTS) -> DataFr
     found = df.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(_suspects(twice, bits, min_code_points), schema)
     suspects = stage(found, "line-suspects")
     firsts = suspects.groupBy("key").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last")).where("_first < _last")
+    # Written down, so that both sides of the join are plain exchanges and a common line's rows can be split.
+    firsts = stage(firsts.drop("_last"), "line-firsts")
     drops = (
-        suspects.join(firsts.drop("_last"), "key")
+        suspects.join(firsts, "key")
         .where("doc_id > _first")
         .groupBy("doc_id")
         .agg(F.collect_set("key").alias("_dropped_keys"))
