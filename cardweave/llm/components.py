@@ -11,14 +11,15 @@ from cardweave.storage import stage
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or itself)."""
     both = edges.union(edges.select("b", "a").toDF("a", "b"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("_least"))
+    # Written down: both sides of the join are plain exchanges, and a hub's links can be split.
+    least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("_least")), "least")
     return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("_least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
-    least = down.groupBy("a").agg(F.min("b").alias("_least"))
+    least = stage(down.groupBy("a").agg(F.min("b").alias("_least")), "least")
     moved = down.join(least, "a").where("b > _least").select(F.col("b").alias("a"), F.col("_least").alias("b"))
     return moved.union(least.select("a", "_least")).distinct()
 

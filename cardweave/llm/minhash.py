@@ -199,8 +199,9 @@ def candidate_pairs(sets: DataFrame, halves: int = HALVES) -> DataFrame:
     second = first.select("id", "i", "half", F.posexplode(F.slice("halves", halves + 1, halves)).alias("j", "other"))
     keyed = second.select(F.xxhash64("i", "half", "j", "other").alias("key"), "id")
     buckets = keyed.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("_ids")).where("_ids > 1")
-    # The same plan at every size, with hot keys split by the adaptive skew join.
-    return keyed.join(buckets.drop("_ids").hint("merge"), "key").where("id > pivot").select("pivot", "id").distinct()
+    # Written down, so that both sides of the join are plain exchanges: the adaptive skew join splits hot keys.
+    buckets = stage(buckets.drop("_ids"), "buckets")
+    return keyed.join(buckets.hint("merge"), "key").where("id > pivot").select("pivot", "id").distinct()
 
 
 def near_duplicates(
@@ -265,7 +266,7 @@ def near_duplicates(
         F.ceil(F.col("n") / BLOCK).cast("int").alias("member_blocks"),
         F.ceil((F.col("n") - F.col("_main.n")) / BLOCK).cast("int").alias("outlier_blocks"),
     )
-    rest = labelled.join(groups, "pivot")
+    rest = labelled.join(stage(groups, "groups"), "pivot")
     block = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     members = rest.select(
