@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cardweave import schemas as S
 from cardweave.functions import fields
 from cardweave.functions.plan import pin
+from cardweave.functions.text import is_blank
 from cardweave.functions.xml import element, fragment_text, is_accepted, read_fragment
 from cardweave.operators.codec import text_feed
 
@@ -35,7 +36,8 @@ def parse_feed(feed: DataFrame) -> DataFrame:
         "timestamp_text": fields.iso_text(raw["event_timestamp"], timestamp),
         "timestamp_coerced": fields.was_coerced(raw["event_timestamp"], timestamp),
     }
-    text = pin(text_feed(feed), "_text", fragment_text(F.col("value")))
+    value = F.col("value")
+    text = pin(text_feed(feed), "_text", F.when(~is_blank(value), fragment_text(value)))
     parsed = pin(text, "_document", read_fragment(F.col("_text"))).withColumn("parsed", is_accepted(document))
     amounts = {
         "amount": fields.amount(raw["amount"]),
