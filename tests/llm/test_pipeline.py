@@ -117,7 +117,7 @@ def test_registered():
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="the driver's tables are not here")
-@pytest.mark.parametrize("name", ["op2_line_dedup", "op5_exact_top_k"])
+@pytest.mark.parametrize("name", ["op2_line_dedup", "op5_exact_top_k", "op8_minhash_near_dedup"])
 def test_queries_against_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     connection, sf_dir = duckdb.connect(), "/root/testdata/sf0.01"
