@@ -282,6 +282,12 @@ FROM w""",
           CAST(CASE WHEN txt IS NOT NULL THEN 17 ELSE 0 END AS INTEGER) AS separator
         FROM t""",
     ),
+    "topic_records": _with(
+        _TEXT,
+        f"""SELECT CASE WHEN k % 10 <> 0 THEN 'order-' || k END AS key, {_ID},
+          CASE WHEN k % 6 = 0 THEN '<Data><TransactionId>T' || chr(65533) || k || '</TransactionId></Data>' ELSE txt END AS value,
+          false AS decrypt_failed FROM t""",
+    ),
     "decrypt_mixed": _with(_TEXT, f"SELECT 'order-' || k AS key, {_ID}, txt AS value, false AS decrypt_failed FROM t"),
     "decrypt_quarantine": _with(
         _TEXT

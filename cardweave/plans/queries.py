@@ -17,6 +17,7 @@ from cardweave.plans import feed as feeds
 from cardweave.sinks.store import Store
 from cardweave.sinks.topic import publish_records
 from cardweave.sources.folder import changed_files, read_folder, watch_folder
+from cardweave.sources.topic import from_records
 from cardweave.storage import fresh_path, stage
 from cardweave.streaming import run
 from cardweave.streaming.watch import poll_folder
@@ -265,6 +266,25 @@ def encrypted_shape(spark, sf_dir):
     )
 
 
+def topic_records(spark, sf_dir):
+    """What is published, as a topic gives it back: bytes, some of them no UTF-8, and keys that may be absent."""
+    sent = publish_records(feeds.order_feed(spark, sf_dir), KEY)
+    k = F.substring("key", 7, 20).cast("bigint")
+    damaged = F.concat(
+        F.encode(F.lit("<Data><TransactionId>T"), "UTF-8"),
+        F.unhex(F.lit("FF")),
+        F.encode(F.concat(k.cast("string"), F.lit("</TransactionId></Data>")), "UTF-8"),
+    )
+    records = sent.select(
+        F.when(k % 10 != 0, F.encode("key", "UTF-8")).alias("key"),
+        F.when(k % 6 == 0, damaged).otherwise(F.encode("value", "UTF-8")).alias("value"),
+        F.lit(feeds.TOPIC).alias("topic"),
+        (k % 4).cast("int").alias("partition"),
+        F.floor(k / 4).cast("bigint").alias("offset"),
+    )
+    return codec.decrypt_feed(from_records(records), KEY).select("key", *RECORD, "value", "decrypt_failed")
+
+
 def _mixed(spark, sf_dir):
     """Even orders encrypted, odd ones plain."""
     plain = feeds.order_feed(spark, sf_dir)
@@ -424,6 +444,7 @@ QUERIES: dict[str, Query] = {
         outcome_metrics,
         codec_roundtrip,
         encrypted_shape,
+        topic_records,
         decrypt_mixed,
         decrypt_quarantine,
         stream_outcomes,
