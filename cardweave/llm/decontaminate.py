@@ -6,11 +6,16 @@ placeholders is then compared: along one alignment of document and item, equal v
 the item must stand for equal values of the document, and different for different. So an
 item is found again when its numbers, names or units were exchanged, and a text that merely has the
 same shape is not.
+
+Only capitals tell a name, so each text is read in two forms: with names as placeholders, and
+case-free with names as lower-cased words. Either may find an item: the second finds copies in
+other capitals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +38,9 @@ UNITS = (
     "volt volts joule joules byte bytes kb mb gb"
 ).split()
 NUMBER, NAME, UNIT = 1, 2, 3
+#: The forms: capital words inside sentences are names, or no word is.
+INSIDE, NO_NAMES = 0, 1
+FORMS = (INSIDE, NO_NAMES)
 #: Size of the filter of benchmark windows: bits for each window, and the bounds of the whole.
 #: Beyond the largest size more windows of documents go through the join; no result changes.
 BITS_PER_WINDOW, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 28
@@ -45,13 +53,50 @@ def _separators() -> np.ndarray:
     return table
 
 
-class Canonical:
-    """Tokens of texts: hash, kind (0: a word), where its value lies, and each text's first token."""
+@lru_cache(1)
+def _folds() -> np.ndarray:
+    """The lower-case form of each code point, where it has as many bytes in UTF-8."""
+    table = np.arange(0x20000)
+    for c in range(0x80, 0x1F000):
+        folded = chr(c).casefold()
+        if len(folded) == 1 and folded != chr(c) and len(folded.encode()) == len(chr(c).encode()):
+            table[c] = ord(folded)
+    return table
+
+
+def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the code points beyond ASCII begin, and which they are."""
+    at = np.flatnonzero(data >= 0xC0)
+    padded = np.append(data, np.zeros(3, np.uint8))
+    lead, a, b, c = (padded[at + k].astype(np.int64) for k in range(4))
+    a, b, c = a & 63, b & 63, c & 63
+    two, three = (lead & 31) << 6 | a, (lead & 15) << 12 | a << 6 | b
+    return at, np.where(lead < 0xE0, two, np.where(lead < 0xF0, three, (lead & 7) << 18 | a << 12 | b << 6 | c))
+
+
+def _lower(data: np.ndarray, at: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """``data`` with the code points beyond ASCII in lower case; the hasher folds the others."""
+    table = _folds()
+    lower = table[np.minimum(points, len(table) - 1)]
+    turned = np.flatnonzero((points < len(table)) & (lower != points))
+    if not len(turned):
+        return data
+    data, at, lower = data.copy(), at[turned], lower[turned]
+    for n, low, high, lead in ((2, 0x80, 0x800, 0xC0), (3, 0x800, 0x10000, 0xE0), (4, 0x10000, 0x20000, 0xF0)):
+        own = (lower >= low) & (lower < high)
+        for k in range(n):
+            part = lower[own] >> 6 * (n - 1 - k)
+            data[at[own] + k] = part | lead if k == 0 else part & 63 | 0x80
+    return data
+
+
+class Tokens:
+    """Words of texts, what is known of each, and the texts' bounds; the forms are made of them."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, hasher: SpanHasher):
-        self.data = data
+        self.data, self.bounds = data, bounds
         starts, ends = word_spans(data, bounds, _separators())
-        hashes = hasher.words(data, starts, ends)
+        hashes = hasher.words(_lower(data, *_code_points(data)), starts, ends)
         text = np.searchsorted(bounds, starts, side="right") - 1
         opens = np.append(True, text[1:] != text[:-1])[: len(text)]
         digit = (data >= 48) & (data <= 57)
@@ -70,15 +115,28 @@ class Canonical:
         unit_hashes = _unit_hashes(hasher)
         after_number = np.append(False, number[:-1])[: len(number)] & ~opens
         unit = np.isin(hashes, unit_hashes) & after_number & ~number
+        tight = (starts - gap == 1) & np.isin(data[np.maximum(starts - 1, 0)] if len(starts) else lead, list(b".,/"))
+        self.starts, self.ends, self.hashes, self.text, self.opens = starts, ends, hashes, text, opens
+        self.number, self.unit, self.capital, self.sentence, self.tight = number, unit, capital, sentence, tight
+
+
+class Canonical:
+    """Tokens of texts in one form: hash, kind (0: a word), where its value lies, and each text's first token."""
+
+    def __init__(self, tokens: Tokens, form: int):
+        self.data, self.form = tokens.data, form
+        starts, ends, hashes, text, opens = tokens.starts, tokens.ends, tokens.hashes, tokens.text, tokens.opens
+        number, unit, capital, sentence = tokens.number, tokens.unit, tokens.capital, tokens.sentence
         name = capital & ~sentence & ~number & ~unit
         # What opens a sentence is a name when one follows it: Tom Smith.
         name |= capital & sentence & ~number & np.append(name[1:] & ~opens[1:], False)[: len(name)]
+        if form == NO_NAMES:
+            name = np.zeros(len(name), bool)
         kind = np.select([number, name, unit], [NUMBER, NAME, UNIT], 0)
         # 3,500.25 is one number, and a run of names one name.
         previous = np.append(0, kind[:-1])[: len(kind)]
         joined = ~opens & (kind == previous)
-        tight = (starts - gap == 1) & np.isin(data[np.maximum(starts - 1, 0)] if len(starts) else lead, list(b".,/"))
-        run = joined & (((kind == NUMBER) & tight) | ((kind == NAME) & ~sentence))
+        run = joined & (((kind == NUMBER) & tokens.tight) | ((kind == NAME) & ~sentence))
         first = np.flatnonzero(~run)
         last = np.append(first[1:], len(starts))[: len(first)] - 1
         self.kind = kind[first]
@@ -86,7 +144,7 @@ class Canonical:
         placeholder = mix(np.array([0, NUMBER, NAME, UNIT], np.uint64) + np.uint64(77))
         self.hash = np.where(self.kind > 0, placeholder[self.kind], hashes[first])
         self.text = text[first]
-        self.edges = np.searchsorted(self.text, np.arange(len(bounds)))
+        self.edges = np.searchsorted(self.text, np.arange(len(tokens.bounds)))
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """First token and hash of every window of ``size`` tokens of which at least half are words."""
@@ -95,7 +153,7 @@ class Canonical:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
         words = np.append(0, np.cumsum(self.kind == 0))
         at = np.flatnonzero((self.text[:n] == self.text[size - 1 :]) & (2 * (words[size:] - words[:-size]) >= size))
-        value = mix(self.hash[at] + np.uint64(size))
+        value = mix(self.hash[at] + np.uint64(size + 64 * self.form))
         for k in range(1, size):
             value = mix(value * np.uint64(0x9E3779B97F4A7C15) + self.hash[at + k])
         return at, value
@@ -125,16 +183,19 @@ def _unit_hashes(hasher: SpanHasher) -> np.ndarray:
 _SLOTS = pa.list_(pa.struct([("kind", pa.int32()), ("place", pa.int32()), ("value", pa.string())]))
 
 
-def _found(key: pa.Array, rows: list[int], size: list[int], at: list[int], value: list[int], slots: list) -> pa.RecordBatch:
+def _found(
+    key: pa.Array, rows: list[int], form: int, size: int, at: list[int], value: list[int], slots: list
+) -> pa.RecordBatch:
     return pa.record_batch(
         [
             key.take(pa.array(rows, pa.int64())),
-            pa.array(size, pa.int32()),
+            pa.array([form] * len(rows), pa.int32()),
+            pa.array([size] * len(rows), pa.int32()),
             pa.array(at, pa.int64()),
             pa.array(value, pa.int64()),
             pa.array(slots, _SLOTS),
         ],
-        ["key", "size", "place", "hash", "slots"],
+        ["key", "form", "size", "place", "hash", "slots"],
     )
 
 
@@ -144,43 +205,47 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         data, offsets = text_buffers(batch.column(1))
         for row in range(batch.num_rows):
             own = data[offsets[row] : offsets[row + 1]]
-            tokens = Canonical(own, np.array([0, len(own)]), hasher)
-            size = min(WINDOW, len(tokens.hash))
-            if size < LEAST_TOKENS:
-                continue
-            at, value = tokens.windows(size)
-            n = len(at)
-            if n:
-                slots = [tokens.slots(k, size) for k in at.tolist()]
-                yield _found(batch.column(0), [row] * n, [size] * n, at.tolist(), value.view(np.int64).tolist(), slots)
-
-
-def _document_windows(known, sizes: list[int], bits: int):
+            words = Tokens(own, np.array([0, len(own)]), hasher)
+            for form in FORMS:
+                tokens = Canonical(words, form)
+                size = min(WINDOW, len(tokens.hash))
+                if size < LEAST_TOKENS:
+                    continue
+                at, value = tokens.windows(size)
+                n = len(at)
+                if n:
+                    slots = [tokens.slots(k, size) for k in at.tolist()]
+                    yield _found(batch.column(0), [row] * n, form, size, at.tolist(), value.view(np.int64).tolist(), slots)
+
+
+def _document_windows(known, sizes: dict[int, list[int]], bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, table = _hasher(), known.value
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
             for first, last in slices(offsets):
                 base = offsets[first]
-                tokens = Canonical(data[base : offsets[last]], offsets[first : last + 1] - base, hasher)
-                for size in sizes:
-                    at, value = tokens.windows(size)
-                    bit = (value & np.uint64(bits - 1)).astype(np.int64)
-                    hit = np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
-                    for k in range(0, len(hit), 4096):
-                        part = hit[k : k + 4096]
-                        text = tokens.text[at[part]]
-                        rows, places = (text + first).tolist(), (at[part] - tokens.edges[text]).tolist()
-                        slots = [tokens.slots(i, size) for i in at[part].tolist()]
-                        hashes = value[part].view(np.int64).tolist()
-                        yield _found(batch.column(0), rows, [size] * len(rows), places, hashes, slots)
+                words = Tokens(data[base : offsets[last]], offsets[first : last + 1] - base, hasher)
+                for form in sizes:
+                    tokens = Canonical(words, form)
+                    for size in sizes[form]:
+                        at, value = tokens.windows(size)
+                        bit = (value & np.uint64(bits - 1)).astype(np.int64)
+                        hit = np.flatnonzero(table[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+                        for k in range(0, len(hit), 4096):
+                            part = hit[k : k + 4096]
+                            text = tokens.text[at[part]]
+                            rows, places = (text + first).tolist(), (at[part] - tokens.edges[text]).tolist()
+                            slots = [tokens.slots(i, size) for i in at[part].tolist()]
+                            hashes = value[part].view(np.int64).tolist()
+                            yield _found(batch.column(0), rows, form, size, places, hashes, slots)
 
     return run
 
 
-def _window_filter(windows: DataFrame) -> tuple[np.ndarray, int, list[int]]:
-    """A bitmap of the hashes of the benchmark's windows, at most 32 MB, its bits, and the window sizes."""
-    found = windows.agg(F.count("*").alias("n"), F.collect_set("size").alias("sizes")).first()
+def _window_filter(windows: DataFrame) -> tuple[np.ndarray, int, dict[int, list[int]]]:
+    """A bitmap of the hashes of the benchmark's windows, at most 32 MB, its bits, and the window sizes of each form."""
+    found = windows.agg(F.count("*").alias("n"), F.collect_set(F.struct("form", "size")).alias("sizes")).first()
     bits = 1 << max(0, BITS_PER_WINDOW * found["n"] - 1).bit_length()
     bits = min(max(bits, LEAST_BITS), MOST_BITS)
     # A row for each byte of the bitmap that is not zero.
@@ -189,22 +254,26 @@ def _window_filter(windows: DataFrame) -> tuple[np.ndarray, int, list[int]]:
     table = np.zeros(bits >> 3, np.uint8)
     for row in filled.groupBy("byte").agg(F.bit_or("flag").alias("flags")).toLocalIterator():
         table[row["byte"]] = row["flags"]
-    return table, bits, sorted(found["sizes"])
+    sizes: dict[int, list[int]] = {}
+    for form, size in sorted(found["sizes"]):
+        sizes.setdefault(form, []).append(size)
+    return table, bits, sizes
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, item_windows, windows_found and slots_changed of every document that holds an item.
 
     ``df`` has doc_id and text, ``benchmark`` item_id and text; other columns are not read. A document
-    holds an item when ``share`` of the item's template windows are found in it along alignments
-    whose placeholder values correspond one to one. slots_changed counts the values that differ. Null
+    holds an item when, in one of the forms, ``share`` of the item's template windows are found in it along
+    alignments whose placeholder values correspond one to one. The counts are those of the form
+    that finds most. slots_changed counts the values that differ. Null
     and empty texts hold nothing and are held by nothing, nor are items of fewer than five
     tokens or without a window that is at least half words. Rows with the same doc_id, or
     item_id, count as one text; rows where it is null are left out. An empty table gives no rows.
     """
     doc_type, item_type = df.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
     slots = "array<struct<kind: int, place: int, value: string>>"
-    schema = "key {}, size int, place bigint, hash bigint, slots " + slots
+    schema = "key {}, form int, size int, place bigint, hash bigint, slots " + slots
     items = benchmark.where("item_id IS NOT NULL").select("item_id", "text")
     windows = stage(items.mapInArrow(_item_windows, schema.format(item_type.simpleString())), "benchmark-windows")
     documents = df.where("doc_id IS NOT NULL").select("doc_id", "text")
@@ -212,14 +281,14 @@ def contaminated(df: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     known = df.sparkSession.sparkContext.broadcast(table)
     found = documents.mapInArrow(_document_windows(known, sizes, bits), schema.format(doc_type.simpleString()))
 
-    totals = windows.groupBy("key").agg(F.countDistinct("place").alias("item_windows")).withColumnRenamed("key", "item_id")
+    totals = windows.groupBy("key", "form").agg(F.countDistinct("place").alias("item_windows")).withColumnRenamed("key", "item_id")
     theirs = windows.select(
-        F.col("key").alias("item_id"), "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")
+        F.col("key").alias("item_id"), "form", "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")
     )
     # A window that a document repeats in one alignment only counts once.
     matched = (
         found.withColumnRenamed("key", "doc_id")
-        .join(theirs, ["hash", "size"])
+        .join(theirs, ["hash", "size", "form"])
         .where(F.size("slots") == F.size("item_slots"))
         .withColumn("alignment", F.col("place") - F.col("item_place"))
     )
@@ -228,20 +297,25 @@ def contaminated(df: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
         "slots",
         lambda a, b: F.struct(a["kind"].alias("kind"), a["value"].alias("theirs"), b["value"].alias("ours")),
     )
-    aligned = matched.groupBy("doc_id", "item_id", "alignment").agg(
+    aligned = matched.groupBy("doc_id", "item_id", "form", "alignment").agg(
         F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
     )
     one_side = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p[name]))))
     consistent = aligned.where((one_side("theirs") == F.size("pairs")) & (one_side("ours") == F.size("pairs")))
     changed = F.size(F.filter("pairs", lambda p: p["theirs"] != p["ours"]))
-    held = consistent.select("doc_id", "item_id", "places", changed.alias("changed")).groupBy("doc_id", "item_id").agg(
+    held = consistent.select("doc_id", "item_id", "form", "places", changed.alias("changed")).groupBy("doc_id", "item_id", "form").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("windows_found"),
         F.max("changed").cast("bigint").alias("slots_changed"),
     )
+    # Of the forms that find the item, the one that finds most of it.
+    part = F.col("windows_found") / F.col("item_windows")
+    best = F.max_by(F.struct("item_windows", "windows_found", "slots_changed"), F.struct(part, -F.col("form")))
     return (
-        held.join(totals, "item_id")
+        held.join(totals, ["item_id", "form"])
         .where(F.col("windows_found") >= F.col("item_windows") * share)
-        .select("doc_id", "item_id", "item_windows", "windows_found", "slots_changed")
+        .groupBy("doc_id", "item_id")
+        .agg(best.alias("best"))
+        .select("doc_id", "item_id", "best.*")
     )
 
 
