@@ -2,9 +2,9 @@
 
 Texts become tokens in which numbers, names and units are typed placeholders. Windows of
 these templates are joined by their hash with those of the benchmark items. What stood in the
-placeholders is then compared: along one alignment of document and item, equal values of
-the item must stand for equal values of the document, and different for different. So an
-item is found again when its numbers, names or units were exchanged, and a text that merely has the
+placeholders is then compared: along one alignment of document and item, a value of the item
+stands for the value of the document it meets most often, and a window counts when each of its
+values is that one or has not changed. So an item is found again when its numbers, names or units were exchanged, and a text that merely has the
 same shape is not.
 
 Only capitals tell a name, so each text is read in two forms: with names as placeholders, and
@@ -14,6 +14,7 @@ other capitals.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,7 +38,12 @@ UNITS = (
     "euro euros cent cents meter meters metre metres kilometer kilometers kilometre kilometres mph kph watt watts "
     "volt volts joule joules byte bytes kb mb gb"
 ).split()
+#: Units in the singular, where it is not the plural without its s.
+SINGULAR = {"inches": "inch", "feet": "foot"}
+STEMS = {u: u[:-1] for u in UNITS if u[-1] == "s" and u[:-1] in UNITS} | SINGULAR
 NUMBER, NAME, UNIT = 1, 2, 3
+#: Where in its text a token is.
+FIRST, LAST = 1, 2
 #: The forms: capital words inside sentences are names, or no word is.
 INSIDE, NO_NAMES = 0, 1
 FORMS = (INSIDE, NO_NAMES)
@@ -159,13 +165,15 @@ class Canonical:
         return at, value
 
     def slots(self, at: int, size: int) -> list[dict]:
-        """Kind, place in the window and lower-cased value of each placeholder."""
+        """Kind, place in the window, lower-cased value and edge of the text of each placeholder."""
         found = (np.flatnonzero(self.kind[at : at + size]) + at).tolist()
+        own, n = self.text[at], len(self.text)
         return [
             {
                 "kind": int(self.kind[k]),
                 "place": k - at,
                 "value": self.data[self.start[k] : self.end[k]].tobytes().decode("utf-8", "replace").lower(),
+                "edge": FIRST * bool(k == 0 or self.text[k - 1] != own) + LAST * bool(k + 1 == n or self.text[k + 1] != own),
             }
             for k in found
         ]
@@ -180,7 +188,7 @@ def _unit_hashes(hasher: SpanHasher) -> np.ndarray:
     return hasher.words(joined, *word_spans(joined, np.array([0, len(joined)])))
 
 
-_SLOTS = pa.list_(pa.struct([("kind", pa.int32()), ("place", pa.int32()), ("value", pa.string())]))
+_SLOTS = pa.list_(pa.struct([("kind", pa.int32()), ("place", pa.int32()), ("value", pa.string()), ("edge", pa.int32())]))
 
 
 def _found(
@@ -260,19 +268,81 @@ def _window_filter(windows: DataFrame) -> tuple[np.ndarray, int, dict[int, list[
     return table, bits, sizes
 
 
+_SEPARATED = re.compile("[" + "".join(rf"\\x{b:02x}" for b in np.flatnonzero(_separators())) + "]+")
+
+
+def _plain(kind: int, value: str) -> str:
+    """A value as it is compared: units by their stem, names by their words."""
+    if kind == UNIT:
+        return STEMS.get(value, value)
+    return " ".join(_SEPARATED.split(value)).strip() if kind == NAME else value
+
+
+def _without_neighbours(ours: str, theirs: str, meant: str | None, edge: int) -> str:
+    """A name at an edge of the item, without the capital words beside it in the document."""
+    for value in (theirs, meant):
+        if value and (edge & FIRST and f" {ours}".endswith(f" {value}") or edge & LAST and f"{ours} ".startswith(f"{value} ")):
+            return value
+    words, n = ours.split(), max(1, len(theirs.split()))
+    return " ".join(words[-n:] if edge & FIRST else words[:n])
+
+
+def _agreeing(windows: list[dict]) -> tuple[list[dict], int]:
+    """The windows of one alignment whose values agree with what most stand for, and how many values differ in them."""
+    votes: dict[tuple[int, str], dict[str, set[int]]] = {}
+    pairs = []
+    for w in windows:
+        own = []
+        for a, b in zip(w["item_slots"], w["slots"], strict=True):
+            kind, theirs, ours = a["kind"], _plain(a["kind"], a["value"]), _plain(a["kind"], b["value"])
+            edge = a["edge"] if kind == NAME and theirs != ours else 0
+            if not edge:
+                votes.setdefault((kind, theirs), {}).setdefault(ours, set()).add(w["item_place"] + a["place"])
+            own.append((kind, theirs, ours, edge, a["value"] != b["value"]))
+        pairs.append(own)
+    # Of values that are met equally often, the unchanged one, then the first.
+    meant = {k: max(v, key=lambda ours: (len(v[ours]), ours == k[1], -min(v[ours]), ours)) for k, v in votes.items()}
+    agreeing, changed = [], set()
+    for w, own in zip(windows, pairs, strict=True):
+        differ = set()
+        for kind, theirs, ours, edge, other in own:
+            if edge:
+                ours = _without_neighbours(ours, theirs, meant.get((kind, theirs)), edge)
+                other = ours != theirs
+                meant.setdefault((kind, theirs), ours)
+            if ours not in (theirs, meant[kind, theirs]):
+                break
+            if other:
+                differ.add((kind, theirs, ours))
+        else:
+            agreeing.append(w)
+            changed |= differ
+    return agreeing, len(changed)
+
+
+def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        judged = [_agreeing(sorted(ws, key=lambda w: w["item_place"])) for ws in batch.column(3).to_pylist()]
+        places = pa.array([[w["item_place"] for w in agreeing] for agreeing, _ in judged], pa.list_(pa.int64()))
+        changed = pa.array([n for _, n in judged], pa.int64())
+        yield pa.record_batch([*batch.columns[:3], places, changed], ["doc_id", "item_id", "form", "places", "changed"])
+
+
 def contaminated(df: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, item_windows, windows_found and slots_changed of every document that holds an item.
 
     ``df`` has doc_id and text, ``benchmark`` item_id and text; other columns are not read. A document
     holds an item when, in one of the forms, ``share`` of the item's template windows are found in it along
-    alignments whose placeholder values correspond one to one. The counts are those of the form
+    alignments, with values that have not changed or changed as most others of the alignment did: different
+    values may become equal, units are compared by their stem, and capital words beside a name at an
+    edge of the item are no part of it. The counts are those of the form
     that finds most. slots_changed counts the values that differ. Null
     and empty texts hold nothing and are held by nothing, nor are items of fewer than five
     tokens or without a window that is at least half words. Rows with the same doc_id, or
     item_id, count as one text; rows where it is null are left out. An empty table gives no rows.
     """
     doc_type, item_type = df.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType
-    slots = "array<struct<kind: int, place: int, value: string>>"
+    slots = "array<struct<kind: int, place: int, value: string, edge: int>>"
     schema = "key {}, form int, size int, place bigint, hash bigint, slots " + slots
     items = benchmark.where("item_id IS NOT NULL").select("item_id", "text")
     windows = stage(items.mapInArrow(_item_windows, schema.format(item_type.simpleString())), "benchmark-windows")
@@ -292,18 +362,14 @@ def contaminated(df: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
         .where(F.size("slots") == F.size("item_slots"))
         .withColumn("alignment", F.col("place") - F.col("item_place"))
     )
-    pairs = F.zip_with(
-        "item_slots",
-        "slots",
-        lambda a, b: F.struct(a["kind"].alias("kind"), a["value"].alias("theirs"), b["value"].alias("ours")),
-    )
     aligned = matched.groupBy("doc_id", "item_id", "form", "alignment").agg(
-        F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
+        F.collect_set(F.struct("item_place", "item_slots", "slots")).alias("windows")
+    )
+    ids = f"doc_id {doc_type.simpleString()}, item_id {item_type.simpleString()}"
+    judged = aligned.select("doc_id", "item_id", "form", "windows").mapInArrow(
+        _judge, f"{ids}, form int, places array<bigint>, changed bigint"
     )
-    one_side = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda p: F.struct(p["kind"], p[name]))))
-    consistent = aligned.where((one_side("theirs") == F.size("pairs")) & (one_side("ours") == F.size("pairs")))
-    changed = F.size(F.filter("pairs", lambda p: p["theirs"] != p["ours"]))
-    held = consistent.select("doc_id", "item_id", "form", "places", changed.alias("changed")).groupBy("doc_id", "item_id", "form").agg(
+    held = judged.where(F.size("places") > 0).groupBy("doc_id", "item_id", "form").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("windows_found"),
         F.max("changed").cast("bigint").alias("slots_changed"),
     )

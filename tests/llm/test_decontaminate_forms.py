@@ -26,3 +26,24 @@ def test_other_capitals(held):
     got = held([(i, f"some words before {t} and some behind") for i, t in enumerate(texts)], items)
     assert set(got) == {(i, 1 + i // 3) for i in range(12)}
     assert all(r.slots_changed == 0 for r in got.values())
+
+
+def test_each_window_is_judged_by_the_majority(held):
+    items = [
+        (1, "Anna Lee has 12 red apples in the cellar and 5 green ones in the attic. On the next day Anna Lee goes home"),
+        (2, "A baker takes 3 loaves from the oven in the morning and then 5 loaves from the shelf in the evening"),
+        (3, "the pump fills a small basin in 2 hours and a large basin in 4 hours when both valves are open"),
+        (4, "every box in the store holds 12 pens and every bag on the table holds 12 coins for the next buyer"),
+    ]
+    docs = [
+        (1, f"We wrote to Professor {items[0][1]} Today and so on"),
+        (2, items[1][1].replace("3", "7").replace("5", "7")),
+        (3, items[2][1].replace("2 hours", "1 hour").replace("4", "6")),
+        (4, items[3][1].replace("12 coins", "13 coins")),
+        # The same shape, but what stands for one value is another each time.
+        (5, "A train travels 100 km in 5 hours and then stops for 6 days before it goes on to Paris."),
+    ]
+    got = held(docs, [*items, (5, TRAIN)])
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4)}
+    assert [got[i, i].slots_changed for i in (1, 2, 4)] == [0, 2, 0]
+    assert got[1, 1].windows_found == got[1, 1].item_windows
