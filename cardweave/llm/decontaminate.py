@@ -7,9 +7,10 @@ stands for the value of the document it meets most often, and a window counts wh
 values is that one or has not changed. So an item is found again when its numbers, names or units were exchanged, and a text that merely has the
 same shape is not.
 
-Only capitals tell a name, so each text is read in two forms: with names as placeholders, and
-case-free with names as lower-cased words. Either may find an item: the second finds copies in
-other capitals.
+Only capitals tell a name, so each text is read in three forms: with capital words inside sentences
+as names, case-free with names as lower-cased words, and with every capital word as a name, also
+where it opens a sentence. Each may find an item: the second finds copies in other capitals, the
+third items whose sentences begin with the names that were exchanged.
 """
 
 from __future__ import annotations
@@ -44,9 +45,9 @@ STEMS = {u: u[:-1] for u in UNITS if u[-1] == "s" and u[:-1] in UNITS} | SINGULA
 NUMBER, NAME, UNIT = 1, 2, 3
 #: Where in its text a token is.
 FIRST, LAST = 1, 2
-#: The forms: capital words inside sentences are names, or no word is.
-INSIDE, NO_NAMES = 0, 1
-FORMS = (INSIDE, NO_NAMES)
+#: The forms: capital words inside sentences are names, no word is, or every capital word is.
+INSIDE, NO_NAMES, EVERY = 0, 1, 2
+FORMS = (INSIDE, NO_NAMES, EVERY)
 #: Size of the filter of benchmark windows: bits for each window, and the bounds of the whole.
 #: Beyond the largest size more windows of documents go through the join; no result changes.
 BITS_PER_WINDOW, LEAST_BITS, MOST_BITS = 64, 1 << 16, 1 << 28
@@ -70,6 +71,12 @@ def _folds() -> np.ndarray:
     return table
 
 
+@lru_cache(1)
+def _capitals() -> np.ndarray:
+    """Which code points are capital letters."""
+    return np.array([chr(c).isupper() or chr(c).istitle() for c in range(0x20000)])
+
+
 def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the code points beyond ASCII begin, and which they are."""
     at = np.flatnonzero(data >= 0xC0)
@@ -102,17 +109,19 @@ class Tokens:
     def __init__(self, data: np.ndarray, bounds: np.ndarray, hasher: SpanHasher):
         self.data, self.bounds = data, bounds
         starts, ends = word_spans(data, bounds, _separators())
-        hashes = hasher.words(_lower(data, *_code_points(data)), starts, ends)
+        at, points = _code_points(data)
+        hashes = hasher.words(_lower(data, at, points), starts, ends)
         text = np.searchsorted(bounds, starts, side="right") - 1
         opens = np.append(True, text[1:] != text[:-1])[: len(text)]
         digit = (data >= 48) & (data <= 57)
         digits = np.append(0, np.cumsum(digit, dtype=np.int64))
         number = digits[ends] > digits[starts]
-        # A capital: A-Z, or one of the Latin letters with marks, whose second byte tells.
-        padded = np.append(data, np.uint8(0))
         lead = data[starts] if len(starts) else np.zeros(0, np.uint8)
-        second = padded[starts + 1] if len(starts) else lead
-        capital = ((lead >= 65) & (lead <= 90)) | ((lead == 0xC3) & (second >= 0x80) & (second <= 0x9E))
+        first = lead.astype(np.int64)
+        beyond = lead >= 0xC0
+        first[beyond] = points[np.searchsorted(at, starts[beyond])]
+        table = _capitals()
+        capital = table[np.minimum(first, len(table) - 1)]
         # A sentence starts behind . ! ? : ; or a line break, and with the text.
         stop = np.isin(data, np.frombuffer(b".!?:;\n\r|\"", np.uint8))
         stops = np.append(0, np.cumsum(stop, dtype=np.int64))
@@ -136,8 +145,8 @@ class Canonical:
         name = capital & ~sentence & ~number & ~unit
         # What opens a sentence is a name when one follows it: Tom Smith.
         name |= capital & sentence & ~number & np.append(name[1:] & ~opens[1:], False)[: len(name)]
-        if form == NO_NAMES:
-            name = np.zeros(len(name), bool)
+        if form != INSIDE:
+            name = capital & ~number & ~unit if form == EVERY else np.zeros(len(name), bool)
         kind = np.select([number, name, unit], [NUMBER, NAME, UNIT], 0)
         # 3,500.25 is one number, and a run of names one name.
         previous = np.append(0, kind[:-1])[: len(kind)]

@@ -47,3 +47,20 @@ def test_each_window_is_judged_by_the_majority(held):
     assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 4)}
     assert [got[i, i].slots_changed for i in (1, 2, 4)] == [0, 2, 0]
     assert got[1, 1].windows_found == got[1, 1].item_windows
+
+
+def test_exchanged_names_that_open_sentences(held):
+    items = [
+        (1, "Tom has 3 apples. Tom buys 5 more apples. How many apples does Tom have?"),
+        (2, "Janet sells 16 eggs per day. Janet eats 3 eggs. Janet bakes 4 cakes with what is left. How many eggs does Janet use?"),
+        (3, "Вчера утром Иван купил в магазине 3 яблока а потом Иван отдал соседке 2 яблока и пошёл домой"),
+        (4, "το πρωί ο Νίκος πήρε 3 μήλα και το βράδυ ο Νίκος έφαγε 2 μήλα πριν από τον ύπνο"),
+    ]
+    changed = [
+        items[0][1].replace("Tom", "Anna").replace("3", "8").replace("5", "6"),
+        items[1][1].replace("Janet", "Maria").replace("16", "40"),
+        items[2][1].replace("Иван", "Пётр").replace("3", "7"),
+        items[3][1].replace("Νίκος", "Γιώργος").replace("3", "7"),
+    ]
+    got = held([(i, f"some words before. {t} And some behind") for i, t in enumerate(changed, 1)], items)
+    assert {k: r.slots_changed for k, r in got.items()} == {(1, 1): 3, (2, 2): 2, (3, 3): 2, (4, 4): 2}
