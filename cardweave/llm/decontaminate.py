@@ -31,6 +31,8 @@ from cardweave.storage import stage
 WINDOW, LEAST_TOKENS = 8, 5
 #: The share of an item's windows that must be found again.
 SHARE = 0.5
+#: Or so many tokens of it in a row, unchanged; of a shorter item all.
+RUN = 13
 #: Units of measure, singular, plural and short.
 UNITS = (
     "mm cm m km inch inches foot feet yard yards mile miles mg g kg gram grams kilogram kilograms ounce ounces "
@@ -296,8 +298,19 @@ def _without_neighbours(ours: str, theirs: str, meant: str | None, edge: int) ->
     return " ".join(words[-n:] if edge & FIRST else words[:n])
 
 
-def _agreeing(windows: list[dict]) -> tuple[list[dict], int]:
-    """The windows of one alignment whose values agree with what most stand for, and how many values differ in them."""
+def _longest(places: list[tuple[int, int]]) -> int:
+    """Tokens of the longest run of windows, given by their first token and size, each a token behind the one before."""
+    longest, begin, last = 0, 0, None
+    for place, size in places:
+        if last is None or place > last + 1:
+            begin = place
+        longest, last = max(longest, place + size - begin), place
+    return longest
+
+
+def _agreeing(windows: list[dict]) -> tuple[list[dict], int, int]:
+    """The windows of one alignment whose values agree with what most stand for, how many values differ in them,
+    and the tokens of its longest unchanged run."""
     votes: dict[tuple[int, str], dict[str, set[int]]] = {}
     pairs = []
     for w in windows:
@@ -311,7 +324,7 @@ def _agreeing(windows: list[dict]) -> tuple[list[dict], int]:
         pairs.append(own)
     # Of values that are met equally often, the unchanged one, then the first.
     meant = {k: max(v, key=lambda ours: (len(v[ours]), ours == k[1], -min(v[ours]), ours)) for k, v in votes.items()}
-    agreeing, changed = [], set()
+    agreeing, changed, same = [], set(), []
     for w, own in zip(windows, pairs, strict=True):
         differ = set()
         for kind, theirs, ours, edge, other in own:
@@ -326,22 +339,26 @@ def _agreeing(windows: list[dict]) -> tuple[list[dict], int]:
         else:
             agreeing.append(w)
             changed |= differ
-    return agreeing, len(changed)
+            if not differ:
+                same.append((w["item_place"], w["size"]))
+    return agreeing, len(changed), _longest(same)
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         judged = [_agreeing(sorted(ws, key=lambda w: w["item_place"])) for ws in batch.column(3).to_pylist()]
-        places = pa.array([[w["item_place"] for w in agreeing] for agreeing, _ in judged], pa.list_(pa.int64()))
-        changed = pa.array([n for _, n in judged], pa.int64())
-        yield pa.record_batch([*batch.columns[:3], places, changed], ["doc_id", "item_id", "form", "places", "changed"])
+        places = pa.array([[w["item_place"] for w in agreeing] for agreeing, _, _ in judged], pa.list_(pa.int64()))
+        changed, run = (pa.array([j[k] for j in judged], pa.int64()) for k in (1, 2))
+        columns = [*batch.columns[:3], places, changed, run]
+        yield pa.record_batch(columns, ["doc_id", "item_id", "form", "places", "changed", "run"])
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, item_windows, windows_found and slots_changed of every document that holds an item.
 
     ``df`` has doc_id and text, ``benchmark`` item_id and text; other columns are not read. A document
-    holds an item when, in one of the forms, ``share`` of the item's template windows are found in it along
+    holds an item when, in one of the forms, 13 tokens of it in a row are found unchanged along one alignment,
+    or all of them if it has fewer, or when ``share`` of the item's template windows are found in it along
     alignments, with values that have not changed or changed as most others of the alignment did: different
     values may become equal, units are compared by their stem, and capital words beside a name at an
     edge of the item are no part of it. The counts are those of the form
@@ -360,7 +377,7 @@ def contaminated(df: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     known = df.sparkSession.sparkContext.broadcast(table)
     found = documents.mapInArrow(_document_windows(known, sizes, bits), schema.format(doc_type.simpleString()))
 
-    totals = windows.groupBy("key", "form").agg(F.countDistinct("place").alias("item_windows")).withColumnRenamed("key", "item_id")
+    totals = windows.groupBy("key", "form").agg(F.countDistinct("place").alias("item_windows"), F.max(F.col("place") + F.col("size")).alias("tokens")).withColumnRenamed("key", "item_id")
     theirs = windows.select(
         F.col("key").alias("item_id"), "form", "size", "hash", F.col("place").alias("item_place"), F.col("slots").alias("item_slots")
     )
@@ -372,22 +389,23 @@ def contaminated(df: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
         .withColumn("alignment", F.col("place") - F.col("item_place"))
     )
     aligned = matched.groupBy("doc_id", "item_id", "form", "alignment").agg(
-        F.collect_set(F.struct("item_place", "item_slots", "slots")).alias("windows")
+        F.collect_set(F.struct("item_place", "size", "item_slots", "slots")).alias("windows")
     )
     ids = f"doc_id {doc_type.simpleString()}, item_id {item_type.simpleString()}"
     judged = aligned.select("doc_id", "item_id", "form", "windows").mapInArrow(
-        _judge, f"{ids}, form int, places array<bigint>, changed bigint"
+        _judge, f"{ids}, form int, places array<bigint>, changed bigint, run bigint"
     )
     held = judged.where(F.size("places") > 0).groupBy("doc_id", "item_id", "form").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("windows_found"),
         F.max("changed").cast("bigint").alias("slots_changed"),
+        F.max("run").alias("run"),
     )
     # Of the forms that find the item, the one that finds most of it.
     part = F.col("windows_found") / F.col("item_windows")
     best = F.max_by(F.struct("item_windows", "windows_found", "slots_changed"), F.struct(part, -F.col("form")))
     return (
         held.join(totals, ["item_id", "form"])
-        .where(F.col("windows_found") >= F.col("item_windows") * share)
+        .where((F.col("windows_found") >= F.col("item_windows") * share) | (F.col("run") >= F.least(F.lit(RUN), "tokens")))
         .groupBy("doc_id", "item_id")
         .agg(best.alias("best"))
         .select("doc_id", "item_id", "best.*")

@@ -64,3 +64,20 @@ def test_exchanged_names_that_open_sentences(held):
     ]
     got = held([(i, f"some words before. {t} And some behind") for i, t in enumerate(changed, 1)], items)
     assert {k: r.slots_changed for k, r in got.items()} == {(1, 1): 3, (2, 2): 2, (3, 3): 2, (4, 4): 2}
+
+
+def test_a_verbatim_run_is_enough(held):
+    words = (
+        "a farmer keeps brown hens in a wooden house behind the old mill and every morning before sunrise the youngest "
+        "daughter walks down the narrow path with 2 baskets to gather what was laid overnight by them all"
+    ).split()
+    item = " ".join(words)
+    docs = [
+        (1, f"it says {' '.join(words[5:18])} and so on"),
+        (2, f"it says {' '.join(words[5:17])} and so on"),
+        (3, f"it says {' '.join(words[15:28])} and so on"),
+        # The number differs, so no 13 tokens are unchanged.
+        (4, f"it says {' '.join(words[17:31])} and so on".replace("2 baskets", "3 baskets")),
+        (5, f"it says {' '.join(words[12:22])} and {' '.join(words[:10])} and so on"),
+    ]
+    assert set(held(docs, [(1, item)])) == {(1, 1), (3, 1)}
