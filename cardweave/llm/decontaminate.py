@@ -10,12 +10,15 @@ same shape is not.
 Only capitals tell a name, so each text is read in three forms: with capital words inside sentences
 as names, case-free with names as lower-cased words, and with every capital word as a name, also
 where it opens a sentence. Each may find an item: the second finds copies in other capitals, the
-third items whose sentences begin with the names that were exchanged.
+third items whose sentences begin with the names that were exchanged. Windows of more than half
+placeholders, and items of fewer than five tokens, have too few words for a template: their values
+are hashed with them, so they are only found unchanged.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from cardweave.llm.kernel import SpanHasher, mix, slices, text_buffers, word_spans
 from cardweave.storage import stage
 
-#: Tokens of a window. Items of fewer are one window of their own, down to LEAST_TOKENS.
+#: Tokens of a window. Items of fewer are one window of their own; of fewer than LEAST_TOKENS, with their values.
 WINDOW, LEAST_TOKENS = 8, 5
 #: The share of an item's windows that must be found again.
 SHARE = 0.5
@@ -44,6 +47,14 @@ UNITS = (
 #: Units in the singular, where it is not the plural without its s.
 SINGULAR = {"inches": "inch", "feet": "foot"}
 STEMS = {u: u[:-1] for u in UNITS if u[-1] == "s" and u[:-1] in UNITS} | SINGULAR
+#: First and last code points of scripts without spaces, whose characters are tokens: Thai to Tibetan, Burmese, Khmer,
+#: kana and Chinese characters.
+UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x3040, 0x30FF),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F), (0x1B000, 0x1B16F),
+)
+SEPARATES, ALONE = 1, 2
 NUMBER, NAME, UNIT = 1, 2, 3
 #: Where in its text a token is.
 FIRST, LAST = 1, 2
@@ -79,6 +90,36 @@ def _capitals() -> np.ndarray:
     return np.array([chr(c).isupper() or chr(c).istitle() for c in range(0x20000)])
 
 
+@lru_cache(1)
+def _classes() -> np.ndarray:
+    """Which code points beyond ASCII separate words (marks, symbols, spaces), and which are words alone."""
+    table = np.zeros(0x20001, np.int8)
+    for c in range(0x80, 0x20000):
+        if unicodedata.category(chr(c))[0] in "PSZ":
+            table[c] = SEPARATES
+    for low, high in UNSPACED:
+        own = table[low : high + 1]
+        own[own == 0] = ALONE
+    # Whatever is higher is a Chinese character.
+    table[-1] = ALONE
+    return table
+
+
+def _words(data: np.ndarray, bounds: np.ndarray, at: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words, where characters of scripts without spaces are words of their own."""
+    classes = _classes()
+    kind = classes[np.minimum(points, len(classes) - 1)]
+    if not kind.any():
+        return word_spans(data, bounds, _separators())
+    lead = data[at]
+    size = np.where(lead < 0xE0, 2, np.where(lead < 0xF0, 3, 4))
+    marks, alone = kind == SEPARATES, kind == ALONE
+    plain, borders = data.copy(), [bounds, at[alone], at[alone] + size[alone]]
+    for k in range(4):
+        plain[(at + k)[marks & (size > k)]] = 32
+    return word_spans(plain, np.unique(np.concatenate(borders)), _separators())
+
+
 def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where the code points beyond ASCII begin, and which they are."""
     at = np.flatnonzero(data >= 0xC0)
@@ -110,14 +151,15 @@ class Tokens:
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray, hasher: SpanHasher):
         self.data, self.bounds = data, bounds
-        starts, ends = word_spans(data, bounds, _separators())
         at, points = _code_points(data)
+        starts, ends = _words(data, bounds, at, points)
         hashes = hasher.words(_lower(data, at, points), starts, ends)
         text = np.searchsorted(bounds, starts, side="right") - 1
         opens = np.append(True, text[1:] != text[:-1])[: len(text)]
         digit = (data >= 48) & (data <= 57)
         digits = np.append(0, np.cumsum(digit, dtype=np.int64))
         number = digits[ends] > digits[starts]
+        self.bare = digits[ends] - digits[starts] == ends - starts
         lead = data[starts] if len(starts) else np.zeros(0, np.uint8)
         first = lead.astype(np.int64)
         beyond = lead >= 0xC0
@@ -160,21 +202,36 @@ class Canonical:
         self.start, self.end = starts[first], ends[last]
         placeholder = mix(np.array([0, NUMBER, NAME, UNIT], np.uint64) + np.uint64(77))
         self.hash = np.where(self.kind > 0, placeholder[self.kind], hashes[first])
+        # Each token with its value: all of its words, by their place.
+        self.exact = mix(hashes[first])
+        longer = np.flatnonzero(run)
+        if len(longer):
+            token = np.cumsum(~run) - 1
+            place = (longer - first[token[longer]]).astype(np.uint64)
+            np.add.at(self.exact, token[longer], mix(hashes[longer] + place))
         self.text = text[first]
         self.edges = np.searchsorted(self.text, np.arange(len(tokens.bounds)))
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """First token and hash of every window of ``size`` tokens of which at least half are words."""
+        """First token and hash of every window of ``size`` tokens; with the values where fewer than half are words."""
         n = len(self.hash) - size + 1
         if n <= 0:
             return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        at = np.flatnonzero(self.text[:n] == self.text[size - 1 :])
+        value = self._hashes(self.hash, at, size, size + 64 * self.form)
         words = np.append(0, np.cumsum(self.kind == 0))
-        at = np.flatnonzero((self.text[:n] == self.text[size - 1 :]) & (2 * (words[size:] - words[:-size]) >= size))
-        value = mix(self.hash[at] + np.uint64(size + 64 * self.form))
-        for k in range(1, size):
-            value = mix(value * np.uint64(0x9E3779B97F4A7C15) + self.hash[at + k])
+        count = words[at + size] - words[at]
+        few = np.flatnonzero((2 * count < size) | (size < LEAST_TOKENS))
+        value[few] = self._hashes(self.exact, at[few], size, size + 64 * self.form + 32)
         return at, value
 
+    @staticmethod
+    def _hashes(tokens: np.ndarray, at: np.ndarray, size: int, salt: int) -> np.ndarray:
+        value = mix(tokens[at] + np.uint64(salt))
+        for k in range(1, size):
+            value = mix(value * np.uint64(0x9E3779B97F4A7C15) + tokens[at + k])
+        return value
+
     def slots(self, at: int, size: int) -> list[dict]:
         """Kind, place in the window, lower-cased value and edge of the text of each placeholder."""
         found = (np.flatnonzero(self.kind[at : at + size]) + at).tolist()
@@ -228,7 +285,8 @@ def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             for form in FORMS:
                 tokens = Canonical(words, form)
                 size = min(WINDOW, len(tokens.hash))
-                if size < LEAST_TOKENS:
+                # Numbers alone are no text.
+                if words.bare.all():
                     continue
                 at, value = tokens.windows(size)
                 n = len(at)
@@ -363,8 +421,8 @@ def contaminated(df: DataFrame, benchmark: DataFrame, share: float = SHARE) -> D
     values may become equal, units are compared by their stem, and capital words beside a name at an
     edge of the item are no part of it. The counts are those of the form
     that finds most. slots_changed counts the values that differ. Null
-    and empty texts hold nothing and are held by nothing, nor are items of fewer than five
-    tokens or without a window that is at least half words. Rows with the same doc_id, or
+    and empty texts hold nothing and are held by nothing, nor are items of numbers alone. Windows of
+    more than half placeholders, and items of fewer than five tokens, must be found with their values. Rows with the same doc_id, or
     item_id, count as one text; rows where it is null are left out. An empty table gives no rows.
     """
     doc_type, item_type = df.schema["doc_id"].dataType, benchmark.schema["item_id"].dataType

@@ -81,3 +81,33 @@ def test_a_verbatim_run_is_enough(held):
         (5, f"it says {' '.join(words[12:22])} and {' '.join(words[:10])} and so on"),
     ]
     assert set(held(docs, [(1, item)])) == {(1, 1), (3, 1)}
+
+
+def test_number_heavy_short_and_unspaced_items(held):
+    items = [
+        (1, "What is 12 * 34 + 5?"),
+        (2, "2 + 2 * 7 = 16 or 28?"),
+        (3, "What is the capital of France?"),
+        (4, "Who wrote Faust?"),
+        (5, "法国的首都是哪一座城市，请回答。"),
+        (6, "日本で一番高い山は何ですか"),
+        # One window of nine is mostly words.
+        (7, "Add up the numbers in this list for me: 3 9 27 81 4 16 64 5"),
+    ]
+    docs = [(i, f"they asked me {t} and went on") for i, t in items]
+    docs += [
+        (11, "they asked me What is 12 * 34 + 6? and went on"),
+        (12, "他说法国的首都是巴黎"),
+        (13, f"有人问{items[4][1]}然后走了"),
+        (14, "please add up the numbers in this list for me"),
+        (15, "who wrote that faust was old"),
+    ]
+    assert set(held(docs, items)) == {(i, i) for i, _ in items} | {(13, 5)}
+
+
+def test_left_out_windows_count(held):
+    item = "the sum of all the numbers shown here 1 2 3 4 5 6 7 8 9 10 11 12 13"
+    clean = "the sum of all the numbers shown here 5 9 is a clean text"
+    got = held([(1, f"so {item} they say"), (2, clean)], [(1, item)])
+    assert set(got) == {(1, 1)}
+    assert got[1, 1].item_windows == got[1, 1].windows_found == 14
