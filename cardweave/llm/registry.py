@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from cardweave.llm.clusters import cluster_vectors
 from cardweave.llm.decontaminate import contaminated
 from cardweave.llm.lines import lines_digest
 from cardweave.llm.minhash import near_duplicates
@@ -50,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": _judged(judge_toxicity),
     "pipeline": corpus_pipeline.run,
     "op10_suffix_array_dedup": _over_documents(repeats_digest),
+    "op11_centroid_clustering": lambda spark, sf_dir: cluster_vectors(_table(spark, sf_dir, "embeddings")),
 }
 
 _LINES = r"""
@@ -105,4 +107,43 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = componen
 FROM documents d JOIN components USING (doc_id) LEFT JOIN sizes USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op2_line_dedup": _LINES, "op5_exact_top_k": _TOP_K, "op8_minhash_near_dedup": _NEAR}
+
+
+def _clusters(rounds: int = 3, k: int = 16) -> str:
+    """The rounds, one after the other: distances, nearest centroids, floored means."""
+
+    def nearest(r: int) -> str:
+        return f"""
+s{r} AS (SELECT v.row, c.cluster, sum((v.x - c.x) * (v.x - c.x))::BIGINT AS distance
+         FROM points v JOIN c{r} c USING (d) GROUP BY ALL),
+n{r} AS (SELECT row, cluster, distance FROM s{r}
+         QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1)"""
+
+    def moved(r: int) -> str:
+        return f""",
+m{r} AS (SELECT cluster, d, sum(x)::BIGINT AS total, count(*) AS n FROM points JOIN n{r} USING (row) GROUP BY ALL),
+c{r + 1} AS (SELECT cluster, d, coalesce((total - ((total % n) + n) % n) // n, x) AS x
+         FROM c{r} LEFT JOIN m{r} USING (cluster, d)),"""
+
+    return f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+points AS (SELECT row, d, floor(64 * embedding[d]::DOUBLE)::BIGINT AS x FROM kept, range(1, 65) AS t(d)),
+firsts AS (SELECT row, (row_number() OVER (ORDER BY sha256('1:' || vec_id), row))::INTEGER - 1 AS cluster FROM kept),
+c0 AS (SELECT cluster, d, x FROM points JOIN firsts USING (row) WHERE cluster < {k}),
+{"".join(nearest(r) + moved(r) for r in range(rounds))}
+{nearest(rounds)},
+digests AS (SELECT cluster, sha256(string_agg(x, ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY cluster)
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM n{rounds} JOIN kept USING (row) JOIN digests USING (cluster)
+"""
+
+
+ORACLES: dict[str, str] = {
+    "op11_centroid_clustering": _clusters(),
+    "op2_line_dedup": _LINES,
+    "op5_exact_top_k": _TOP_K,
+    "op8_minhash_near_dedup": _NEAR,
+}
