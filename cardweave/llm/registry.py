@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from cardweave.llm.clusters import cluster_vectors
 from cardweave.llm.decontaminate import contaminated
+from cardweave.llm.divergence import source_divergence
 from cardweave.llm.lines import lines_digest
 from cardweave.llm.minhash import near_duplicates
 from cardweave.llm.packing import pack_documents
@@ -18,6 +19,7 @@ from cardweave.llm.quality import judge_quality
 from cardweave.llm.repeats import repeats_digest
 from cardweave.llm.search import top_k
 from cardweave.llm.sharding import shard_documents
+from cardweave.llm.token_files import tokens_digest
 from cardweave.llm.toxicity import judge_toxicity
 
 
@@ -52,6 +54,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op10_suffix_array_dedup": _over_documents(repeats_digest),
     "op11_centroid_clustering": lambda spark, sf_dir: cluster_vectors(_table(spark, sf_dir, "embeddings")),
+    "op12_token_files": _over_documents(tokens_digest),
+    "op13_source_divergence": _over_documents(source_divergence),
 }
 
 _LINES = r"""
@@ -141,8 +145,42 @@ FROM n{rounds} JOIN kept USING (row) JOIN digests USING (cluster)
 """
 
 
+_DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+words AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 10),
+places AS (SELECT DISTINCT lang, source FROM docs),
+found AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+dense AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n FROM places JOIN kept USING (lang) LEFT JOIN found USING (lang, source, term)),
+own AS (
+  SELECT *, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER g + 2 * count(*) OVER g) AS p
+  FROM dense WINDOW g AS (PARTITION BY lang, source)),
+whole AS (
+  SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 2) // (sum(n) OVER g + 2 * count(*) OVER g) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM dense GROUP BY lang, term) WINDOW g AS (PARTITION BY lang)),
+apart AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM own a JOIN own b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM places a JOIN places b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // (p + q) AS value
+  FROM own JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+      FROM (FROM pairs UNION ALL FROM terms))
+WHERE part = 'pair' OR rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op11_centroid_clustering": _clusters(),
+    "op13_source_divergence": _DIVERGENCE,
     "op2_line_dedup": _LINES,
     "op5_exact_top_k": _TOP_K,
     "op8_minhash_near_dedup": _NEAR,
