@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from cardweave import schemas as S
 from cardweave.functions.plan import pin
 from cardweave.operators.codec import text_feed
 from cardweave.operators.filters import is_actionable, is_ptlfx
-from cardweave.operators.parse import parse_feed
+from cardweave.operators.parse import COLUMNS, parse_feed
 from cardweave.operators.requests import Saver, save_accepted
 from cardweave.operators.tokenise import Tokeniser
 from cardweave.schemas import Reason, Result
@@ -19,16 +19,19 @@ from cardweave.schemas import Reason, Result
 Decoder = Callable[[DataFrame], DataFrame]
 
 
-def prepare(feed: DataFrame, decoder: Decoder | None = None) -> DataFrame:
+def prepare(feed: DataFrame, decoder: Decoder | None = None, fields: Collection[str] | None = None) -> DataFrame:
     """Decode, parse and tag each record with the reason to skip it, if there is one.
 
     A skipped record keeps no message fields. One that could not be decrypted keeps its
-    envelope in ``value``, to be set aside; all others drop it.
+    envelope in ``value``, to be set aside; all others drop it. With ``fields`` only those message columns and
+    flags are there, and only they are typed; what is saved or brought back later needs all.
     """
     decoded = decoder(feed) if decoder else text_feed(feed)
     if "decrypt_failed" not in decoded.columns:
         decoded = decoded.withColumn("decrypt_failed", F.lit(False))
-    parsed = parse_feed(decoded)
+    kept = {"message_type", "record_type", "transaction_id"}
+    wanted = [name for name in COLUMNS if fields is None or name in fields]
+    parsed = parse_feed(decoded, None if fields is None else {*fields, "message_type", "record_type"})
     tagged = parsed.withColumn(
         "reason",
         F.when(F.col("decrypt_failed"), Reason.DECRYPT_FAILED)
@@ -37,15 +40,11 @@ def prepare(feed: DataFrame, decoder: Decoder | None = None) -> DataFrame:
         .when(~is_actionable(), Reason.NOT_ACTIONABLE),
     )
     publishable = F.col("reason").isNull()
-    kept = {"message_type", "record_type", "transaction_id"}
+    always = {*kept, *S.FLAGS.fieldNames()}
     return tagged.select(
         *S.RECORD_ID,
         F.when(F.col("decrypt_failed"), F.col("value")).alias("value"),
-        *[
-            F.col(name) if name in kept else F.when(publishable, F.col(name)).alias(name)
-            for name in S.MESSAGE.fieldNames()
-        ],
-        *S.FLAGS.fieldNames(),
+        *[F.col(name) if name in always else F.when(publishable, F.col(name)).alias(name) for name in wanted],
         "reason",
         F.lit(0).alias("attempts"),
     )
@@ -82,9 +81,14 @@ def settle(prepared: DataFrame, tokeniser: Tokeniser, saver: Saver | None = None
 
 
 def process(
-    feed: DataFrame, tokeniser: Tokeniser, saver: Saver | None = None, decoder: Decoder | None = None
+    feed: DataFrame,
+    tokeniser: Tokeniser,
+    saver: Saver | None = None,
+    decoder: Decoder | None = None,
+    fields: Collection[str] | None = None,
 ) -> DataFrame:
-    return settle(prepare(feed, decoder), tokeniser, saver)
+    """The outcome of every record. ``fields`` names the message columns needed, by the tokeniser and saver too; all by default."""
+    return settle(prepare(feed, decoder, fields), tokeniser, saver)
 
 
 def quarantined(outcomes: DataFrame) -> DataFrame:

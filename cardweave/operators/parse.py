@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,47 +15,62 @@ from cardweave.functions.xml import element, fragment_text, is_accepted, read_fr
 from cardweave.operators.codec import text_feed
 
 
-def parse_feed(feed: DataFrame) -> DataFrame:
-    """Add ``parsed`` and the typed message columns to every record.
+#: Every column that parsing can add, besides ``parsed``.
+COLUMNS = (*S.MESSAGE.fieldNames(), *S.FLAGS.fieldNames())
+
+
+def parse_feed(feed: DataFrame, columns: Collection[str] | None = None) -> DataFrame:
+    """Add ``parsed`` and the typed message columns to every record, or only those named in ``columns``.
 
     Null, blank, malformed and wrong-root values get ``parsed = false`` and null fields.
     A bad amount or timestamp only nulls that field and sets ``amount_coerced`` or
     ``timestamp_coerced``; ``amount_inexact`` marks numbers that the decimal cannot hold. The
-    document is parsed once and the fields are typed once, however many columns and filters use them.
+    document is parsed once, however many columns and filters use it. Amounts and times are
+    typed once too, if at all: what is held in place for that cannot be pruned, so a
+    caller that needs neither should name its columns.
     """
+    wanted = COLUMNS if columns is None else [name for name in COLUMNS if name in set(columns)]
+    if columns is not None and len(wanted) < len(set(columns)):
+        raise ValueError(f"not message columns: {sorted(set(columns) - set(COLUMNS))}")
     document = F.col("_document")
     raw = {column: element(document, name) for name, column in S.ELEMENTS.items()}
     ok = F.col("parsed")
-    timestamp = fields.event_timestamp(raw["event_timestamp"])
-    typed = {
-        "message_type": fields.message_type(raw["message_type"]),
-        "record_type": fields.record_type(raw["record_type"]),
-        "transaction_id": raw["transaction_id"],
-        "digital_pan": raw["digital_pan"],
-        "currency_code": raw["currency_code"],
-        "response_code": raw["response_code"],
-        "event_timestamp": timestamp,
-        "timestamp_text": fields.iso_text(raw["event_timestamp"], timestamp),
-        "timestamp_coerced": fields.was_coerced(raw["event_timestamp"], timestamp),
-    }
     value = F.col("value")
     text = pin(text_feed(feed), "_text", F.when(~is_blank(value), fragment_text(value)))
     parsed = pin(text, "_document", read_fragment(F.col("_text"))).withColumn("parsed", is_accepted(document))
-    amounts = {
-        "amount": fields.amount(raw["amount"]),
-        "amount_text": fields.amount_text(raw["amount"]),
-        "amount_coerced": fields.was_coerced(raw["amount"], fields.amount_text(raw["amount"])),
+
+    timestamp = fields.event_timestamp(raw["event_timestamp"])
+    held = {
+        "_amounts": {
+            "amount": fields.amount(raw["amount"]),
+            "amount_text": fields.amount_text(raw["amount"]),
+            "amount_coerced": fields.was_coerced(raw["amount"], fields.amount_text(raw["amount"])),
+        },
+        "_times": {
+            "event_timestamp": timestamp,
+            "timestamp_text": fields.iso_text(raw["event_timestamp"], timestamp),
+            "timestamp_coerced": fields.was_coerced(raw["event_timestamp"], timestamp),
+        },
+    }
+    typed = {
+        "message_type": F.when(ok, fields.message_type(raw["message_type"])),
+        "record_type": F.when(ok, fields.record_type(raw["record_type"])),
+        **{n: F.when(ok, raw[n]) for n in ("transaction_id", "digital_pan", "currency_code", "response_code")},
     }
+    used = {"amount", "amount_text", *wanted} if "amount_inexact" in wanted else set(wanted)
     # Two steps, since one alone is a longer method than the JVM compiles.
-    for name, columns in (("_amounts", amounts), ("_typed", typed)):
-        parsed = pin(parsed, name, F.when(ok, F.struct(*[c.alias(n) for n, c in columns.items()])))
-    value = {n: F.col(f"_amounts.{n}") for n in amounts} | {n: F.col(f"_typed.{n}") for n in typed}
-    value["amount_inexact"] = fields.is_inexact(value["amount_text"], value["amount"])
+    for name, own in held.items():
+        own = {n: c for n, c in own.items() if n in used}
+        if own:
+            parsed = pin(parsed, name, F.when(ok, F.struct(*[c.alias(n) for n, c in own.items()])))
+            typed |= {n: F.col(f"{name}.{n}") for n in own}
+    if "amount_inexact" in wanted:
+        typed["amount_inexact"] = fields.is_inexact(typed["amount_text"], typed["amount"])
+    flags = set(S.FLAGS.fieldNames())
     return parsed.select(
         *feed.columns,
         "parsed",
-        *[value[name].alias(name) for name in S.MESSAGE.fieldNames()],
-        *[F.coalesce(value[name], F.lit(False)).alias(name) for name in S.FLAGS.fieldNames()],
+        *[(F.coalesce(typed[n], F.lit(False)) if n in flags else typed[n]).alias(n) for n in wanted],
     )
 
 
@@ -62,4 +79,4 @@ def messages(parsed: DataFrame) -> DataFrame:
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("NOT parsed").drop("parsed", *S.MESSAGE.fieldNames(), *S.FLAGS.fieldNames())
+    return parsed.filter("NOT parsed").drop("parsed", *COLUMNS)

@@ -127,7 +127,7 @@ def exact_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         _leaf("Timestamp", moment),
         F.lit("</Data>"),
     )
-    orders = table(spark, sf_dir, "orders")
+    orders = _spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"))
     return orders.select(
         F.lit(None).cast("string").alias("key"), value.alias("value"), F.lit(TOPIC).alias("topic"),
         F.lit(0).alias("partition"), k.alias("offset"),

@@ -135,6 +135,11 @@ _SUPPLIER_TEXT = """
     || CASE WHEN k % 23 = 0 THEN 'Z' ELSE '' END || '</Timestamp>' AS body
     FROM (SELECT s_suppkey AS k, CAST(round(abs(s_acctbal) * 100) AS BIGINT) AS cents FROM supplier))"""
 
+_POLLS = f"""
+WITH texts AS ({_SUPPLIER_TEXT})
+SELECT 0 AS poll, key, value FROM texts
+UNION ALL SELECT 1, 'msg.' || s_suppkey, '<again/>' FROM supplier WHERE s_acctbal < 5000"""
+
 _TOKEN_LOOKUP = _with(
     _PUBLISHED + _VAULT,
     f"SELECT {_ID}, w.token AS tokenised_pan FROM p LEFT JOIN (SELECT DISTINCT pan, token FROM v) w ON p.pan = w.pan",
@@ -152,7 +157,19 @@ _LEDGER = """SELECT 'rtf' AS topic, part AS "partition",
     max(CASE WHEN result <> 'RETRY' THEN pos END) + 1, 0) AS safe_position
   FROM {rows} GROUP BY part"""
 
+# Neighbouring settled offsets, of rows named a, as intervals.
+_ISLANDS = """i AS (
+  SELECT part, min(pos) AS "first", max(pos) AS "last"
+  FROM (SELECT part, pos, pos - row_number() OVER (PARTITION BY part ORDER BY pos) AS island FROM a) GROUP BY part, island)"""
+_ACKED = _OUTCOME + ", a AS (SELECT part, pos FROM r WHERE result <> 'RETRY'), " + _ISLANDS
+_RANGES = """SELECT 'rtf' AS topic, part AS "partition", "first", "last" FROM i"""
+
 # In two drops, the odd partitions (odd orders) are settled twice.
+_SAVED_TWICE = _with(
+    _OUTCOME,
+    f"""SELECT {_ID}, {_REQUEST} FROM r
+      WHERE tries > 0 AND token IS NOT NULL AND (k % 43 <> 0 OR (k % 86 <> 0 AND part % 2 = 1))""",
+)
 _TWO_DROPS = "CASE WHEN part % 2 = 1 THEN 2 ELSE 1 END"
 
 ORACLES: dict[str, str] = {
@@ -265,6 +282,18 @@ WITH w AS (
 SELECT service, ts, event_id, window_size, failures,
   CAST(failures AS DOUBLE) / CAST(window_size AS DOUBLE) AS failure_rate,
   (window_size = 10 AND failures >= 5) AS flagged
+FROM w""",
+    "stream_health": """
+WITH w AS (
+  SELECT user_id % 2 AS service, event_id,
+    count(*) OVER last_calls AS window_size,
+    CAST(sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER last_calls AS BIGINT) AS failures
+  FROM events
+  WINDOW last_calls AS (PARTITION BY user_id % 2 ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
+)
+SELECT service, event_id, window_size, failures,
+  CAST(failures AS DOUBLE) / CAST(window_size AS DOUBLE) AS failure_rate,
+  (window_size = 10 AND failures >= 5) AS flagged
 FROM w""",
     "outcome_metrics": _with(
         _OUTCOME,
@@ -299,12 +328,51 @@ FROM w""",
           cut AS kept
         FROM d""",
     ),
+    "acked_ranges": _with(_ACKED, _RANGES),
+    "late_ranges": _with(
+        _OUTCOME + ", a AS (SELECT part, pos FROM r WHERE result <> 'RETRY' AND pos % 50 <> 1), " + _ISLANDS, _RANGES
+    ),
+    "ledger_positions": _with(
+        _ACKED,
+        """SELECT 'rtf' AS topic, part AS "partition", arg_min("last", "first") + 1 AS safe_position, max("last") + 1 AS committed,
+          CAST(max("last") + 1 - min("first") - sum("last" - "first" + 1) AS BIGINT) AS gaps FROM i GROUP BY part""",
+    ),
+    "resume_offsets": _with(
+        _ACKED,
+        """SELECT '{"rtf":{' || string_agg('"' || part || '":' || position, ',' ORDER BY part) || '}}' AS starting_offsets
+          FROM (SELECT part, CASE WHEN part = 2 THEN -2 ELSE max("last") + 1 END AS position FROM i GROUP BY part)""",
+    ),
+    "replay_windows": _with(
+        _ACKED
+        + """, b AS (SELECT part, "last" + 1 AS "first", lead("first") OVER w - 1 AS "last"
+              FROM (SELECT * FROM i UNION ALL SELECT DISTINCT part, -1, -1 FROM i) WINDOW w AS (PARTITION BY part ORDER BY "first")),
+            h AS (SELECT *, row_number() OVER (PARTITION BY part ORDER BY "first") - 1 AS number, count(*) OVER (PARTITION BY part) AS n
+              FROM b WHERE "first" <= "last")""",
+        """SELECT CAST(number * least(n, 4) // n AS INTEGER) AS "read", 'rtf' AS topic, part AS "partition",
+          min("first") AS "first", max("last") AS "last" FROM h GROUP BY ALL""",
+    ),
+    "unsettled_records": _with(
+        _ACKED + """, e AS (SELECT part AS ep, max("last") AS "end" FROM i GROUP BY part)""",
+        f"""SELECT 'order-' || k AS key, {_ID} FROM r JOIN e ON part = ep WHERE result = 'RETRY' AND pos <= "end\"""",
+    ),
+    "due_outcomes": _final("3"),
+    "due_batches": _with(
+        _OUTCOME,
+        """SELECT CAST(batch_id AS INTEGER) AS batch_id, count(*) AS records FROM (
+          SELECT 1 - part % 2 AS batch_id FROM r
+          UNION ALL SELECT 2 FROM r WHERE result = 'RETRY'
+          UNION ALL SELECT 4 FROM r WHERE result = 'RETRY' AND (token IS NULL OR k % 86 = 0)) GROUP BY 1""",
+    ),
     "stream_outcomes": _final("1"),
     "stream_redelivery": _final(_TWO_DROPS),
-    "stream_transactions": _with(
-        _OUTCOME,
-        f"""SELECT {_ID}, {_REQUEST} FROM r
-          WHERE tries > 0 AND token IS NOT NULL AND (k % 43 <> 0 OR (k % 86 <> 0 AND part % 2 = 1))""",
+    "stream_transactions": _SAVED_TWICE,
+    "keyed_transactions": _SAVED_TWICE,
+    "stream_acked": _with(
+        _OUTCOME
+        + """, a AS (SELECT part, pos FROM r WHERE tries = 0 OR
+            (token IS NOT NULL AND (k % 43 <> 0 OR (k % 86 <> 0 AND part % 2 = 1)))), """
+        + _ISLANDS,
+        _RANGES,
     ),
     "stream_ledger": _with(
         _OUTCOME
@@ -315,9 +383,7 @@ FROM w""",
     ),
     "folder_feed": _SUPPLIER,
     "folder_changes": "SELECT 'msg.' || s_suppkey AS key, '<again/>' AS value FROM supplier WHERE s_acctbal < 5000",
-    "folder_polls": f"""
-WITH texts AS ({_SUPPLIER_TEXT})
-SELECT 0 AS poll, key, value FROM texts
-UNION ALL SELECT 1, 'msg.' || s_suppkey, '<again/>' FROM supplier WHERE s_acctbal < 5000""",
+    "folder_polls": _POLLS,
+    "folder_watch": _POLLS,
     "folder_stream": _SUPPLIER,
 }

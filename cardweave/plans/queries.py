@@ -11,16 +11,19 @@ from pyspark.sql import functions as F
 
 from cardweave import schemas as S
 from cardweave.functions.envelope import PREFIX
-from cardweave.operators import codec, filters, health, ledger, metrics, outcome, parse, redelivery, requests, tokenise
+from cardweave.operators import codec, filters, health, intervals, ledger, metrics, outcome, parse, redelivery, requests, tokenise
 from cardweave.operators.service import Client, RetryPolicy
 from cardweave.plans import feed as feeds
+from cardweave.sinks.keyed import KeyedTable
 from cardweave.sinks.store import Store
 from cardweave.sinks.topic import publish_records
+from cardweave.sources import resume
 from cardweave.sources.folder import changed_files, read_folder, watch_folder
 from cardweave.sources.topic import from_records
 from cardweave.storage import fresh_path, stage
-from cardweave.streaming import run
-from cardweave.streaming.watch import poll_folder
+from cardweave.streaming import due, run
+from cardweave.streaming.health import watch_health
+from cardweave.streaming.watch import poll_folder, watch_changes
 
 KEY = feeds.KEY_TEXT.encode()
 RECORD = ["partition", "offset"]
@@ -36,15 +39,17 @@ def _no_wait(_: float) -> None:
     return None
 
 
-NO_WAIT = RetryPolicy(sleep=_no_wait, breaker_calls=None)
+NO_WAIT = RetryPolicy(sleep=_no_wait)
 
 
-def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse.messages(parse.parse_feed(feeds.order_feed(spark, sf_dir)))
+def _messages(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Parsed messages with the columns that the query reads; all when none is named."""
+    return parse.messages(parse.parse_feed(feeds.order_feed(spark, sf_dir), columns or None))
 
 
-def _publishable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filters.filter_publishable(_messages(spark, sf_dir))
+def _publishable(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    named = ("record_type", "message_type", *columns) if columns else ()
+    return filters.filter_publishable(_messages(spark, sf_dir, *named))
 
 
 def _vault(spark: SparkSession, sf_dir: str, **options) -> tokenise.Tokeniser:
@@ -58,8 +63,12 @@ def _rule_saver(tokenised: DataFrame, active: Column) -> DataFrame:
     return tokenised.withColumn("save_ok", active & (F.col("attempts") > fails))
 
 
-def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return outcome.process(feeds.order_feed(spark, sf_dir), _vault(spark, sf_dir), _rule_saver)
+# What tokenising and the rule of the saver read.
+_TO_SETTLE = ("message_type", "transaction_id", "digital_pan")
+
+
+def _outcomes(spark: SparkSession, sf_dir: str, fields: tuple[str, ...] | None = None) -> DataFrame:
+    return outcome.process(feeds.order_feed(spark, sf_dir), _vault(spark, sf_dir), _rule_saver, fields=fields)
 
 
 def _token_service() -> Client:
@@ -104,8 +113,7 @@ def parse_messages(spark, sf_dir):
 def exact_fields(spark, sf_dir):
     """Look-alike names in CDATA and in namespaces, and numbers and times no typed column holds whole."""
     done = outcome.process(feeds.exact_feed(spark, sf_dir), tokenise.tokenise_local())
-    request = requests.to_save_request(done).join(done.select(*S.RECORD_ID, "amount_inexact"), S.RECORD_ID)
-    return request.select(
+    return requests.to_save_request(done, "amount_inexact").select(
         F.col("offset").alias("k"),
         F.col("transactionId").alias("transaction_id"),
         "amountText",
@@ -122,33 +130,33 @@ def success_requests(spark, sf_dir):
 
 
 def parse_rejects(spark, sf_dir):
-    rejected = parse.rejects(parse.parse_feed(feeds.order_feed(spark, sf_dir)))
+    rejected = parse.rejects(parse.parse_feed(feeds.order_feed(spark, sf_dir), ()))
     return rejected.select("key", *RECORD, "value")
 
 
 def filter_publishable(spark, sf_dir):
-    return _publishable(spark, sf_dir).select(*RECORD, "record_type", "message_type", "transaction_id")
+    return _publishable(spark, sf_dir, "transaction_id").select(*RECORD, "record_type", "message_type", "transaction_id")
 
 
 def tokenise_local(spark, sf_dir):
-    tokenised = tokenise.tokenise_local()(_publishable(spark, sf_dir), F.lit(True))
+    tokenised = tokenise.tokenise_local()(_publishable(spark, sf_dir, "digital_pan"), F.lit(True))
     return tokenised.select(*RECORD, "tokenised_pan")
 
 
 def tokenise_vault(spark, sf_dir):
-    tokenised = _vault(spark, sf_dir)(_publishable(spark, sf_dir), F.lit(True))
+    tokenised = _vault(spark, sf_dir)(_publishable(spark, sf_dir, "digital_pan"), F.lit(True))
     return tokenised.select(*RECORD, "tokenised_pan")
 
 
 def tokenise_vault_salted(spark, sf_dir):
     """The same lookup as for a vault too large to broadcast."""
     tokeniser = _vault(spark, sf_dir, broadcast_bytes=-1)
-    return tokeniser(_publishable(spark, sf_dir), F.lit(True)).select(*RECORD, "tokenised_pan")
+    return tokeniser(_publishable(spark, sf_dir, "digital_pan"), F.lit(True)).select(*RECORD, "tokenised_pan")
 
 
 def tokenise_service(spark, sf_dir):
     tokeniser = tokenise.tokenise_service(_token_service, NO_WAIT)
-    tokenised = tokeniser(_publishable(spark, sf_dir), F.lit(True))
+    tokenised = tokeniser(_publishable(spark, sf_dir, "digital_pan"), F.lit(True))
     return tokenised.select(
         *RECORD, "tokenised_pan", "token_attempts", F.col("token_error").isNotNull().alias("failed")
     )
@@ -162,15 +170,14 @@ def _dead_service() -> Client:
 
 
 def service_outage(spark, sf_dir):
-    """A service that never answers: every record ends to be retried, after few calls in each task."""
-    tokeniser = tokenise.tokenise_service(_dead_service, RetryPolicy(sleep=_no_wait), parallelism=4)
-    done = outcome.process(feeds.order_feed(spark, sf_dir), tokeniser)
-    # A task stops after ten calls, before it comes to any second attempt.
+    """A service that never answers, asked once: every record it was needed for is to be retried."""
+    tokeniser = tokenise.tokenise_service(_dead_service, RetryPolicy(max_attempts=1, sleep=_no_wait), parallelism=4)
+    done = outcome.process(feeds.order_feed(spark, sf_dir), tokeniser, fields=("digital_pan",))
     return done.select(*RECORD, "result", "reason", (F.coalesce(F.col("token_attempts"), F.lit(0)) <= 1).alias("once"))
 
 
 def masked_report(spark, sf_dir):
-    return metrics.masked_report(_messages(spark, sf_dir)).select(
+    return metrics.masked_report(_messages(spark, sf_dir, "transaction_id", "message_type", "digital_pan")).select(
         *RECORD, "transaction_id", "message_type", "masked_pan"
     )
 
@@ -199,13 +206,14 @@ def save_service(spark, sf_dir):
 
 
 def process_outcomes(spark, sf_dir):
-    return _outcomes(spark, sf_dir).select(
+    return _outcomes(spark, sf_dir, _TO_SETTLE).select(
         "topic", *RECORD, "transaction_id", "message_type", "tokenised_pan", "result", "reason", "attempts"
     )
 
 
 def process_local(spark, sf_dir):
-    done = outcome.process(feeds.order_feed(spark, sf_dir), tokenise.tokenise_local())
+    read = ("digital_pan", "amount", "event_timestamp")
+    done = outcome.process(feeds.order_feed(spark, sf_dir), tokenise.tokenise_local(), fields=read)
     return (
         done.groupBy("result", "reason")
         .agg(
@@ -218,11 +226,57 @@ def process_local(spark, sf_dir):
 
 
 def offset_ledger(spark, sf_dir):
-    return ledger.offset_ledger(_outcomes(spark, sf_dir))
+    return ledger.offset_ledger(_outcomes(spark, sf_dir, _TO_SETTLE))
 
 
 def at_risk(spark, sf_dir):
-    return ledger.at_risk(_outcomes(spark, sf_dir)).select("topic", *RECORD, "transaction_id", "reason", "committed")
+    return ledger.at_risk(_outcomes(spark, sf_dir, _TO_SETTLE)).select("topic", *RECORD, "transaction_id", "reason", "committed")
+
+
+def acked_ranges(spark, sf_dir):
+    return intervals.acked_ranges(_outcomes(spark, sf_dir, _TO_SETTLE))
+
+
+def late_ranges(spark, sf_dir):
+    """Intervals carried from batch to batch: every third offset at a time, the last ones first, some of them never."""
+    outcomes = stage(_outcomes(spark, sf_dir, _TO_SETTLE).select(*S.RECORD_ID, "result"), "outcomes")
+    ranges = None
+    for turn in (2, 0, 1):
+        now = intervals.acked_ranges(outcomes.where((F.col("offset") % 3 == turn) & (F.col("offset") % 50 != 1)), 1000)
+        ranges = stage(now if ranges is None else intervals.merge_ranges(ranges.unionByName(now), 1000), "ranges")
+    return ranges
+
+
+def _stored_ranges(spark, sf_dir):
+    return stage(intervals.acked_ranges(_outcomes(spark, sf_dir, _TO_SETTLE)), "ranges")
+
+
+def ledger_positions(spark, sf_dir):
+    return intervals.positions(_stored_ranges(spark, sf_dir))
+
+
+def resume_offsets(spark, sf_dir):
+    """What the topic source is told to start from, one partition of the topic being unknown to the ledger."""
+    known = _stored_ranges(spark, sf_dir).where("partition <> 2")
+    return spark.createDataFrame([(resume.resume_from(known, {feeds.TOPIC: 4}),)], "starting_offsets STRING")
+
+
+def _from_zero(ranges: DataFrame) -> DataFrame:
+    return ranges.select("topic", "partition").distinct().withColumn("start", F.lit(0).cast("bigint"))
+
+
+def replay_windows(spark, sf_dir):
+    ranges = _stored_ranges(spark, sf_dir)
+    return resume.replay_windows(ranges, _from_zero(ranges), reads=4)
+
+
+def unsettled_records(spark, sf_dir):
+    """The records that a replay by the ledger brings back: those in its holes, and no other."""
+    ranges = _stored_ranges(spark, sf_dir)
+    windows = resume.replay_windows(ranges, _from_zero(ranges), reads=4).withColumnsRenamed({"first": "_from", "last": "_to"})
+    feed = feeds.order_feed(spark, sf_dir)
+    read = feed.join(windows, ["topic", "partition"]).where(F.col("offset").between(F.col("_from"), F.col("_to")))
+    return resume.unsettled(read.select(*feed.columns), ranges, 1000).select("key", *RECORD)
 
 
 def retry_queue(spark, sf_dir):
@@ -245,8 +299,23 @@ def call_health(spark, sf_dir):
     )
 
 
+def stream_health(spark, sf_dir):
+    """The same log in three parts, one after the other."""
+    events = feeds.table(spark, sf_dir, "events")
+    cuts = events.agg(F.percentile_approx("event_id", [0.3, 0.7], 1000)).first()[0]
+    base = fresh_path(spark, "health")
+    parts = [F.col("event_id") <= cuts[0], F.col("event_id").between(cuts[0] + 1, cuts[1]), F.col("event_id") > cuts[1]]
+    for part in parts:
+        events.filter(part).write.mode("append").parquet(f"{base}/calls")
+        calls = spark.readStream.schema(events.schema).parquet(f"{base}/calls")
+        service, failed = F.col("user_id") % 2, F.col("event_type") == "error"
+        watch_health(calls, f"{base}/store", f"{base}/checkpoint", service, ["event_id"], failed).awaitTermination()
+    health_columns = ["service", "event_id", "window_size", "failures", "failure_rate", "flagged"]
+    return spark.read.parquet(f"{base}/store/health").select(*health_columns)
+
+
 def outcome_metrics(spark, sf_dir):
-    return metrics.outcome_metrics(_outcomes(spark, sf_dir))
+    return metrics.outcome_metrics(_outcomes(spark, sf_dir, (*_TO_SETTLE, *S.FLAGS.fieldNames())))
 
 
 def codec_roundtrip(spark, sf_dir):
@@ -306,18 +375,18 @@ def decrypt_quarantine(spark, sf_dir):
             F.col("value").substr(F.lit(1), F.length("value") - 8),
         ).otherwise(F.col("value")),
     )
-    done = outcome.process(damaged, tokenise.tokenise_local(), decoder=lambda feed: codec.decrypt_feed(feed, KEY))
+    done = outcome.process(damaged, tokenise.tokenise_local(), decoder=lambda feed: codec.decrypt_feed(feed, KEY), fields=("digital_pan",))
     return done.select(*RECORD, "result", "reason", F.col("value").isNotNull().alias("kept"))
 
 
-def _streamed(spark, sf_dir, drops: list[Column]) -> Store:
+def _streamed(spark, sf_dir, drops: list[Column], **options) -> Store:
     """Run the continuous job over the feed, dropped into a folder in parts."""
     base = fresh_path(spark, "stream")
     feed = feeds.order_feed(spark, sf_dir)
     for part in drops:
         feed.filter(part).write.mode("append").parquet(f"{base}/feed")
         source = spark.readStream.schema(S.FEED).parquet(f"{base}/feed")
-        query = run.run_stream(source, f"{base}/store", f"{base}/checkpoint", _vault(spark, sf_dir), _rule_saver)
+        query = run.run_stream(source, f"{base}/store", f"{base}/checkpoint", _vault(spark, sf_dir), _rule_saver, **options)
         query.awaitTermination()
     return Store(spark, f"{base}/store")
 
@@ -346,6 +415,40 @@ def stream_transactions(spark, sf_dir):
     )
 
 
+def keyed_transactions(spark, sf_dir):
+    """Two jobs with checkpoints and batches of their own save the same feed: every request is there once."""
+    root = fresh_path(spark, "saved")
+    for drops in (_two_drops(), [F.lit(True)]):
+        _streamed(spark, sf_dir, drops, saved=KeyedTable(spark, root, S.SAVED, bucket_offsets=1000))
+    saved = KeyedTable(spark, root, S.SAVED).read()
+    return saved.drop("topic", "amountText").withColumn("amount", _money("amount"))
+
+
+def stream_acked(spark, sf_dir):
+    return _streamed(spark, sf_dir, _two_drops()).batch("acked", 1)
+
+
+def _due_batches(spark, sf_dir) -> Store:
+    """Five batches at set times: odd partitions, even ones, then only what has become due."""
+    store, feed = Store(spark, fresh_path(spark, "due")), feeds.order_feed(spark, sf_dir)
+    parts = [*_two_drops(), F.lit(False), F.lit(False), F.lit(False)]
+    tokeniser = _vault(spark, sf_dir)
+    for batch_id, (part, now) in enumerate(zip(parts, (0.0, 0.4, 1.0, 1.5, 2.0))):
+        schedule = due.RetrySchedule(deliveries=3, clock=lambda now=now: now)
+        due.settle_due_batch(store, feed.where(part), batch_id, tokeniser, _rule_saver, schedule=schedule)
+    return store
+
+
+def due_outcomes(spark, sf_dir):
+    final = due.final_due_outcomes(_due_batches(spark, sf_dir))
+    return final.select(*RECORD, "result", "reason", "attempts", "tokenised_pan")
+
+
+def due_batches(spark, sf_dir):
+    """How many records each batch settles: new ones, and of the failed ones those that are due."""
+    return _due_batches(spark, sf_dir).table("outcomes").groupBy("batch_id").agg(F.count("*").alias("records"))
+
+
 def stream_ledger(spark, sf_dir):
     return _streamed(spark, sf_dir, _two_drops()).batch("ledger", 1)
 
@@ -402,6 +505,25 @@ def folder_polls(spark, sf_dir):
     return polls[0].unionByName(polls[1]).unionByName(polls[2])
 
 
+def folder_watch(spark, sf_dir):
+    """The same three looks by the stream: empty files, rewritten ones and one with an older time come once for each change."""
+    folder = _supplier_folder(spark, sf_dir, blank="")
+    store, base = Store(spark, fresh_path(spark, "watched")), fresh_path(spark, "watch")
+    for look in range(3):
+        if look == 1:
+            low = feeds.table(spark, sf_dir, "supplier").filter("s_acctbal < 5000")
+            again = low.select(F.concat(F.lit("msg."), "s_suppkey").alias("key"), F.lit("<again/>").alias("value"))
+            feeds.write_files(again, folder)
+            feeds.set_time(spark, f"{folder}/msg.{low.agg(F.min('s_suppkey')).first()[0]}.xml", seconds=86_400)
+
+        def publish(records: DataFrame, look: int = look) -> None:
+            store.write("looks", look, records.select("key", "value"))
+
+        watch_changes(store, folder, base, publish, every=None, settle_seconds=0.0).awaitTermination()
+    looks = spark.read.schema("key STRING, value STRING, batch_id INT").parquet(f"{store.root}/looks")
+    return looks.select(F.col("batch_id").alias("poll"), "key", "value")
+
+
 def folder_stream(spark, sf_dir):
     folder = _supplier_folder(spark, sf_dir, blank="\n")
     out = fresh_path(spark, "folder-out")
@@ -441,6 +563,7 @@ QUERIES: dict[str, Query] = {
         retry_queue,
         redelivered,
         call_health,
+        stream_health,
         outcome_metrics,
         codec_roundtrip,
         encrypted_shape,
@@ -451,9 +574,20 @@ QUERIES: dict[str, Query] = {
         stream_redelivery,
         stream_transactions,
         stream_ledger,
+        stream_acked,
+        keyed_transactions,
+        acked_ranges,
+        late_ranges,
+        ledger_positions,
+        resume_offsets,
+        replay_windows,
+        unsettled_records,
+        due_outcomes,
+        due_batches,
         folder_feed,
         folder_changes,
         folder_polls,
+        folder_watch,
         folder_stream,
     )
 }

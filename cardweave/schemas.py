@@ -89,6 +89,9 @@ LEDGER = T.StructType(
     ]
 )
 
+# Intervals of offsets, both ends included.
+RANGES = T.StructType([*FEED.fields[2:4], T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])
+
 # Field names of the save request.
 REQUEST_FIELDS = [
     "messageType",
@@ -100,6 +103,15 @@ REQUEST_FIELDS = [
     "timestamp",
 ]
 
+# A saved request: the record's id, the request, and the amount as sent.
+SAVED = T.StructType(
+    [
+        *FEED.fields[2:],
+        *[T.StructField(name, AMOUNT if name == "amount" else T.StringType()) for name in REQUEST_FIELDS],
+        T.StructField("amountText", T.StringType()),
+    ]
+)
+
 
 class Result:
     SUCCESS = "SUCCESS"

@@ -8,14 +8,14 @@ from collections.abc import Iterator
 from urllib.parse import urlsplit
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamReader
 
 from cardweave.functions.plan import BROADCAST_BYTES, fits_broadcast
 from cardweave.functions.text import stem, utf8_text
-from cardweave.storage import folder_in_task
+from cardweave.sources.files import SCHEMA, FolderFiles
+from cardweave.storage import folder_in_task, fresh_path
 
 # Fixed value: how long a file must have been left alone.
 SETTLE_SECONDS = 0.25
@@ -58,41 +58,18 @@ def _records(files: DataFrame, folder: str, on_invalid: str) -> DataFrame:
     )
 
 
-def _passed_over_names(spark: SparkSession, folder: str, empty: bool) -> DataFrame:
-    """(name, modified) of names that start with . or _, which no reader of Spark lists, and of ``empty`` files.
-
-    One task lists them; a folder's listing is one call.
-    """
-
-    def list_names(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                filesystem, path = folder_in_task(folder)
-                files = [
-                    (f.base_name, f.mtime_ns // 1000)
-                    for f in filesystem.get_file_info(fs.FileSelector(path))
-                    if f.type == fs.FileType.File and ((empty and f.size == 0) or f.base_name.startswith((".", "_")))
-                ]
-                yield pd.DataFrame(files, columns=["name", "modified"])
-
-    return spark.range(1).mapInPandas(list_names, "name STRING, modified BIGINT")
+def _files(spark: SparkSession, folder: str, names_only: bool = False) -> DataFrame:
+    """name, content and modified (microseconds) of every regular file directly in ``folder``, also empty and hidden ones."""
+    spark.dataSource.register(FolderFiles)
+    reader = spark.read.format(FolderFiles.name()).option("work", fresh_path(spark, "listing"))
+    return reader.option("namesOnly", str(names_only).lower()).load(folder)
 
 
 def list_folder(spark: SparkSession, folder: str) -> DataFrame:
     """(name, path, modified) of every file directly in ``folder``, without reading any."""
-    parent = _plain_path(folder)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    path = _file_path()
-    listed = files.where(F.regexp_replace(path, r"/[^/]*\z", "") == parent).select(
-        _decoded(F.col("_metadata.file_name")).alias("name"),
-        path.alias("path"),
-        F.col("_metadata.file_modification_time").alias("modified"),
-    )
-    hidden = _passed_over_names(spark, folder, empty=False)
-    return listed.unionByName(
-        hidden.select(
-            "name", F.concat(F.lit(f"{parent}/"), "name").alias("path"), F.timestamp_micros("modified").alias("modified")
-        )
+    path = F.concat(F.lit(f"{_plain_path(folder)}/"), "name")
+    return _files(spark, folder, names_only=True).select(
+        "name", path.alias("path"), F.timestamp_micros("modified").alias("modified")
     )
 
 
@@ -102,14 +79,18 @@ def read_listed(files: DataFrame, folder: str, on_invalid: str = "error") -> Dat
     return _read_names(named, folder, on_invalid)
 
 
-def _passed_over(spark: SparkSession, folder: str, on_invalid: str) -> DataFrame:
-    """The files Spark's own readers leave out: empty ones, and names that start with . or _."""
-    return _read_names(_passed_over_names(spark, folder, empty=True), folder, on_invalid)
+def _as_records(files: DataFrame, folder: str, on_invalid: str) -> DataFrame:
+    """Read files (name, content, modified in microseconds) as records of the feed."""
+    return files.select(
+        stem(F.col("name")).alias("key"),
+        _checked(F.col("content").cast("string"), on_invalid).alias("value"),
+        F.concat(F.lit(f"{_plain_path(folder)}/"), "name").alias("path"),
+        F.timestamp_micros("modified").alias("modified"),
+    )
 
 
 def _read_names(names: DataFrame, folder: str, on_invalid: str) -> DataFrame:
     """Read the files of ``names`` in as many tasks as there are partitions."""
-    parent = _plain_path(folder)
 
     def read_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, path = folder_in_task(folder)
@@ -117,25 +98,11 @@ def _read_names(names: DataFrame, folder: str, on_invalid: str) -> DataFrame:
             for row in batch.itertuples(index=False):
                 with filesystem.open_input_stream(f"{path}/{row.name}") as file:
                     content = file.read()
-                yield pd.DataFrame(
-                    {
-                        "name": [row.name],
-                        "content": [content],
-                        "path": [f"{parent}/{row.name}"],
-                        "modified": [row.modified],
-                    }
-                )
+                yield pd.DataFrame({"name": [row.name], "content": [content], "modified": [row.modified]})
 
     tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    files = names.repartition(tasks, "name").mapInPandas(
-        read_files, "name STRING, content BINARY, path STRING, modified BIGINT"
-    )
-    return files.select(
-        stem(F.col("name")).alias("key"),
-        _checked(F.col("content").cast("string"), on_invalid).alias("value"),
-        "path",
-        F.timestamp_micros("modified").alias("modified"),
-    )
+    files = names.repartition(tasks, "name").mapInPandas(read_files, SCHEMA)
+    return _as_records(files, folder, on_invalid)
 
 
 def read_folder(
@@ -146,11 +113,12 @@ def read_folder(
     A file that is not UTF-8 is an error, as a message must not change on its way;
     ``on_invalid="replace"`` reads it with replacement characters. ``ordered`` sorts by
     path, for a reader to whom order matters. ``complete=False`` leaves out empty files
-    and hidden names, as Spark does.
+    and hidden names, as Spark's own reader does.
     """
-    records = _records(_text_files(spark.read).load(folder), folder, on_invalid)
     if complete:
-        records = records.unionByName(_passed_over(spark, folder, on_invalid))
+        records = _as_records(_files(spark, folder), folder, on_invalid)
+    else:
+        records = _records(_text_files(spark.read).load(folder), folder, on_invalid)
     return records.orderBy("path") if ordered else records
 
 
@@ -161,7 +129,7 @@ def watch_folder(
 
     Files are taken as written once and whole (moved in when complete). Spark's stream
     lists neither empty files nor hidden names, and a rewritten file only once; where
-    those matter, poll the folder (``cardweave.streaming.watch``).
+    those matter, use :func:`watch_files`.
     """
     reader = _text_files(spark.readStream.schema("value STRING"))
     if files_per_batch:
@@ -169,6 +137,27 @@ def watch_folder(
     return _records(reader.load(folder), folder, on_invalid)
 
 
+def watch_files(
+    spark: SparkSession,
+    folder: str,
+    state: str,
+    on_invalid: str = "error",
+    files_per_batch: int | None = None,
+    settle_seconds: float = SETTLE_SECONDS,
+) -> DataFrame:
+    """Stream of every file in ``folder``, those present first, then each that is new or was written again.
+
+    Also empty files, hidden names, and files written again with an older time; a file
+    still being written waits until it was left alone for ``settle_seconds``. What has been seen is kept in
+    ``state``, a folder that belongs to the query's checkpoint.
+    """
+    spark.dataSource.register(FolderFiles)
+    reader = spark.readStream.format(FolderFiles.name()).option("state", state).option("settleSeconds", str(settle_seconds))
+    if files_per_batch:
+        reader = reader.option("filesPerBatch", str(files_per_batch))
+    return _as_records(reader.load(folder), folder, on_invalid)
+
+
 def settled(files: DataFrame, seconds: float = SETTLE_SECONDS) -> DataFrame:
     """Files that were last written at least ``seconds`` ago."""
     pause = F.make_dt_interval(secs=F.lit(seconds))

@@ -23,7 +23,7 @@ def topic_options(
 ) -> dict[str, str]:
     """Options for the Kafka source. The streaming checkpoint takes the group's place.
 
-    One task reads one topic partition, unless ``min_tasks`` asks for more: then the
+    ``extra`` may name partitions of the topic with ``assign``. One task reads one topic partition, unless ``min_tasks`` asks for more: then the
     partitions that hold most of the records are read in several ranges.
     """
     if not topic:
@@ -37,6 +37,8 @@ def topic_options(
         options["maxOffsetsPerTrigger"] = str(max_per_batch)
     if min_tasks:
         options["minPartitions"] = str(min_tasks)
+    if extra and "assign" in extra:  # the source takes topics or partitions, not both
+        del options["subscribe"]
     return {**options, **(extra or {})}
 
 

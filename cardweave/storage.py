@@ -50,11 +50,17 @@ def staging() -> Iterator[None]:
             delete(SparkSession.getActiveSession(), path)
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple:
+    """Hadoop's file system of a path, and the path as its object."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder through Hadoop's file system; a failure is a warning, since no result depends on it."""
     try:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        files, target = hadoop_path(spark, path)
+        files.delete(target, True)
     except Exception as error:
         warnings.warn(f"{path} could not be deleted: {error}", stacklevel=2)
 

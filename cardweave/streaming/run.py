@@ -6,21 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from cardweave.operators.intervals import acked_ranges, merge_ranges
 from cardweave.operators.ledger import at_risk, offset_ledger
 from cardweave.operators.metrics import outcome_metrics
 from cardweave.operators.outcome import Decoder, prepare, settle
 from cardweave.operators.redelivery import retry_queue, with_pending
-from cardweave.operators.requests import Saver, to_save_request
+from cardweave.operators.requests import Saver
 from cardweave.operators.tokenise import Tokeniser
-from cardweave.schemas import LEDGER, OUTCOME, RECORD_ID, Reason, Result
+from cardweave.schemas import LEDGER, OUTCOME, RANGES, RECORD_ID, Reason, Result
+from cardweave.sinks.keyed import KeyedTable
 from cardweave.sinks.store import LAST_TABLE, Store
 from cardweave.storage import staging
-
-
-def _stored_form(outcomes: DataFrame) -> DataFrame:
-    """The PAN is kept only where it is needed again, on records to retry."""
-    retry = F.col("result") == Result.RETRY
-    return outcomes.select(*OUTCOME.fieldNames()).withColumn("digital_pan", F.when(retry, F.col("digital_pan")))
+from cardweave.streaming.due import RetrySchedule, settle_due_batch
+from cardweave.streaming.live import write_observed
+from cardweave.streaming.tables import forget_calls, saver_of, stored_form, write_transactions
 
 
 def merge_ledger(previous: DataFrame | None, outcomes: DataFrame) -> DataFrame:
@@ -48,6 +47,12 @@ def merge_ledger(previous: DataFrame | None, outcomes: DataFrame) -> DataFrame:
     )
 
 
+def merge_acked(store: Store, batch_id: int, outcomes: DataFrame) -> DataFrame:
+    """All settled offsets as intervals: those after the batch before, and those of this one."""
+    now = acked_ranges(outcomes)
+    return merge_ranges(now.unionByName(store.batch("acked", batch_id - 1, RANGES))) if batch_id > 0 else now
+
+
 def settle_batch(
     store: Store,
     feed: DataFrame,
@@ -55,10 +60,12 @@ def settle_batch(
     tokeniser: Tokeniser,
     saver: Saver | None = None,
     decoder: Decoder | None = None,
+    saved: KeyedTable | None = None,
 ) -> None:
     """One micro-batch. Running it again with the same id leaves the same tables.
 
-    Outcomes are written first, in one pass over the batch; the other tables read the
+    With ``saved`` the requests that went through are merged into that table, by record, instead
+    of written for the batch: also another batch or checkpoint then adds no record twice. Outcomes are written first, in one pass over the batch; the other tables read the
     written outcomes. The records to retry are thus durable before the batch counts as
     done, and the next batch takes them from there.
     """
@@ -68,14 +75,16 @@ def settle_batch(
         if batch_id > 0:
             work = with_pending(work, retry_queue(store.batch("outcomes", batch_id - 1, OUTCOME)))
             previous = store.batch("ledger", batch_id - 1, LEDGER)
-        outcomes = store.write("outcomes", batch_id, _stored_form(settle(work, tokeniser, saver)))
+        settled = settle(work, tokeniser, saver_of(saver, batch_id))
+        outcomes = write_observed(store, "outcomes", batch_id, stored_form(settled))
 
-    saved = to_save_request(outcomes.filter(F.col("result") == Result.SUCCESS))
-    store.write("transactions", batch_id, saved)
+    write_transactions(store, batch_id, outcomes, saved)
     ledger = store.write("ledger", batch_id, merge_ledger(previous, outcomes))
+    store.write("acked", batch_id, merge_acked(store, batch_id, outcomes))
     risk = at_risk(outcomes, ledger).select(*RECORD_ID, "transaction_id", "reason", "attempts")
     store.write("at_risk", batch_id, risk)
     store.write(LAST_TABLE, batch_id, outcome_metrics(outcomes))
+    forget_calls(store, saver, batch_id - 1)
 
 
 def with_ticks(feed: DataFrame) -> DataFrame:
@@ -93,16 +102,22 @@ def run_stream(
     saver: Saver | None = None,
     decoder: Decoder | None = None,
     trigger: dict | None = None,
+    schedule: RetrySchedule | None = None,
+    saved: KeyedTable | None = None,
 ) -> StreamingQuery:
     """Start the job on a streaming feed; ``trigger`` defaults to what is available now.
 
     ``checkpoint`` plays the part of the consumer group, and ``root`` belongs to it.
-    Records to retry come back with the next micro-batch. Where the feed may fall silent,
-    pass it through :func:`with_ticks` and give a ``processingTime`` trigger.
+    Records to retry come back with the next micro-batch, or by a ``schedule`` when they are due. Where the
+    feed may fall silent, pass it through :func:`with_ticks` and give a ``processingTime`` trigger.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        settle_batch(Store(batch.sparkSession, root), batch, batch_id, tokeniser, saver, decoder)
+        if schedule:
+            store = Store(batch.sparkSession, root)
+            settle_due_batch(store, batch, batch_id, tokeniser, saver, decoder, schedule, saved)
+            return
+        settle_batch(Store(batch.sparkSession, root), batch, batch_id, tokeniser, saver, decoder, saved)
 
     return (
         feed.writeStream.foreachBatch(on_batch)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from cardweave.sinks.store import Store
-from cardweave.sources.folder import SETTLE_SECONDS, changed_files, list_folder, read_listed, settled
+from cardweave.sources.folder import SETTLE_SECONDS, changed_files, list_folder, read_listed, settled, watch_files
 
 Publish = Callable[[DataFrame], None]
 
@@ -41,17 +41,19 @@ def poll_folder(
 
 
 def watch_changes(
-    store: Store, folder: str, checkpoint: str, publish: Publish, every: str = "1 second", **options
+    store: Store, folder: str, checkpoint: str, publish: Publish, every: str | None = "1 second", **options
 ) -> StreamingQuery:
-    """Poll the folder at every trigger, the files present first."""
-    ticks = store.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-
-    def on_tick(_: DataFrame, poll: int) -> None:
-        poll_folder(store, folder, poll, publish, **options)
-
-    return (
-        ticks.writeStream.foreachBatch(on_tick)
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=every)
-        .start()
-    )
+    """Publish the files present, then each that is new or was written again, as a query that goes on.
+
+    The records of a batch are written down before they are published: a batch that is replayed publishes
+    the same ones. ``every=None`` stops when all there is now is published.
+    """
+    files = watch_files(store.spark, folder, f"{checkpoint.rstrip('/')}/watched", **options)
+
+    def on_batch(records: DataFrame, batch_id: int) -> None:
+        publish(store.write("published", batch_id, records))
+        if batch_id > 0:
+            store.drop("published", batch_id - 1)
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return files.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()

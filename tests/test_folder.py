@@ -6,7 +6,7 @@ from conftest import SAMPLE
 
 from cardweave.operators.parse import messages, parse_feed
 from cardweave.plans.feed import write_files
-from cardweave.sources.folder import changed_files, read_folder, watch_folder
+from cardweave.sources.folder import changed_files, list_folder, read_folder, watch_folder
 
 
 @pytest.fixture
@@ -38,6 +38,23 @@ def test_every_file_directly_in_the_folder(spark, inbox):
     assert pairs(read_folder(spark, f"file:{inbox}/")) == EXPECTED
 
 
+def test_one_listing_in_parts(spark, tmp_path, monkeypatch):
+    import cardweave.sources.files as files
+
+    for i in range(25):
+        (tmp_path / f"m{i:02}.xml").write_text("x" * i)
+    monkeypatch.setattr(files, "PART_FILES", 10)
+    monkeypatch.setattr(files, "PART_BYTES", 100)
+    listed = list_folder(spark, str(tmp_path))
+    assert listed.rdd.getNumPartitions() > 3
+    assert sorted(r["name"] for r in listed.collect()) == [f"m{i:02}.xml" for i in range(25)]
+    assert pairs(read_folder(spark, str(tmp_path))) == {f"m{i:02}": "x" * i for i in range(25)}
+
+
+def test_an_empty_folder(spark, tmp_path):
+    assert list_folder(spark, str(tmp_path)).collect() == [] and read_folder(spark, str(tmp_path)).collect() == []
+
+
 def test_only_what_spark_lists(spark, inbox):
     assert pairs(read_folder(spark, str(inbox), complete=False)) == {k: EXPECTED[k] for k in ("b.v1", "a", "plain", "x y+%41")}
 
