@@ -33,7 +33,7 @@ SHARE = 10**9
 #: Bytes of terms in one transducer, and of transducers that a task holds at once: what is beyond is another pass.
 PART_BYTES, HELD_BYTES = 1 << 20, 64 << 20
 #: Counts (sources times ordinals) in one block, and pairs of sources that one task compares.
-CELLS, PAIRS = 1 << 21, 1 << 20
+CELLS, PAIRS = 1 << 17, 1 << 20
 #: Entries that a task adds up before it passes them on, and bytes of text.
 _ENTRIES, _TEXT_BYTES = 300_000, 256 << 20
 

@@ -9,9 +9,11 @@ twice leaves nothing but files nobody reads.
 
 from __future__ import annotations
 
+import sys
 import uuid
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +60,17 @@ class FileTokens(WordTokens):
         return np.array(encoding.ids, np.uint32)
 
 
+def _shared_tokens(vocabulary: str) -> FileTokens:
+    """The tokenizer of a Python worker, with the words it knows, for all tasks the worker runs one after the other.
+
+    A task brings globals of its own, so what outlives it hangs on a module that belongs to the process.
+    """
+    state = sys.modules.setdefault("worker_state_of_token_files", ModuleType("worker_state_of_token_files"))
+    if getattr(state, "vocabulary", None) != vocabulary:
+        state.tokens, state.vocabulary = FileTokens(vocabulary), vocabulary
+    return state.tokens
+
+
 def _vocabulary_bits(vocabulary: str, end_id: int) -> int:
     from tokenizers import Tokenizer
 
@@ -70,7 +83,7 @@ def _id_kind(bits: int) -> np.dtype:
 
 def _encoded(vocabulary: str, end_id: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, kind = FileTokens(vocabulary), _id_kind(bits)
+        words, kind = _shared_tokens(vocabulary), _id_kind(bits)
         for batch in batches:
             data, offsets = text_buffers(batch.column("text"))
             for first, last in slices(offsets):

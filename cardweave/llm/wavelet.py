@@ -170,17 +170,28 @@ class WaveletFile:
             places = self._select(plane, bit, places - self.zeros[plane] if bit else places)
         return places
 
+    def _plane(self, plane: int) -> np.ndarray:
+        """A whole plane as a number for each bit."""
+        starts = self._index(plane)[1].tolist()
+        raw = self.read(starts[0], starts[-1] - starts[0])
+        blocks = []
+        for k, (a, b) in enumerate(zip(starts, starts[1:])):
+            block = raw[a - starts[0] : b - starts[0]]
+            whole = -(-min(BLOCK_BITS, self.tokens - k * BLOCK_BITS) // 8)
+            blocks.append(block if len(block) == whole else zlib.decompress(block))
+        return np.unpackbits(np.frombuffer(b"".join(blocks), np.uint8), count=self.tokens)
+
     def ids(self) -> np.ndarray:
         """The whole sequence. Every plane is read once, from end to end."""
-        kind = np.uint16 if self.bits <= 16 else np.uint32
-        level, order = np.zeros(self.tokens, kind), np.arange(self.tokens, dtype=np.uint32)
+        # Where a token came from and the bits it has so far travel as one number.
+        level, parted = np.arange(self.tokens, dtype=np.uint64) << np.uint64(self.bits), np.empty(self.tokens, np.uint64)
         for plane in range(self.bits):
-            blocks = [self._block(plane, b) for b in range(-(-self.tokens // BLOCK_BITS))]
-            ones = np.concatenate(blocks) if blocks else np.zeros(0, np.uint8)
-            level = level << kind(1) | ones
-            where = ones.view(bool)
-            level = np.concatenate((level[~where], level[where]))
-            order = np.concatenate((order[~where], order[where]))
-        out = np.empty(self.tokens, kind)
-        out[order] = level
+            ones = self._plane(plane).view(bool)
+            zeros = self.zeros[plane]
+            np.compress(~ones, level, out=parted[:zeros])
+            np.compress(ones, level, out=parted[zeros:])
+            parted[zeros:] |= np.uint64(1 << (self.bits - 1 - plane))
+            level, parted = parted, level
+        out = np.empty(self.tokens, np.uint16 if self.bits <= 16 else np.uint32)
+        out[(level >> np.uint64(self.bits)).astype(np.int64)] = level & np.uint64((1 << self.bits) - 1)
         return out
