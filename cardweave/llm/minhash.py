@@ -233,7 +233,8 @@ def near_duplicates(
     # Rows with the same doc_id may differ; the smallest packed text then stands for the document.
     texts = stage(packed.groupBy("id").agg(F.min("packed").alias("packed")), "candidate-texts")
 
-    sized = sets.groupBy("id").agg(F.min("n_shingles").alias("n"))
+    # Written down, so that both sides of the joins below are plain exchanges, in which a hot pivot can be split.
+    sized = stage(sets.groupBy("id").agg(F.min("n_shingles").alias("n")), "set-sizes")
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     near = (
         salted.join(sized, "id")

@@ -21,10 +21,10 @@ from cardweave.llm.learning import Adam, hashed_share
 KINDS = ("email", "ip", "card", "phone")
 #: A window and the step to the next one, in code points.
 WINDOW, STEP = 96, 48
-HIDDEN = 16
+HIDDEN = 24
 #: Bounds of the learning sample: documents, their characters, and windows.
 SAMPLE_ROWS, SAMPLE_CHARS, SAMPLE_WINDOWS = 600, 20_000, 1500
-ROUNDS, BATCH = 220, 48
+ROUNDS, BATCH = 600, 48
 #: An added span's tags must be at least this likely on average.
 CONFIDENCE = 0.9
 _CLASSES = 130
@@ -32,6 +32,8 @@ _TAGS = 1 + 2 * len(KINDS)  # 0: outside; 1, 3, ...: a span begins; 2, 4, ...: i
 _NEVER = -1e4
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_DIGITS = frozenset("0123456789")
+_HOST_CHARACTERS = _LOCAL - frozenset("._%+")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -145,14 +147,29 @@ class Tagger:
             expected += np.exp(pair - total[:, None, None]).sum(axis=0)
         return np.exp(ahead + behind - total[:, None, None]), expected
 
-    def decode(self, scores: np.ndarray) -> np.ndarray:
-        """The best tags of each window (Viterbi)."""
+    def likely(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Probability of each tag at each place of sequences of these lengths."""
         steps, n = self.steps(), scores.shape[1]
-        best, back = scores[:, 0], np.zeros(scores.shape, np.int64)
+        ahead, behind = np.empty_like(scores), np.zeros_like(scores)
+        ahead[:, 0] = scores[:, 0]
+        for t in range(1, n):
+            on = (t < lengths)[:, None]
+            ahead[:, t] = np.where(on, _logsum(ahead[:, t - 1, :, None] + steps, 1) + scores[:, t], ahead[:, t - 1])
+        for t in range(n - 2, -1, -1):
+            on = (t + 1 < lengths)[:, None]
+            behind[:, t] = np.where(on, _logsum(steps + (scores[:, t + 1] + behind[:, t + 1])[:, None, :], 2), 0)
+        return np.exp(ahead + behind - _logsum(ahead[:, -1], 1)[:, None, None])
+
+    def decode(self, scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The best tags of each sequence (Viterbi); what lies behind its length means nothing."""
+        steps, n = self.steps(), scores.shape[1]
+        best, back = scores[:, 0], np.zeros(scores.shape, np.int8)
+        same = np.arange(_TAGS, dtype=np.int8)
         for t in range(1, n):
+            on = (t < lengths)[:, None]
             paths = best[:, :, None] + steps
-            back[:, t] = paths.argmax(axis=1)
-            best = paths.max(axis=1) + scores[:, t]
+            back[:, t] = np.where(on, paths.argmax(axis=1), same)
+            best = np.where(on, paths.max(axis=1) + scores[:, t], best)
         tags = np.empty(scores.shape[:2], np.int64)
         tags[:, -1] = best.argmax(axis=1)
         rows = np.arange(len(scores))
@@ -209,7 +226,7 @@ def _variant(rng: np.random.Generator) -> tuple[int, str]:
     pick = lambda *options: options[int(rng.integers(0, len(options)))]
     kind = int(rng.integers(0, len(KINDS)))
     if kind == 0:
-        local = letters(int(rng.integers(2, 9))) + pick("", "." + digits(2), "_" + letters(3), digits(3))
+        local = letters(int(rng.integers(2, 9) if rng.random() < 0.75 else rng.integers(9, 60))) + pick("", "." + digits(2), "_" + letters(3), digits(3))
         host = letters(int(rng.integers(3, 9))) + pick("", digits(1)) + pick(".com", ".org", ".example.com", ".net", ".de")
         return 0, local + pick("@", "@", " @ ", "@ ") + host
     if kind == 1:
@@ -317,42 +334,122 @@ def _plausible(kind: int, value: str) -> bool:
     return 13 <= len(digits) <= 19 and _luhn(digits) if kind == 2 else 7 <= len(digits) <= 15
 
 
+def _whole(kind: int, text: str, start: int, end: int) -> tuple[int, int]:
+    """A span whose ends lie inside a word, such as a name longer than the network sees, reaches to the word's ends."""
+    start_set, end_set = (_LOCAL, _HOST_CHARACTERS) if kind == 0 else (_DIGITS, _DIGITS)
+    while start > 0 and text[start] in start_set and text[start - 1] in start_set:
+        start -= 1
+    while end < len(text) and text[end - 1] in end_set and text[end] in end_set:
+        end += 1
+    return start, end
+
+
+def telling_runs(text: str) -> list[tuple[int, int]]:
+    """First and last window (their numbers) of each stretch of overlapping windows with a digit or an @."""
+    telling = np.array([m.start() for m in _TELLING.finditer(text)], np.int64)
+    if not len(telling):
+        return []
+    starts = np.array(window_starts(len(text)))
+    low, high = np.searchsorted(telling, starts), np.searchsorted(telling, starts + WINDOW)
+    return _stretches(np.flatnonzero(high > low))
+
+
+def _stretches(numbers: np.ndarray) -> list[tuple[int, int]]:
+    cuts = np.flatnonzero(np.diff(numbers) > 1) + 1
+    return [(int(part[0]), int(part[-1])) for part in np.split(numbers, cuts)]
+
+
+def _stitched(tagger: Tagger, texts: list[str], runs: list[tuple[int, int, int]]) -> list[tuple[int, np.ndarray]]:
+    """Start and emissions of each run (row, first and last window): every place is scored by the window it lies deepest in."""
+    windows = [(row, k) for row, first, last in runs for k in range(first, last + 1)]
+    starts = {row: window_starts(len(texts[row])) for row, _, _ in runs}
+    scores = []
+    for at in range(0, len(windows), 256):
+        part = windows[at : at + 256]
+        ids = np.zeros((len(part), WINDOW), np.int64)
+        for i, (row, k) in enumerate(part):
+            own = characters(texts[row][starts[row][k] : starts[row][k] + WINDOW])
+            ids[i, : len(own)] = own
+        scores.extend(tagger.emissions(ids))
+    out, at = [], 0
+    for row, first, last in runs:
+        own, pieces = starts[row][first : last + 1], []
+        edges = [own[0], *((a + b + WINDOW) // 2 for a, b in zip(own, own[1:])), min(own[-1] + WINDOW, len(texts[row]))]
+        for start, low, high in zip(own, edges, edges[1:]):
+            pieces.append(scores[at][low - start : high - start])
+            at += 1
+        out.append((own[0], np.concatenate(pieces)))
+    return out
+
+
+def _decoded(tagger: Tagger, emissions: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The best tags of each run, over its whole length, and how likely each of them is."""
+    out: list = [None] * len(emissions)
+    order = sorted(range(len(emissions)), key=lambda i: len(emissions[i]))
+    while order:
+        n = max(1, min(len(order), _CELLS // max(1, len(emissions[order[0]]))))
+        while n > 1 and n * len(emissions[order[n - 1]]) > _CELLS:
+            n = n // 2
+        part, order = order[:n], order[n:]
+        lengths = np.array([len(emissions[i]) for i in part])
+        scores = np.zeros((n, lengths.max(), _TAGS), np.float32)
+        for k, i in enumerate(part):
+            scores[k, : lengths[k]] = emissions[i]
+        tags, likely = tagger.decode(scores, lengths), tagger.likely(scores, lengths)
+        for k, i in enumerate(part):
+            own = tags[k, : lengths[k]]
+            out[i] = own, likely[k, np.arange(len(own)), own]
+    return out
+
+
+#: Places decoded at a time; a longer run is decoded alone.
+_CELLS = 1 << 16
+
+
 def model_spans(tagger: Tagger, texts: list[str]) -> list[list[tuple[int, int, int]]]:
     """What the network finds in each text, reconciled.
 
-    Every span has an @ or digits, so a window without either can hold none and is not run.
+    Every span has an @ or digits, so stretches without either are not run. Windows that overlap are
+    stitched and decoded as one, so a span may be of any length. One that reaches the edge of its stretch
+    may go on behind it: the stretch then grows by its length on that side and is read again.
     """
-    places: list[tuple[int, int]] = []
-    for row, text in enumerate(texts):
-        telling = np.array([m.start() for m in _TELLING.finditer(text)], np.int64)
-        if len(telling):
-            starts = np.array(window_starts(len(text)))
-            low, high = np.searchsorted(telling, starts), np.searchsorted(telling, starts + WINDOW)
-            places += [(row, s) for s in starts[high > low].tolist()]
     found: list[list[tuple[int, int, int, float]]] = [[] for _ in texts]
-    for k in range(0, len(places), 256):
-        part = places[k : k + 256]
-        ids = np.zeros((len(part), WINDOW), np.int64)
-        for i, (row, start) in enumerate(part):
-            own = characters(texts[row][start : start + WINDOW])
-            ids[i, : len(own)] = own
-        scores = tagger.emissions(ids)
-        tags, likely = tagger.decode(scores), tagger.marginals(scores)[0]
-        for i, (row, start) in enumerate(part):
-            for begin in np.flatnonzero(tags[i] % 2 == 1).tolist():
-                kind, end = (int(tags[i, begin]) - 1) // 2, begin + 1
-                while end < WINDOW and tags[i, end] == 2 + 2 * kind:
+    waiting = [(row, first, last) for row, text in enumerate(texts) for first, last in telling_runs(text)]
+    while waiting:
+        longer = []
+        stitched = _stitched(tagger, texts, waiting)
+        for (row, first, last), (start, scores), (tags, likely) in zip(waiting, stitched, _decoded(tagger, [s for _, s in stitched])):
+            text, own, cut = texts[row], [], [False, False]
+            for begin in np.flatnonzero(tags % 2 == 1).tolist():
+                kind, end = (int(tags[begin]) - 1) // 2, begin + 1
+                while end < len(tags) and tags[end] == 2 + 2 * kind:
                     end += 1
-                # Cut off by the window: the next one, or the one before, sees all of it.
-                if end == WINDOW and start + WINDOW < len(texts[row]):
-                    continue
-                sure = float(likely[i, np.arange(begin, end), tags[i, begin:end]].mean())
-                value = texts[row][start + begin : start + end]
+                cut[0] |= begin == 0 and start > 0
+                cut[1] |= end == len(tags) and start + end < len(text)
+                sure, (a, b) = float(likely[begin:end].mean()), _whole(kind, text, start + begin, start + end)
+                value = text[a:b]
                 if sure >= CONFIDENCE and _plausible(kind, value) and value == value.strip():
-                    found[row].append((kind, start + begin, start + end, round(sure, 4)))
+                    own.append((kind, a, b, round(sure, 4)))
+            if any(cut):
+                more, most = last - first + 1, len(window_starts(len(text))) - 1
+                longer.append((row, max(0, first - more * cut[0]), min(most, last + more * cut[1])))
+            else:
+                found[row] += own
+        waiting = _joined(longer)
     return [reconcile(f) for f in found]
 
 
+def _joined(runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Runs of one text that have met are one."""
+    out: list[tuple[int, int, int]] = []
+    for row, first, last in sorted(runs):
+        if out and out[-1][0] == row and first <= out[-1][2] + 1:
+            out[-1] = row, out[-1][1], max(last, out[-1][2])
+        else:
+            out.append((row, first, last))
+    return out
+
+
 def all_spans(base: list[tuple[int, int, int]], added: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """The base spans and those added that touch none of them, by kind and start."""
     taken = np.array([(a, b) for _, a, b in base], np.int64).reshape(-1, 2)

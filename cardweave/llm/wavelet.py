@@ -182,16 +182,14 @@ class WaveletFile:
         return np.unpackbits(np.frombuffer(b"".join(blocks), np.uint8), count=self.tokens)
 
     def ids(self) -> np.ndarray:
-        """The whole sequence. Every plane is read once, from end to end."""
-        # Where a token came from and the bits it has so far travel as one number.
-        level, parted = np.arange(self.tokens, dtype=np.uint64) << np.uint64(self.bits), np.empty(self.tokens, np.uint64)
-        for plane in range(self.bits):
+        """The whole sequence. Every plane is read once, the last one first: each says where what is behind it came from."""
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        level, before = np.zeros(self.tokens, kind), np.empty(self.tokens, kind)
+        for plane in range(self.bits - 1, -1, -1):
             ones = self._plane(plane).view(bool)
             zeros = self.zeros[plane]
-            np.compress(~ones, level, out=parted[:zeros])
-            np.compress(ones, level, out=parted[zeros:])
-            parted[zeros:] |= np.uint64(1 << (self.bits - 1 - plane))
-            level, parted = parted, level
-        out = np.empty(self.tokens, np.uint16 if self.bits <= 16 else np.uint32)
-        out[(level >> np.uint64(self.bits)).astype(np.int64)] = level & np.uint64((1 << self.bits) - 1)
-        return out
+            level[zeros:] |= kind(1 << (self.bits - 1 - plane))
+            before[~ones] = level[:zeros]
+            before[ones] = level[zeros:]
+            level, before = before, level
+        return level

@@ -66,15 +66,52 @@ def tagger():
 
 
 def test_finds_variants_that_the_rules_do_not_know(tagger):
+    """Nine in ten of every kind."""
     rng = np.random.default_rng(5)
-    hits = []
-    while len(hits) < 120:
+    wanted, hits = {k: [] for k in range(4)}, {k: [] for k in range(4)}
+    for _ in range(1500):
         kind, value = pii._variant(rng)
         text = f"there is some text before {value} and then some more of it behind."
-        if any(b > 26 and a < 26 + len(value) for _, a, b in pii.base_spans(text)):
-            continue
-        hits.append((kind, 26, 26 + len(value)) in pii.model_spans(tagger, [text])[0])
-    assert np.mean(hits) > 0.5, np.mean(hits)
+        if len(wanted[kind]) < 50 and not any(b > 26 and a < 26 + len(value) for _, a, b in pii.base_spans(text)):
+            wanted[kind].append((text, (kind, 26, 26 + len(value))))
+    for kind, cases in wanted.items():
+        for (_, span), found in zip(cases, pii.model_spans(tagger, [t for t, _ in cases])):
+            hits[kind].append(span in found)
+    assert all(len(h) == 50 and np.mean(h) >= 0.9 for h in hits.values()), {k: np.mean(h) for k, h in hits.items()}
+
+
+def test_spans_are_whole_however_long(tagger):
+    """None begins or ends inside a name, or where a window does."""
+    whole = 0
+    for size in (20, 40, 55, 70, 120, 300):
+        for place in range(0, 100, 9):
+            value = "b" * size + " @ mail.com"
+            text = "and " * 30 + "xy " * (place // 3) + "it is " + value + " they say " + "and so on " * 20
+            start = text.index(value)
+            found = [s for s in pii.model_spans(tagger, [text])[0] if s[0] == 0]
+            assert all(a == start for _, a, _ in found), (size, place, found, start)
+            whole += (0, start, start + len(value)) in found
+    assert whole >= 20
+
+
+def test_stitched_windows_are_decoded_like_one(tagger):
+    rng = np.random.default_rng(2)
+    scores = [rng.normal(0, 2, (n, 9)).astype(np.float32) for n in (1, 5, 96, 130, 700)]
+    for (tags, likely), own in zip(pii._decoded(tagger, scores), scores):
+        alone = tagger.decode(own[None], np.array([len(own)]))[0]
+        assert tags.tolist() == alone.tolist() and ((likely > 0) & (likely <= 1 + 1e-4)).all()
+    # Against all sequences of tags.
+    own, steps = rng.normal(0, 2, (3, 9)), tagger.steps()
+    every = {(a, b, c): own[0, a] + own[1, b] + own[2, c] + steps[a, b] + steps[b, c] for a in range(9) for b in range(9) for c in range(9)}
+    assert tuple(tagger.decode(own[None], np.array([3]))[0]) == max(every, key=every.get)
+    total = sum(np.exp(v) for v in every.values())
+    exact = sum(np.exp(v) for k, v in every.items() if k[1] == 4) / total
+    assert tagger.likely(own[None], np.array([3]))[0, 1, 4] == pytest.approx(exact, rel=1e-4)
+
+
+def test_stretches_grow_to_the_end_of_a_long_span(tagger):
+    for text in ("w" * 5000 + "@x.com", "1" * 3000, "a@" * 2000, "@" + "w" * 5000):
+        pii.model_spans(tagger, [text])
 
 
 def test_leaves_other_numbers_alone(tagger):

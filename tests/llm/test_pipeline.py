@@ -89,7 +89,7 @@ def test_every_stage_against_brute_force(spark, tables, reference):  # noqa: F81
     assert len(brute_lines(pairs(good))) == len(pairs(lined))
 
     left = corpus_pipeline.stage(by["near"](spark, lined, tables), "t")
-    whole = brute_near(pairs(lined), 5)
+    whole = brute_near(pairs(lined), 2)
     assert left.columns == columns and pairs(left) == [r for r in pairs(lined) if r[0] is None or whole[r[0]] == r[0]]
 
     clean = corpus_pipeline.stage(by["benchmark"](spark, left, tables), "t")
