@@ -1,4 +1,6 @@
+import math
 import os
+import re
 import zlib
 
 import numpy as np
@@ -111,6 +113,52 @@ def test_chunks_do_not_depend_on_the_batch():
     assert np.allclose(together, alone, atol=1e-6)
 
 
+def plain_network(network, text):
+    """The score of one text, place by place, with none of the operator's code."""
+    width, _, filters = network.filters.shape
+    data, places = list(text) + [0] * width, len(text) + 1
+    value = [[sum(float(network.filters[k][data[p + k]][f]) for k in range(width)) for f in range(filters)] for p in range(places)]
+    blocks = [value[a : a + quality.BLOCK] for a in range(0, places, quality.BLOCK)]
+    chunks = [blocks[i] + (blocks[i + 1] if i + 1 < len(blocks) else []) for i in range(len(blocks))]
+    pooled = [[max(0.0, max(v[f] for v in chunk)) for f in range(filters)] for chunk in chunks]
+    largest = [max(p[f] for p in pooled) for f in range(filters)]
+    mean = [sum(p[f] for p in pooled) / len(pooled) for f in range(filters)]
+    total = sum(x * float(w) for x, w in zip(largest + mean, network.weights)) + float(network.weights[-1])
+    return 1 / (1 + math.exp(-total))
+
+
+def test_network_against_a_plain_forward_pass():
+    texts, good, _ = separable(80)
+    network = quality.train([(t.encode(), y) for t, y in zip(texts, good)])
+    for text in [b"", b"a", b"x" * 254, b"x" * 255, b"x" * 256, "Ünïcode\n\x00 text".encode() * 40, texts[0].encode() * 9]:
+        got = float(network.score(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0])
+        assert got == pytest.approx(plain_network(network, text), abs=1e-5)
+
+
+def plain_machine(machine, text, hasher):
+    """The score of one text, pair by pair."""
+    found = set()
+    for word in re.findall(rb"[0-9A-Za-z\x80-\xff]+", text):
+        for term in {word} | {word[:n] for n in toxicity.BEGINNINGS if len(word) > n}:
+            bucket = hasher.words(np.frombuffer(term, np.uint8), np.array([0]), np.array([len(term)]))[0]
+            found.add(int(machine.rows[int(bucket) >> (64 - toxicity.BUCKET_BITS)]))
+    known = sorted(found - {-1})
+    total = machine.constant + sum(float(machine.weights[r]) for r in known)
+    for i, a in enumerate(known):
+        total += sum(float(x) * float(y) for b in known[:i] for x, y in zip(machine.factors[a], machine.factors[b]))
+    return 1 / (1 + math.exp(-total))
+
+
+def test_machine_against_a_plain_forward_pass():
+    texts, _, toxic = separable(300)
+    machine = toxicity.train([(t.encode(), y) for t, y in zip(texts, toxic)])
+    score, hasher = machine.scorer(), toxicity.term_hasher()
+    parts = [t.encode() for t in [*texts[:40], "", "blockheads, BLOCKHEAD blockheadly é日本 a1b2", " ".join(texts[:60])]]
+    bounds = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+    got = score(np.frombuffer(b"".join(parts), np.uint8), bounds)
+    assert got == pytest.approx([plain_machine(machine, p, hasher) for p in parts], abs=1e-6)
+
+
 def test_pairs_matter():
     """Neither word is toxic alone; both together are. Additive weights cannot say that of all four cases."""
     rng = np.random.default_rng(4)

@@ -85,12 +85,12 @@ def test_spans_are_whole_however_long(tagger):
     whole = 0
     for size in (20, 40, 55, 70, 120, 300):
         for place in range(0, 100, 9):
-            value = "b" * size + " @ mail.com"
+            value = "".join(random.Random(size).choices("abdegiklmnorst", k=size)) + " @ mail.com"
             text = "and " * 30 + "xy " * (place // 3) + "it is " + value + " they say " + "and so on " * 20
             start = text.index(value)
             found = [s for s in pii.model_spans(tagger, [text])[0] if s[0] == 0]
-            assert all(a == start for _, a, _ in found), (size, place, found, start)
-            whole += (0, start, start + len(value)) in found
+            assert found in ([], [(0, start, start + len(value))]), (size, place, found, start)
+            whole += len(found)
     assert whole >= 20
 
 
