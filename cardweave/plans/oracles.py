@@ -204,6 +204,7 @@ FROM orders""",
     ),
     "tokenise_vault": _TOKEN_LOOKUP,
     "tokenise_vault_salted": _TOKEN_LOOKUP,
+    "tokenise_prepared": _TOKEN_LOOKUP,
     "tokenise_service": _with(
         _PUBLISHED + ", s AS (SELECT *, CAST(right(pan, 3) AS INTEGER) AS n FROM p)",
         f"""SELECT {_ID},
@@ -311,6 +312,24 @@ FROM w""",
           CAST(CASE WHEN txt IS NOT NULL THEN 17 ELSE 0 END AS INTEGER) AS separator
         FROM t""",
     ),
+    "publish_partitions": """
+WITH keys AS (
+  SELECT 'order-' || o_orderkey AS key, length('order-' || o_orderkey) AS n,
+    list_transform(range(1, length('order-' || o_orderkey) + 1), lambda i: ascii(substr('order-' || o_orderkey, i, 1))::HUGEINT) AS b
+  FROM orders),
+words AS (
+  SELECT key, n, b, list_transform(range(0, n // 4), lambda i:
+    (b[4 * i + 1] + b[4 * i + 2] * 256 + b[4 * i + 3] * 65536 + b[4 * i + 4] * 16777216) * 1540483477 % 4294967296) AS w FROM keys),
+mixed AS (
+  SELECT key, n, b, list_reduce(list_concat([xor(2538058380::HUGEINT, n::HUGEINT)],
+      list_transform(w, lambda k: xor(k, k // 16777216) * 1540483477 % 4294967296)),
+    lambda h, k: xor(h * 1540483477 % 4294967296, k)) AS h FROM words),
+tails AS (
+  SELECT key, CASE n % 4 WHEN 0 THEN h ELSE
+    xor(h, b[4 * (n // 4) + 1] + coalesce(b[4 * (n // 4) + 2], 0) * 256 + coalesce(b[4 * (n // 4) + 3], 0) * 65536)
+      * 1540483477 % 4294967296 END AS h FROM mixed),
+thirteen AS (SELECT key, xor(h, h // 8192) * 1540483477 % 4294967296 AS h FROM tails)
+SELECT key, CAST(xor(h, h // 32768) % 2147483648 % 12 AS INTEGER) AS "partition" FROM thirteen""",
     "topic_records": _with(
         _TEXT,
         f"""SELECT CASE WHEN k % 10 <> 0 THEN 'order-' || k END AS key, {_ID},
@@ -355,6 +374,17 @@ FROM w""",
         _ACKED + """, e AS (SELECT part AS ep, max("last") AS "end" FROM i GROUP BY part)""",
         f"""SELECT 'order-' || k AS key, {_ID} FROM r JOIN e ON part = ep WHERE result = 'RETRY' AND pos <= "end\"""",
     ),
+    "live_metrics": _with(
+        _OUTCOME
+        + """, z AS (SELECT *, 1 - part % 2 AS b FROM r UNION ALL SELECT *, 1 FROM r WHERE part % 2 = 1 AND result = 'RETRY'),
+          y AS (SELECT *, tries > 0 AND token IS NOT NULL AND (k % 43 <> 0 OR (part % 2 = 1 AND b = 1 AND k % 86 <> 0)) AS fine FROM z)""",
+        """SELECT b AS batch_id, count(*) AS records, count(*) FILTER (WHERE fine) AS succeeded,
+          count(*) FILTER (WHERE tries = 0) AS skipped, count(*) FILTER (WHERE tries > 0 AND NOT fine) AS to_retry,
+          count(*) FILTER (WHERE NOT damaged AND k % 19 <> 0 AND k % 17 = 0) AS amounts_coerced,
+          count(*) FILTER (WHERE NOT damaged AND k % 23 = 0) AS timestamps_coerced,
+          count(*) FILTER (WHERE damaged) AS "MALFORMED",
+          count(*) FILTER (WHERE tries > 0 AND token IS NOT NULL AND NOT fine) AS "SAVE_FAILED" FROM y GROUP BY b""",
+    ),
     "due_outcomes": _final("3"),
     "due_batches": _with(
         _OUTCOME,

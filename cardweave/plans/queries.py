@@ -12,16 +12,17 @@ from pyspark.sql import functions as F
 from cardweave import schemas as S
 from cardweave.functions.envelope import PREFIX
 from cardweave.operators import codec, filters, health, intervals, ledger, metrics, outcome, parse, redelivery, requests, tokenise
+from cardweave.operators import vault as vaults
 from cardweave.operators.service import Client, RetryPolicy
 from cardweave.plans import feed as feeds
 from cardweave.sinks.keyed import KeyedTable
 from cardweave.sinks.store import Store
-from cardweave.sinks.topic import publish_records
+from cardweave.sinks.topic import ordered_records, publish_records
 from cardweave.sources import resume
 from cardweave.sources.folder import changed_files, read_folder, watch_folder
 from cardweave.sources.topic import from_records
 from cardweave.storage import fresh_path, stage
-from cardweave.streaming import due, run
+from cardweave.streaming import due, live, run
 from cardweave.streaming.health import watch_health
 from cardweave.streaming.watch import poll_folder, watch_changes
 
@@ -154,6 +155,15 @@ def tokenise_vault_salted(spark, sf_dir):
     return tokeniser(_publishable(spark, sf_dir, "digital_pan"), F.lit(True)).select(*RECORD, "tokenised_pan")
 
 
+def tokenise_prepared(spark, sf_dir):
+    """The same lookup in a vault prepared once, which two batches meet bucket by bucket without shuffling it."""
+    prepared = vaults.prepare_vault(feeds.customer_vault(spark, sf_dir), fresh_path(spark, "vault"))
+    tokeniser = vaults.tokenise_prepared(prepared, named_cards=0)
+    messages = _publishable(spark, sf_dir, "digital_pan")
+    parts = [tokeniser(messages.where(F.col("offset") % 2 == k), F.lit(True)) for k in range(2)]
+    return parts[0].unionByName(parts[1]).select(*RECORD, "tokenised_pan")
+
+
 def tokenise_service(spark, sf_dir):
     tokeniser = tokenise.tokenise_service(_token_service, NO_WAIT)
     tokenised = tokeniser(_publishable(spark, sf_dir, "digital_pan"), F.lit(True))
@@ -335,6 +345,12 @@ def encrypted_shape(spark, sf_dir):
     )
 
 
+def publish_partitions(spark, sf_dir):
+    """The partition of a topic of twelve that each record is dealt to by its key."""
+    sent = ordered_records(feeds.order_feed(spark, sf_dir).drop("partition"), 12, order="offset")
+    return sent.select("key", "partition")
+
+
 def topic_records(spark, sf_dir):
     """What is published, as a topic gives it back: bytes, some of them no UTF-8, and keys that may be absent."""
     sent = publish_records(feeds.order_feed(spark, sf_dir), KEY)
@@ -424,6 +440,14 @@ def keyed_transactions(spark, sf_dir):
     return saved.drop("topic", "amountText").withColumn("amount", _money("amount"))
 
 
+def live_metrics(spark, sf_dir):
+    """What was counted while the outcomes of two batches were written."""
+    rows = live.live_metrics(_streamed(spark, sf_dir, _two_drops()))
+    return rows.select(
+        "batch_id", "records", "succeeded", "skipped", "to_retry", "amounts_coerced", "timestamps_coerced", "MALFORMED", "SAVE_FAILED"
+    )
+
+
 def stream_acked(spark, sf_dir):
     return _streamed(spark, sf_dir, _two_drops()).batch("acked", 1)
 
@@ -550,6 +574,7 @@ QUERIES: dict[str, Query] = {
         tokenise_local,
         tokenise_vault,
         tokenise_vault_salted,
+        tokenise_prepared,
         tokenise_service,
         service_outage,
         masked_report,
@@ -567,6 +592,7 @@ QUERIES: dict[str, Query] = {
         outcome_metrics,
         codec_roundtrip,
         encrypted_shape,
+        publish_partitions,
         topic_records,
         decrypt_mixed,
         decrypt_quarantine,
@@ -575,6 +601,7 @@ QUERIES: dict[str, Query] = {
         stream_transactions,
         stream_ledger,
         stream_acked,
+        live_metrics,
         keyed_transactions,
         acked_ranges,
         late_ranges,

@@ -56,11 +56,11 @@ def fragment(**fields):
         "MessageType": "TVN",
         "RecordType": "PTLFX",
         "TransactionId": "TXN-1",
-        "DigitalPan": "4111111111111111",
-        "Amount": "123.45",
-        "CurrencyCode": "NZD",
-        "ResponseCode": "00",
-        "Timestamp": "2024-01-15T10:30:00",
+        "DigitalPan": "5500000000000004",
+        "Amount": "86.20",
+        "CurrencyCode": "CHF",
+        "ResponseCode": "01",
+        "Timestamp": "2029-11-30T07:41:00",
         **fields,
     }
     return "<Data>" + "".join(f"<{n}>{v}</{n}>" for n, v in values.items() if v is not None) + "</Data>"

@@ -1,0 +1,126 @@
+import json
+import os
+import uuid
+
+import pytest
+from conftest import fragment
+from pyspark.sql import functions as F
+
+from cardweave.operators.metrics import outcome_metrics
+from cardweave.operators.outcome import process
+from cardweave.operators.requests import Outbox
+from cardweave.operators.service import RetryPolicy, journalled
+from cardweave.operators.tokenise import tokenise_local
+from cardweave.sinks.store import Store
+from cardweave.streaming import run
+from cardweave.streaming.live import ProgressLog, live_metrics, progress
+
+QUICK = RetryPolicy(sleep=lambda _: None)
+
+
+class CutShort(BaseException):
+    """Ends a task, as a lost executor would; no failure of the service."""
+
+
+def endpoint(log, stop_at=None):
+    """A service that writes down every request it gets, by key; ``stop_at`` names a transaction that ends the task."""
+
+    def factory():
+        def save(body, key):
+            transaction = json.loads(body)["transactionId"]
+            if transaction == stop_at and not os.path.exists(f"{log}/stopped"):
+                open(f"{log}/stopped", "w").close()
+                raise CutShort
+            with open(f"{log}/{uuid.uuid4().hex}.call", "w") as out:
+                out.write(f"{key} {transaction}")
+            if transaction == "never":
+                raise ConnectionError("unavailable")
+            return "saved"
+
+        return save
+
+    return factory
+
+
+def calls(log):
+    return sorted(p.read_text() for p in log.glob("*.call"))
+
+
+@pytest.fixture
+def log(tmp_path):
+    (tmp_path / "log").mkdir()
+    return tmp_path / "log"
+
+
+def test_a_run_cut_short_sends_every_finished_request_once(spark, feed_of, log, tmp_path):
+    feed = feed_of([fragment(TransactionId=f"t{i:02}") for i in range(20)]).coalesce(1)
+    outbox = Outbox(endpoint(log, stop_at="t12"), str(tmp_path / "journal"), QUICK, every=1)
+    with pytest.raises(Exception, match="CutShort"):
+        process(feed, tokenise_local(), outbox)
+    assert len(calls(log)) == 12 and journalled(spark, str(tmp_path / "journal" / "0")).count() == 12
+    done = process(feed, tokenise_local(), outbox)
+    assert calls(log) == [f"t/0/{i} t{i:02}" for i in sorted(range(20), key=str)]
+    rows = done.select("result", "save_attempts", "save_error").collect()
+    assert {tuple(r) for r in rows} == {("SUCCESS", 1, None)} and len(rows) == 20
+    assert process(feed, tokenise_local(), outbox).where("result = 'SUCCESS'").count() == 20
+    assert len(calls(log)) == 20
+
+
+def test_failed_calls_are_not_journalled(spark, feed_of, log, tmp_path):
+    feed = feed_of([fragment(TransactionId="never"), fragment(TransactionId="a"), fragment(MessageType="TAR"), None])
+    outbox = Outbox(endpoint(log), str(tmp_path / "journal"), QUICK)
+    for _ in range(2):
+        rows = process(feed, tokenise_local(), outbox).select("offset", "reason", "save_attempts").collect()
+        assert sorted(map(tuple, rows)) == [(0, "SAVE_FAILED", 3), (1, "OK", 1), (2, "NOT_ACTIONABLE", 0), (3, "MALFORMED", 0)]
+    assert calls(log) == ["t/0/0 never"] * 6 + ["t/0/1 a"]
+
+
+def test_a_stream_keeps_the_journal_of_its_last_batch(spark, feed_of, log, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    outbox = Outbox(endpoint(log), str(tmp_path / "journal"), QUICK)
+    for batch_id in range(3):
+        run.settle_batch(store, feed_of([fragment(TransactionId=f"b{batch_id}")], batch_id), batch_id, tokenise_local(), outbox)
+    run.settle_batch(store, feed_of([fragment(TransactionId="b2")], 2), 2, tokenise_local(), outbox)  # replayed
+    assert [c.split()[1] for c in calls(log)] == ["b0", "b1", "b2"]
+    assert [p.name for p in (tmp_path / "journal").iterdir()] == ["2"]
+
+
+def test_live_counters_equal_the_metrics(spark, feed_of, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    values = [fragment(), fragment(Amount="x"), fragment(Timestamp="x", MessageType="TAR"), "<bad", None, fragment(DigitalPan=None)]
+
+    def saver(df, active):
+        return df.withColumn("save_ok", active & F.col("digital_pan").isNotNull())
+
+    run.settle_batch(store, feed_of(values), 0, tokenise_local(), saver)
+    run.settle_batch(store, feed_of([]), 1, tokenise_local(), saver)
+    run.settle_batch(store, feed_of([]).where("FALSE"), 2, tokenise_local(), None)
+    rows = {r["batch_id"]: r.asDict() for r in live_metrics(store).collect()}
+    for batch_id in range(3):
+        metrics = outcome_metrics(store.batch("outcomes", batch_id)).collect()
+        own, total = rows[batch_id], lambda name: sum(r[name] for r in metrics)  # noqa: B023
+        assert own["records"] == total("records") and own["max_attempts"] == max([r["max_attempts"] for r in metrics], default=0)
+        for name in ("amounts_coerced", "amounts_inexact", "timestamps_coerced"):
+            assert own[name] == total(name)
+        for reason in ("OK", "MALFORMED", "NOT_ACTIONABLE", "SAVE_FAILED", "NOT_PTLFX"):
+            assert own[reason] == sum(r["records"] for r in metrics if r["reason"] == reason)
+    assert rows[0]["records"] == 6 and rows[0]["to_retry"] == 1 and rows[2]["records"] == 0
+
+
+def test_progress_of_a_query_is_kept(spark, feed_of, tmp_path):
+    import time
+
+    log = ProgressLog(str(tmp_path / "progress"))
+    spark.streams.addListener(log)
+    try:
+        feed_of([fragment()] * 3).write.parquet(str(tmp_path / "feed"))
+        source = spark.readStream.schema(feed_of([]).schema).parquet(str(tmp_path / "feed"))
+        query = run.run_stream(source, str(tmp_path / "store"), str(tmp_path / "checkpoint"), tokenise_local())
+        query.awaitTermination()
+        deadline = time.time() + 30
+        while not list((tmp_path / "progress").glob("*.json")) and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(log)
+    rows = progress(spark, str(tmp_path / "progress")).collect()
+    assert [(r["batch_id"], r["input_rows"]) for r in rows] == [(0, 3)]

@@ -8,6 +8,7 @@ from cardweave import schemas as S
 from cardweave.operators.filters import filter_publishable
 from cardweave.operators.outcome import prepare
 from cardweave.operators.parse import messages, parse_feed, rejects
+from cardweave.plans import queries
 
 LEAF = "<Data><MessageType>TVN</MessageType></Data>"
 
@@ -38,7 +39,7 @@ REJECTED = {
     "null": None,
     "empty": "",
     "blank": "   ",
-    "not xml": "<not valid xml!!!",
+    "not xml": "Data, but no <markup",
     "wrong root": "<Other><MessageType>TVN</MessageType></Other>",
     "lower-case root": "<data><MessageType>TVN</MessageType></data>",
     "longer root": "<DataX></DataX>",
@@ -206,3 +207,23 @@ def test_document_is_parsed_once(feed_of):
 def test_schema(feed_of):
     typed = messages(parse_feed(feed_of([SAMPLE]))).select(*S.MESSAGE.fieldNames()).schema
     assert [(f.name, f.dataType) for f in typed] == [(f.name, f.dataType) for f in S.MESSAGE]
+
+
+def test_named_columns_only(feed_of):
+    feed = feed_of([fragment(Amount="1e99", Timestamp="x"), "<bad", None])
+    whole = parse_feed(feed)
+    for names in [(), ("message_type",), ("amount_inexact",), ("timestamp_text", "amount_coerced", "digital_pan"), whole.columns[6:]]:
+        parsed = parse_feed(feed, names)
+        assert set(parsed.columns) == {*feed.columns, "parsed", *names}
+        assert parsed.collect() == whole.select(*parsed.columns).collect()
+    with pytest.raises(ValueError, match="digital"):
+        parse_feed(feed, ["digital"])
+
+
+@pytest.mark.parametrize("name", ["masked_report", "filter_publishable", "tokenise_vault", "offset_ledger", "parse_rejects"])
+def test_what_nobody_reads_is_not_typed(spark, name):
+    """No amount and no time in plans that need none."""
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal(38,10)" not in plan
+    assert "_amounts" not in plan and "_times" not in plan

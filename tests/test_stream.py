@@ -114,12 +114,12 @@ def test_card_numbers_are_kept_only_to_retry(harness, feed_of):
     rows = harness.store.batch("outcomes", 0).filter("digital_pan IS NOT NULL").collect()
     assert [r["offset"] for r in rows] == [1]
     for name in ("transactions", "metrics", "ledger", "at_risk"):
-        assert "4111111111111111" not in str(harness.store.batch(name, 0).collect())
+        assert "5500000000000004" not in str(harness.store.batch(name, 0).collect())
 
 
 def test_vault_outage_and_recovery(spark, harness):
     empty = spark.createDataFrame([], "digital_pan STRING, tokenised_pan STRING")
-    filled = spark.createDataFrame([("4111111111111111", "TOK-1")], "digital_pan STRING, tokenised_pan STRING")
+    filled = spark.createDataFrame([("5500000000000004", "TOK-1")], "digital_pan STRING, tokenised_pan STRING")
     harness.drop([need(1)])
     harness.run(tokenise_vault(empty))
     assert harness.final() == {(0, 0): ("RETRY", "TOKENISE_FAILED", 1)}
