@@ -7,7 +7,9 @@ eight bytes per byte of text, stay small.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -146,3 +148,20 @@ def expand(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
     return shift + np.arange(total, dtype=np.int64)
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, which at its end gives the memory it had back to the system.
+
+    Python workers live on between tasks, and what they keep is missing in the next stage.
+    """
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library, where it has it
+        if trim:
+            trim(0)
+
+    return whole

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardweave.llm.kernel import slices, text_buffers
+from cardweave.llm.kernel import releasing, slices, text_buffers
 
 
 def fold(key: Column, modulus: int) -> Column:
@@ -82,4 +82,4 @@ def scored(df: DataFrame, scorer: Callable[[], Callable[[np.ndarray, np.ndarray]
             scores = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.record_batch([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("score", T.DoubleType())]))
+    return df.mapInArrow(releasing(run), T.StructType([*df.schema.fields, T.StructField("score", T.DoubleType())]))

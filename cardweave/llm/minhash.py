@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from cardweave.functions.plan import fits_broadcast
 from cardweave.llm.components import connected
-from cardweave.llm.kernel import SpanHasher, mix, slices, text_buffers, word_spans
+from cardweave.llm.kernel import SpanHasher, mix, releasing, slices, text_buffers, word_spans
 from cardweave.storage import stage
 
 #: Half-keys of each collection and minhashes of each half-key. A pair at similarity s is
@@ -101,7 +101,7 @@ def _signatures(words: int, halves: int, rows: int):
                     ["doc_id", "n_shingles", "set_sum", "set_mix", "halves"],
                 )
 
-    return run
+    return releasing(run)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,7 +144,7 @@ def _against_pivot(words: int, percent: int):
                 part = batch.take(pa.array(kept))
                 yield pa.record_batch([part.column("pivot"), part.column("id")], ["a", "b"])
 
-    return run
+    return releasing(run)
 
 
 def _block_links(words: int, percent: int):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardweave.llm.kernel import slices, text_buffers
+from cardweave.llm.kernel import releasing, slices, text_buffers
 from cardweave.llm.ranks import numbered
 from cardweave.llm.tokens import WordTokens
 from cardweave.storage import stage
@@ -69,7 +69,7 @@ def _pieces(ranks: str, capacity: int, end_id: int):
                     ["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
 
-    return run
+    return releasing(run)
 
 
 def token_pieces(df: DataFrame, ranks: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -218,7 +218,7 @@ def _assign(plan: Plan):
                 [*names, "sequence_id", "offset"],
             )
 
-    return run
+    return releasing(run)
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, rounds: int = ROUNDS) -> DataFrame:
