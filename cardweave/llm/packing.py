@@ -51,8 +51,11 @@ def _pieces(ranks: str, capacity: int, end_id: int):
                 stop = np.cumsum(counts)
                 for row, (a, b) in enumerate(zip((stop - counts).tolist(), stop.tolist()), first):
                     own = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
-                    for k, at in enumerate(range(0, len(own), capacity)):
-                        part = own[at : at + capacity]
+                    # Only the first piece may be shorter than ``capacity``.
+                    short = (len(own) - 1) % capacity + 1
+                    for k, end in enumerate(range(short, len(own) + 1, capacity)):
+                        at = max(end - capacity, 0)
+                        part = own[at:end]
                         rows.append(row)
                         piece.append(k)
                         start.append(at)
@@ -73,7 +76,7 @@ def _pieces(ranks: str, capacity: int, end_id: int):
 
 
 def token_pieces(df: DataFrame, ranks: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """Pieces of every document: its ids, then ``end_id``, cut every ``capacity`` ids."""
+    """Pieces of every document: its ids, then ``end_id``, cut so that all pieces but the first have ``capacity`` ids."""
     id_type = df.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint"
     return df.select("doc_id", "text").mapInArrow(_pieces(ranks or default_ranks(), capacity, end_id), schema)

@@ -1,3 +1,4 @@
+import itertools
 import random
 import zlib
 
@@ -51,9 +52,9 @@ def checked(rows, documents, reference):
     expected = []
     for doc_id, text in documents:
         ids = [*reference(text or ""), 2]
-        for k in range(0, len(ids), 1024):
-            part = ids[k : k + 1024]
-            expected.append((doc_id, k // 1024, k, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+        first = len(ids) % 1024 or 1024
+        for k, (a, b) in enumerate(itertools.pairwise([0, *range(first, len(ids) + 1, 1024)])):
+            expected.append((doc_id, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())))
     key = lambda r: tuple((x is None, x) for x in r)
     got = [(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows]
     assert sorted(got, key=key) == sorted(expected, key=key)
@@ -80,6 +81,25 @@ def test_pack_documents(docs_of, reference):
     assert n <= sum(times for _, times in _best_fit(histogram, 1024)) + 1
 
 
+def test_only_the_first_piece_is_short(docs_of, reference):
+    lengths = (1022, 1023, 1024, 1499, 2047, 2048, 3000)
+    rows = [(i, "a" + " a" * (n - 1)) for i, n in enumerate(lengths)]
+    packed = pack_documents(docs_of(rows)).collect()
+    checked(packed, rows, reference)
+    cuts = {}
+    for r in sorted(packed, key=lambda r: (r.doc_id, r.piece)):
+        cuts.setdefault(r.doc_id, []).append((r.start, r.length))
+    assert list(cuts.values()) == [
+        [(0, 1023)],
+        [(0, 1024)],
+        [(0, 1), (1, 1024)],
+        [(0, 476), (476, 1024)],
+        [(0, 1024), (1024, 1024)],
+        [(0, 1), (1, 1024), (1025, 1024)],
+        [(0, 953), (953, 1024), (1977, 1024)],
+    ]
+
+
 def test_no_rows_give_no_rows(docs_of):
     assert pack_documents(docs_of([]).limit(0)).collect() == []
 
