@@ -173,3 +173,14 @@ def test_random_vault_agrees_with_a_dict(spark):
     df = tokenise_vault(vault, broadcast_bytes=-1, salts=5)(feed, F.lit(True))
     got = {r["offset"]: r["tokenised_pan"] for r in df.select(*S.RECORD_ID, "tokenised_pan").collect()}
     assert got == {i: smallest.get(pan) for _, _, i, pan in rows}
+
+
+def test_only_records_with_a_card_to_look_up_are_dealt_out(spark):
+    vault = spark.createDataFrame([("1", "T1")], "digital_pan STRING, tokenised_pan STRING")
+    rows = [("t", 0, o, str(o % 2) if o % 5 else None) for o in range(100)]
+    messages = spark.createDataFrame(rows, "topic STRING, partition INT, offset BIGINT, digital_pan STRING")
+    joined = tokenise_vault(vault, broadcast_bytes=-1)(messages, F.col("offset") < 10)
+    got = {r["offset"]: r["tokenised_pan"] for r in joined.collect()}
+    assert got == {o: "T1" if pan == "1" and o < 10 else None for _, _, o, pan in rows}
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "isnotnull(_pan" in plan and "isnull(_pan" in plan
