@@ -23,7 +23,7 @@ ADDED = {"<|endoftext|>": 50256}
 WIDE_SPACES = "\x85\xa0                　"
 
 #: The bytes that white space outside ASCII starts with.
-_WIDE_LEADS = np.array([0xC2, 0xE1, 0xE2, 0xE3], np.uint8)
+_WIDE_LEADS = np.isin(np.arange(256), [0xC2, 0xE1, 0xE2, 0xE3])
 _SLOT_BITS = 21
 _POOL_IDS = 6_000_000
 
@@ -31,6 +31,9 @@ _POOL_IDS = 6_000_000
 class WordTokens:
     """``encode`` gives the ids of many texts at once. ``ranks`` is the path of the vocabulary."""
 
+    #: With more than so many times ``_POOL_IDS`` ids in the pool the table is emptied.
+    pools = 1
+
     def __init__(self, ranks: str):
         import tiktoken
 
@@ -43,9 +46,8 @@ class WordTokens:
         self._reset()
 
     def _reset(self) -> None:
-        slots = 1 << _SLOT_BITS
-        self.tags = np.zeros((2, slots), np.uint64)
-        self.places, self.lengths = np.zeros(slots, np.int64), np.zeros(slots, np.int32)
+        # Both hashes of a piece, where in the pool its ids are, and how many: side by side, since they are read together.
+        self.slots = np.zeros((1 << _SLOT_BITS, 4), np.uint64)
         self.pool, self.used = np.empty(1 << 16, np.uint32), 0
 
     def _cuts(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -54,7 +56,7 @@ class WordTokens:
         cut = np.zeros(len(data) + 1, bool)
         cut[ends] = cut[bounds] = True
         cuts = np.flatnonzero(cut)
-        if np.isin(data, _WIDE_LEADS).any():
+        if _WIDE_LEADS[data].any():
             raw = data.tobytes()
             keep = np.ones(len(cuts), bool)
             for space in WIDE_SPACES:
@@ -72,7 +74,7 @@ class WordTokens:
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts that lie in ``data`` between ``bounds``, and how many each text has."""
-        if self.used > _POOL_IDS:
+        if self.used > self.pools * _POOL_IDS:
             self._reset()
         cuts = self._cuts(data, bounds)
         starts, ends = cuts[:-1], cuts[1:]
@@ -80,17 +82,17 @@ class WordTokens:
             return np.zeros(0, np.uint32), np.zeros(len(bounds) - 1, np.int64)
         first, second = (h.words(data, starts, ends) for h in self.hashers)
         slot = (first >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)
-        places, lengths = self.places[slot], self.lengths[slot]
-        missed = np.flatnonzero((self.tags[0][slot] != first) | (self.tags[1][slot] != second) | (lengths == 0))
+        known = self.slots.take(slot, axis=0)
+        places, lengths = known[:, 2].astype(np.int64), known[:, 3].astype(np.int64)
+        missed = np.flatnonzero((known[:, 0] != first) | (known[:, 1] != second) | (lengths == 0))
         if len(missed):
             _, where, which = np.unique(first[missed], return_index=True, return_inverse=True)
             new = missed[where]
             own_places, own_lengths = self._tokenise(data, starts[new], ends[new])
             places[missed], lengths[missed] = own_places[which], own_lengths[which]
-            self.tags[0][slot[new]], self.tags[1][slot[new]] = first[new], second[new]
-            self.places[slot[new]], self.lengths[slot[new]] = own_places, own_lengths
-        ids = self.pool[expand(places, lengths.astype(np.int64))]
-        total = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64)))
+            self.slots[slot[new]] = np.stack((first[new], second[new], own_places, own_lengths), axis=1, dtype=np.uint64, casting="unsafe")
+        ids = self.pool[expand(places, lengths)]
+        total = np.concatenate(([0], np.cumsum(lengths)))
         return ids, np.diff(total[np.searchsorted(cuts, bounds)])
 
     def _tokenise(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,14 +103,14 @@ class WordTokens:
         those that may start or end with white space outside ASCII.
         """
         space = space_table()
-        wide = np.isin(data, _WIDE_LEADS)
+        wide = _WIDE_LEADS[data]
         alone = space[data[ends - 1]] | wide[starts] | wide[np.maximum(ends - 2, starts)] | wide[np.maximum(ends - 3, starts)]
         bare = (~space[data[starts]]).astype(np.int64)
         sizes = np.where(alone, 0, ends - starts + bare)
         text = data[np.maximum(expand(starts - bare, sizes), 0)]
         stops = np.cumsum(sizes)
         text[(stops - sizes)[(bare == 1) & ~alone]] = 10
-        ids = self._ids(text.tobytes())
+        ids = self._ids_of_pieces(text.tobytes(), stops)
         reached = np.searchsorted(np.cumsum(self.sizes[ids]), stops, side="right")
         counts = np.diff(reached, prepend=0)
         places = self._store(ids) + reached - counts + bare
@@ -118,6 +120,10 @@ class WordTokens:
             places[i], counts[i] = self._store(ids), len(ids)
         return places, counts
 
+    def _ids_of_pieces(self, raw: bytes, stops: np.ndarray) -> np.ndarray:
+        """Ids of ``raw``, which may be cut at ``stops``."""
+        return self._ids(raw)
+
     def _ids(self, raw: bytes) -> np.ndarray:
         text = raw.decode("utf-8")
         special = b"<|" in raw

@@ -5,7 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from cardweave.llm import wavelet
+from cardweave.llm import token_files, wavelet
 from cardweave.llm.kernel import slices, text_buffers
 from cardweave.llm.token_files import (
     FileTokens,
@@ -93,6 +93,75 @@ def test_ids_are_those_of_the_library(library):
     assert got == [library(t) for t in texts]
 
 
+def encoded(words, texts):
+    data, offsets = text_buffers(pa.array(texts, pa.string()))
+    ids, counts = words.encode(data, offsets)
+    return [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+@pytest.mark.parametrize("call_bytes", [1, 16, 1 << 20])
+def test_cuts_between_kinds_leave_the_ids(monkeypatch, library, call_bytes):
+    """Words of mixed kinds, contractions, bars and white space of all sorts, in calls of all sizes."""
+    monkeypatch.setattr(token_files, "_CALL_BYTES", call_bytes)
+    rng = random.Random(6)
+    alphabet = [*"abstmdLR09 .,'’|<>_-\n\t\x00\x1f\x7fé٣½", "'re", "'ll", "'s", " '", "e\u0301", "—", *WIDE_SPACES, *ADDED]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(1, 25))) for _ in range(1500)]
+    words = FileTokens(default_vocabulary())
+    assert [[*x, 2] for x in encoded(words, texts)] == [library(t) for t in texts]
+    assert [[*x, 2] for x in encoded(words, texts[::-1])] == [library(t) for t in texts[::-1]]
+
+
+def test_the_tokenizer_meets_a_run_once(monkeypatch, library):
+    """However often a run comes back in new words: beside other marks and numbers, or when the words were forgotten."""
+    words, asked = FileTokens(default_vocabulary()), []
+    part = getattr(words, "runs", words)
+    plain = part._ids
+    monkeypatch.setattr(part, "_ids", lambda raw: asked.append(raw) or plain(raw))
+    texts = [f"see {a}alphabet{b}{n} there" for a in ["", "(", "-"] for b in ["", ",", ".", ";", ")."] for n in ["", "1", "77"]]
+    assert [[*x, 2] for x in encoded(words, texts)] == [library(t) for t in texts]
+    # With and without a space before it.
+    assert b"".join(asked).count(b"alphabet") == 2
+    words._reset()
+    asked.clear()
+    assert [[*x, 2] for x in encoded(words, texts)] == [library(t) for t in texts] and not asked
+
+
+@pytest.mark.parametrize("step", [8, 64, 1 << 16])
+def test_planes_in_steps(monkeypatch, step):
+    """Planes of a plain stable parting, and the way back, in steps of any size; the ids given stay as they are."""
+    monkeypatch.setattr(wavelet, "_STEP", step)
+    rng = np.random.default_rng(3)
+    for n, bits in [(0, 3), (1, 1), (7, 4), (64, 16), (65, 17), (1001, 16)]:
+        ids = rng.integers(0, 1 << bits, n).astype(np.uint16 if bits <= 16 else np.uint32)
+        ids.flags.writeable = False
+        level = ids.tolist()
+        for bit, plane in zip(range(bits - 1, -1, -1), wavelet.planes_of(ids, bits), strict=True):
+            assert np.unpackbits(plane, count=n).tolist() == [x >> bit & 1 for x in level]
+            level = sorted(level, key=lambda x: x >> bit & 1)  # noqa: B023
+        assert WaveletFile.of(pack_file(ids, bits, directory(n))).ids().tolist() == ids.tolist()
+
+
+def test_older_files_are_read(monkeypatch):
+    """Their blocks are compressed by zlib, and their header names no codec."""
+
+    class Zlib:
+        def __init__(self, name):
+            pass
+
+        def compress(self, block, asbytes):
+            return zlib.compress(block, 1)
+
+    ids = np.repeat(np.arange(64, dtype=np.uint16), 3000)
+    with monkeypatch.context() as patch:
+        patch.setattr(wavelet.pa, "Codec", Zlib)
+        content = pack_file(ids, 16, directory(len(ids)))
+    length = int.from_bytes(content[8:16], "little")
+    head = content[16 : 16 + length].replace(b'"codec": "zstd", ', b"")
+    old = content[:8] + len(head).to_bytes(8, "little") + head + content[16 + length :]
+    file = WaveletFile.of(old)
+    assert file.ids().tolist() == ids.tolist() and file.token(5000) == ids[5000]
+
+
 def brute(rows, library):
     at, out = 0, []
     for i, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)):
