@@ -150,7 +150,7 @@ def test_services_in_a_stream_leave_no_staged_tables(spark, harness, tmp_path):
 
     def saves():
         def client(body):
-            if json.loads(body)["tokenisedPan"] != "TOK-1111":
+            if json.loads(body)["tokenisedPan"] != "TOK-0004":
                 raise ConnectionError
 
         return client
